@@ -10,8 +10,11 @@ partition; then all blocks are packed at once from their known entries.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from chunkspark.functions.types import check_supported, fixed_row_bytes, quoted, row_bytes
@@ -22,6 +25,9 @@ from chunkspark.operators.positions import BLOCK, freeze_blocks, join_blocks, wi
 
 ENTRY = ("_chunk", "_used", "_pos")
 
+# Send the functions below with the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class ChunkTooSmallError(ValueError):
     """A row that does not fit even in an empty chunk."""

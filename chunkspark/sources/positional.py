@@ -11,6 +11,8 @@ from chunkspark.functions.types import (
     DATE, DATETIME, DOUBLE, FIXED, INT32, INT64, TIME, VARIABLE, check_supported, quoted, type_class,
 )
 
+AVRO_CLASS = "org.apache.spark.sql.avro.AvroFileFormat"
+
 # Record name and the record type of each class.
 RECORD_NAME = "schema_name"
 RECORD_TYPES = {
@@ -40,37 +42,43 @@ def _file_schema(schema: T.StructType) -> T.StructType:
     ])
 
 
-def avro_available(spark: SparkSession) -> bool:
-    """Whether the session carries Spark's Avro package."""
+def avro_format(spark: SparkSession) -> str | None:
+    """Name of the Avro source: the short one where its module is deployed, else
+    the format class that ships with Spark SQL itself."""
+    java = spark.sparkContext._jvm
+    try:
+        conf = spark._jsparkSession.sessionState().conf()
+        java.org.apache.spark.sql.execution.datasources.DataSource.lookupDataSource("avro", conf)
+        return "avro"
+    except Exception:
+        pass
     try:
-        loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-        loader.loadClass("org.apache.spark.sql.avro.AvroFileFormat")
+        java.java.lang.Thread.currentThread().getContextClassLoader().loadClass(AVRO_CLASS)
+        return AVRO_CLASS
     except Exception:
-        return False
-    return True
+        return None
 
 
 def _format(spark: SparkSession, fmt: str | None) -> str:
-    """Avro where its package is there, else the same fields in Parquet."""
-    return fmt or ("avro" if avro_available(spark) else "parquet")
+    """Avro where there is any, else the same fields in Parquet."""
+    return fmt or avro_format(spark) or "parquet"
+
+
+def _with_record_schema(reader_or_writer, fmt: str, schema: T.StructType):
+    return reader_or_writer if fmt == "parquet" else reader_or_writer.option("avroSchema", record_schema(schema))
 
 
 def export_positional(df: DataFrame, path: str, fmt: str | None = None, mode: str = "errorifexists") -> None:
     fmt = _format(df.sparkSession, fmt)
     records = encode_table(df).toDF(*[field_name(i) for i in range(len(df.columns))])
-    writer = records.write.mode(mode).format(fmt)
-    if fmt == "avro":
-        writer = writer.option("avroSchema", record_schema(df.schema))
-    writer.save(path)
+    _with_record_schema(records.write.mode(mode).format(fmt), fmt, df.schema).save(path)
 
 
 def import_positional(spark: SparkSession, path: str, schema: T.StructType, fmt: str | None = None) -> DataFrame:
     """Records of a file set, still positional; see load_mapped and map_positional."""
     fmt = _format(spark, fmt)
     reader = spark.read.schema(_file_schema(schema)).format(fmt)
-    if fmt == "avro":
-        reader = reader.option("avroSchema", record_schema(schema))
-    return reader.load(path)
+    return _with_record_schema(reader, fmt, schema).load(path)
 
 
 def map_positional(records: DataFrame, schema: T.StructType, treat_zero_len_as_null: bool = True) -> DataFrame:
