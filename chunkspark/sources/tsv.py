@@ -54,7 +54,8 @@ def tsv_value(field: T.StructField) -> Column:
         text = _datetime_text(column.cast("timestamp_ntz"))
     else:
         text = column.cast("string")
-    return F.coalesce(text, F.lit(NULL_MARK))
+    # format_string prints NULL as a word.
+    return F.coalesce(F.when(column.isNotNull(), text), F.lit(NULL_MARK))
 
 
 def export_tsv(df: DataFrame, path: str, rows_per_file: int = 1_000_000, mode: str = "errorifexists") -> None:
