@@ -107,10 +107,11 @@ def _next_starts(ends: np.ndarray, limit: int) -> np.ndarray:
     return follow
 
 
-def _runs(ids: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of equal values."""
-    edges = np.flatnonzero(np.diff(ids)) + 1
-    return list(zip([0, *edges.tolist()], [*edges.tolist(), len(ids)]))
+def _runs(*ids: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches in which no value of ``ids`` changes."""
+    changed = np.logical_or.reduce([np.diff(values) != 0 for values in ids])
+    edges = (np.flatnonzero(changed) + 1).tolist()
+    return list(zip([0, *edges], [*edges, len(ids[0])]))
 
 
 def _ints(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -131,11 +132,12 @@ def _pack_in_order(df: DataFrame, limit: int) -> DataFrame:
             if batch.num_rows == 0:
                 continue
             ids, sizes = _ints(batch, PARTITION_ID), _ints(batch, ROW_BYTES)
+            blocks = _ints(batch, BLOCK) if resumed else ids
             chunks = np.empty(len(ids), np.int64)
             places = np.empty(len(ids), np.int64)
-            for start, stop in _runs(ids):
-                if ids[start] != current:
-                    current, chunk, used, pos = ids[start], -1, limit, 0
+            for start, stop in _runs(ids, blocks):
+                if (ids[start], blocks[start]) != current:
+                    current, chunk, used, pos = (ids[start], blocks[start]), -1, limit, 0
                     if resumed:
                         chunk, used, pos = (int(batch.column(c)[start].as_py()) for c in ENTRY)
                 opened, used = _walk(sizes[start:stop], used, limit)

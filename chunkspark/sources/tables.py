@@ -1,7 +1,12 @@
-"""Load and change tables. Counts come from the pass that does the work."""
+"""Load and change tables, and tell how many rows that touched.
+
+A load counts in the pass that writes. A change counts first, on the columns of
+its condition only, and leaves the table alone when nothing is to be changed.
+"""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from chunkspark.functions.types import quoted
@@ -21,7 +26,11 @@ def load_table(df: DataFrame, table: str, columns=None) -> int:
     df.sparkSession.sql(
         f"INSERT INTO {quote_name(table)} ({listed}) SELECT * FROM {{rows}}", rows=counted
     )
-    return seen.get["n"]
+    try:
+        return seen.get["n"]
+    except Py4JJavaError:
+        # An input the optimizer finds empty takes the observation away with it.
+        return df.count()
 
 
 def load_mapped(records: DataFrame, table: str, schema: T.StructType, treat_zero_len_as_null: bool = True) -> int:
@@ -59,22 +68,19 @@ def with_updates(df: DataFrame, values: dict, predicate) -> DataFrame:
 def delete_where(spark: SparkSession, table: str, predicate) -> int:
     """Remove the rows the predicate holds for; returns their number."""
     rows = spark.table(quote_name(table))
-    seen, counted = _count_hits(rows, predicate)
-    _replace(spark, table, without_rows(counted, predicate))
-    return seen.get["n"]
+    hits = rows.filter(_holds(predicate)).count()
+    if hits:
+        _replace(spark, table, without_rows(rows, predicate))
+    return hits
 
 
 def update_where(spark: SparkSession, table: str, values: dict, predicate) -> int:
     """Change the rows the predicate holds for; returns their number."""
     rows = spark.table(quote_name(table))
-    seen, counted = _count_hits(rows, predicate)
-    _replace(spark, table, with_updates(counted, values, predicate))
-    return seen.get["n"]
-
-
-def _count_hits(rows: DataFrame, predicate) -> tuple[Observation, DataFrame]:
-    seen = Observation()
-    return seen, rows.observe(seen, F.coalesce(F.count_if(_holds(predicate)), F.lit(0)).alias("n"))
+    hits = rows.filter(_holds(predicate)).count()
+    if hits:
+        _replace(spark, table, with_updates(rows, values, predicate))
+    return hits
 
 
 def _replace(spark: SparkSession, table: str, rows: DataFrame) -> None:
