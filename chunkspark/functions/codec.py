@@ -58,16 +58,12 @@ def micros_to_time_text(column: Column) -> Column:
     """Signed microseconds as [-]h:m:s.ffffff; hours may pass 24, zero has no sign."""
     size = F.abs(column)
     seconds = _div(size, MICROS_PER_SECOND)
-    sign = F.when(column < 0, F.lit("-")).otherwise(F.lit(""))
-    text = F.format_string(
-        "%s%d:%d:%d.%06d",
-        sign,
-        _div(seconds, 3600),
-        F.pmod(_div(seconds, 60), _long(60)),
-        F.pmod(seconds, _long(60)),
-        F.pmod(size, _long(MICROS_PER_SECOND)),
+    parts = (
+        F.when(column < 0, F.lit("-")).otherwise(F.lit("")),
+        _div(seconds, 3600), F.lit(":"), F.pmod(_div(seconds, 60), _long(60)), F.lit(":"), F.pmod(seconds, _long(60)),
+        F.lit("."), F.lpad(F.pmod(size, _long(MICROS_PER_SECOND)).cast("string"), 6, "0"),
     )
-    return F.when(column.isNotNull(), text)
+    return F.concat(*[p.cast("string") for p in parts])
 
 
 def _div(column: Column, by: int) -> Column:

@@ -34,5 +34,7 @@ def key_text(field: T.StructField) -> Column:
 
 def partition_number(fields: list[T.StructField], partitions: int) -> Column:
     """0 to ``partitions`` - 1 from the first 32 bits of the MD5 of the key text."""
+    if partitions == 1:
+        return F.lit(0).cast("long")
     text = F.concat_ws(SEPARATOR, *[key_text(f) for f in fields])
     return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(partitions).cast("long"))

@@ -11,6 +11,7 @@ partition; then all blocks are packed at once from their known entries.
 from __future__ import annotations
 
 import sys
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,7 @@ def pack_chunks(df: DataFrame, spec: PartitionSpec, chunk_bytes: int, keep=None)
     """
     check_supported(df.schema)
     constant = fixed_row_bytes(df.schema)
+    columns = df.columns if keep is None else list(keep)
     sized = df.withColumn(ROW_BYTES, row_bytes(df.schema))
     if keep is not None:
         needed = dict.fromkeys([*keep, *spec.by, *spec_sort_key(df, spec)])
@@ -57,8 +59,7 @@ def pack_chunks(df: DataFrame, spec: PartitionSpec, chunk_bytes: int, keep=None)
             CHUNK_ID, F.call_function("div", F.col(ROW_POS), F.lit(chunk_bytes // constant).cast("long"))
         )
     else:
-        packed = _pack_varying(sized, spec, chunk_bytes)
-    columns = df.columns if keep is None else list(keep)
+        packed = _pack_varying(sized, spec, chunk_bytes, columns)
     extra = [c for c in (PARTITION_ID, ROW_POS, CHUNK_ID, ROW_BYTES) if c not in columns]
     return packed.select(*[quoted(c) for c in [*columns, *extra]])
 
@@ -72,8 +73,11 @@ def chunk_index(chunks: DataFrame) -> DataFrame:
     )
 
 
-def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int) -> DataFrame:
+def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int, columns: list[str]) -> DataFrame:
     placed = place(add_partition_id(sized, spec), spec)
+    # Sorted rows need their sort columns no more.
+    carried = dict.fromkeys([*columns, PARTITION_ID, ROW_BYTES])
+    placed = replace(placed, df=placed.df.select(*[quoted(c) for c in carried]))
     if not placed.split:
         return _pack_in_order(placed.df, limit)
     rows = freeze_blocks(placed)

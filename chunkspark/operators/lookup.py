@@ -7,6 +7,7 @@ requests it measures as small and shuffles otherwise.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from functools import reduce
 
@@ -17,8 +18,8 @@ from chunkspark.operators.partition import CHUNK_ID, PARTITION_ID, ROW_BYTES, RO
 
 # Pairs that may stand in a predicate; more become a table.
 PREDICATE_PAIRS = 1_000
-# Ways a hot partition's requested keys are split before their prefix is drawn.
-KEY_SPLITS = 64
+# Splits whose rests one task may gather.
+MANY_SPLITS = 128
 
 
 def _requested(df: DataFrame, requests, column: str) -> DataFrame:
@@ -72,30 +73,39 @@ def get_rows_by_keys(df: DataFrame, requests, key: str, chunk_bytes: int) -> Dat
     """Per partition, the requested rows in key order as far as they fit one chunk.
     ``truncated`` tells that some did not.
 
-    The keys of a partition are split first. In each split only rows up to the
-    first that overflows by itself can belong to the answer or end it, so what is
-    left per partition is bounded by the chunk size, however many keys are asked for.
+    The rows of a partition are first spread over many splits. Within a split only
+    rows up to the first that overflows by itself can belong to the answer or end
+    it. The rest goes, what is left is gathered in fewer splits, and at last per
+    partition, so that no task sees more than a share of what is asked for.
     """
     found = _requested(df, requests, key)
     if ROW_BYTES not in found.columns:
         extra = [c for c in (PARTITION_ID, ROW_POS, CHUNK_ID) if c in found.columns]
         found = found.withColumn(ROW_BYTES, accounted_bytes(found.drop(*extra)))
-    split = F.pmod(F.xxhash64(quoted(key)), F.lit(KEY_SPLITS))
-    upto_here = (Window.unboundedPreceding, Window.currentRow)
-    in_split = Window.partitionBy(PARTITION_ID, "_split").orderBy(quoted(key)).rowsBetween(*upto_here)
-    in_partition = Window.partitionBy(PARTITION_ID).orderBy(quoted(key))
-    whole = Window.partitionBy(PARTITION_ID)
-    near = (
-        found.withColumn("_split", split)
-        .withColumn("_sum", F.sum(ROW_BYTES).over(in_split))
-        .filter(F.col("_sum") - F.col(ROW_BYTES) <= chunk_bytes)
-    )
-    first_too_big = (F.row_number().over(in_partition) == 1) & (F.col(ROW_BYTES) > chunk_bytes)
-    summed = F.sum(ROW_BYTES).over(in_partition.rowsBetween(*upto_here))
+    near = found
+    for splits in _narrowing(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))):
+        split = F.pmod(F.xxhash64(quoted(key)), F.lit(splits))
+        so_far = F.sum(ROW_BYTES).over(_upto_here(Window.partitionBy(PARTITION_ID, split).orderBy(quoted(key))))
+        near = near.withColumn("_sum", so_far).filter(F.col("_sum") - F.col(ROW_BYTES) <= chunk_bytes).drop("_sum")
+    in_order = Window.partitionBy(PARTITION_ID).orderBy(quoted(key))
+    first_too_big = (F.row_number().over(in_order) == 1) & (F.col(ROW_BYTES) > chunk_bytes)
     error = F.raise_error(F.format_string(f"chunk size {chunk_bytes} is too small, a row takes %d", F.col(ROW_BYTES)))
+    total = F.when(first_too_big, error.cast("long")).otherwise(F.sum(ROW_BYTES).over(_upto_here(in_order)))
     return (
-        near.withColumn("_sum", F.when(first_too_big, error.cast("long")).otherwise(summed))
-        .withColumn("truncated", F.max("_sum").over(whole) > chunk_bytes)
+        near.withColumn("_sum", total)
+        .withColumn("truncated", F.max("_sum").over(Window.partitionBy(PARTITION_ID)) > chunk_bytes)
         .filter(F.col("_sum") <= chunk_bytes)
-        .drop("_sum", "_split")
+        .drop("_sum")
     )
+
+
+def _narrowing(splits: int) -> list[int]:
+    """Numbers of splits, each about the root of the one before."""
+    steps = [max(splits, 2)]
+    while steps[-1] > MANY_SPLITS:
+        steps.append(math.isqrt(steps[-1]))
+    return steps
+
+
+def _upto_here(window):
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -84,8 +84,21 @@ def accounted_bytes(df: DataFrame):
     return row_bytes(df.schema)
 
 
-def partition_load(df: DataFrame) -> tuple[int, int]:
-    """Bytes of the largest partition and of all, from per-partition totals."""
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's guess, good enough to choose how to measure."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def partition_load(df: DataFrame, enough: int = 0) -> tuple[int, int]:
+    """Bytes of the largest partition and of all, from per-partition totals.
+
+    An input estimated below ``enough`` is summed first, which spares the hashing
+    when everything together stays below it; the sum then stands for both.
+    """
+    if _estimated_bytes(df) <= enough:
+        total = df.agg(F.sum(accounted_bytes(df))).first()[0] or 0
+        if total <= enough:
+            return total, total
     totals = df.groupBy(PARTITION_ID).agg(F.sum(accounted_bytes(df)).alias("bytes"))
     largest, total = totals.agg(F.max("bytes"), F.sum("bytes")).first()
     return largest or 0, total or 0
@@ -93,21 +106,19 @@ def partition_load(df: DataFrame) -> tuple[int, int]:
 
 def place(df: DataFrame, spec: PartitionSpec) -> Placed:
     """Send rows that carry a partition number to tasks and sort them there."""
-    largest, total = partition_load(df)
+    largest, total = partition_load(df, spec.task_bytes)
     order = spec_sort_key(df, spec)
     if largest <= spec.task_bytes:
+        # Task n holds partition n and nothing else, so the number is no sort column.
         moved = df.repartitionById(spec.partitions, quoted(PARTITION_ID).cast("int"))
-        tasks, split = spec.partitions, False
-    else:
-        tasks, split = -(-2 * total // spec.task_bytes), True
-        if spec.key is None:
-            df, copy_no = _number_copies(df)
-            order = [*order, copy_no]
-        moved = df.repartitionByRange(tasks, PARTITION_ID, *[quoted(c) for c in order])
-    placed = moved.sortWithinPartitions(PARTITION_ID, *[quoted(c) for c in order])
-    if split and spec.key is None:
-        placed = placed.drop(copy_no)
-    return Placed(placed, tasks, split)
+        return Placed(moved.sortWithinPartitions(*[quoted(c) for c in order]), spec.partitions, False)
+    tasks, columns = -(-2 * total // spec.task_bytes), df.columns
+    if spec.key is None:
+        df, copy_no = _number_copies(df)
+        order = [*order, copy_no]
+    keys = [quoted(c) for c in (PARTITION_ID, *order)]
+    moved = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    return Placed(moved.select(*[quoted(c) for c in columns]), tasks, True)
 
 
 def _number_copies(df: DataFrame) -> tuple[DataFrame, str]:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chunkspark.operators.partition import (
-    PARTITION_ID, ROW_POS, PartitionSpec, Placed, add_partition_id,
-    partition_load, place, spec_sort_key,
+    PARTITION_ID, ROW_POS, PartitionSpec, Placed, add_partition_id, place,
 )
 from chunkspark.functions.types import quoted
 from chunkspark.session import checkpointed
@@ -40,16 +39,15 @@ def join_blocks(rows: DataFrame, blocks: DataFrame, tasks: int, partitions: int)
 
 def with_row_pos(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     """Rows with ``partition_id`` and ``row_pos``, counted in the order of the spec."""
-    numbered = add_partition_id(df, spec)
-    if partition_load(numbered)[0] <= spec.task_bytes:
-        order = [quoted(c) for c in spec_sort_key(numbered, spec)]
-        window = Window.partitionBy(PARTITION_ID).orderBy(*order)
-        return numbered.withColumn(ROW_POS, (F.row_number().over(window) - 1).cast("long"))
-    placed = place(numbered, spec)
+    placed = place(add_partition_id(df, spec), spec)
+    if not placed.split:
+        # A task holds one whole partition, so a row's place in the task is its position.
+        in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+        return placed.df.withColumn(ROW_POS, in_task)
     rows = freeze_blocks(placed)
     blocks = rows.groupBy(PARTITION_ID, BLOCK).agg(F.count(F.lit(1)).alias("_rows"), F.min(AT).alias("_first"))
     before = Window.partitionBy(PARTITION_ID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
     joined = join_blocks(rows, blocks, placed.tasks, spec.partitions)
     pos = F.col("_before") + F.col(AT) - F.col("_first")
-    return joined.select(*[quoted(c) for c in numbered.columns], pos.alias(ROW_POS))
+    return joined.select(*[quoted(c) for c in placed.df.columns], pos.alias(ROW_POS))

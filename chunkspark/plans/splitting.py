@@ -122,6 +122,18 @@ def in_place(spark, sf_dir):
     return read_in_place(spark, rows, PartitionSpec(8, ("o_custkey",), (), "o_orderkey"))
 
 
+@query("read_in_place_buckets", f"SELECT {LINEITEM_COLUMNS} FROM lineitem")
+def in_place_buckets(spark, sf_dir):
+    """Buckets of the source serve as partitions. Their numbers come from the
+    engine's own hash, so only the rows are shown."""
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    name = new_name("lineitem_in_place")
+    spec = PartitionSpec(8, ("l_orderkey",), ("l_orderkey", "l_linenumber"))
+    materialize_result(spark, name, lineitem(spark, sf_dir), spec, path=scratch(spark, name), layout="bucketed")
+    rows = read_in_place(spark, f"SELECT * FROM {name}", spec, bucketed_by=["l_orderkey"])
+    return rows.drop("partition_id")
+
+
 @query(
     "partition_report",
     f"""SELECT partition_id, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(bytes) AS BIGINT) AS bytes

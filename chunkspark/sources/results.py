@@ -53,7 +53,7 @@ def materialize_result(
             raise ValueError("a bucketed result needs partition columns")
         by = list(spec.by)
         bucket = F.pmod(F.hash(*[quoted(c) for c in by]), F.lit(spec.partitions)).cast("long")
-        largest, _ = partition_load(rows.withColumn(PARTITION_ID, bucket))
+        largest, _ = partition_load(rows.withColumn(PARTITION_ID, bucket), spec.task_bytes)
         # One file per bucket while buckets fit a task; a hot one is left spread over many.
         if largest <= spec.task_bytes:
             rows = rows.repartition(spec.partitions, *[quoted(c) for c in by])
@@ -116,7 +116,7 @@ def read_in_place(
     if not spec.order:
         return numbered
     order = spec_sort_key(numbered, spec)
-    if buckets and partition_load(numbered)[0] <= spec.task_bytes:
+    if buckets and partition_load(numbered, spec.task_bytes)[0] <= spec.task_bytes:
         # Without this setting the scan drops its buckets after the shuffle that
         # relied on them has been removed, and keys end up in several tasks.
         if spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") != "false":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from chunkspark.functions.codec import (
-    datetime_to_micros, micros_to_time_text, time_text_to_micros, unpad_fixed,
+    micros_to_time_text, time_text_to_micros, unpad_fixed,
 )
 from chunkspark.functions.types import (
     DATETIME, DOUBLE, FIXED, TIME, VARIABLE, check_supported, quoted, type_class, value_width,
@@ -13,7 +13,6 @@ from chunkspark.functions.types import (
 
 # Fixed values of the file format.
 TAB, NULL_MARK = "\t", "\\N"
-DOUBLE_FORMAT = "%.17e"
 # One byte is one character of this encoding, so any bytes pass the CSV reader unchanged.
 BYTES_AS_TEXT = "ISO-8859-1"
 
@@ -27,10 +26,9 @@ def _quoted_text(raw: Column) -> Column:
 
 
 def _datetime_text(column: Column) -> Column:
-    """Seconds, and the microseconds only where there are any."""
-    micros = F.pmod(datetime_to_micros(column), F.lit(1_000_000).cast("long"))
-    whole = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-    return F.when(micros == 0, whole).otherwise(F.format_string("%s.%06d", whole, micros))
+    """Seconds, and six digits after them only where there are microseconds."""
+    text = column.cast("string")
+    return F.when(F.instr(text, ".") > 0, F.rpad(text, 26, "0")).otherwise(text)
 
 
 def tsv_value(field: T.StructField) -> Column:
@@ -47,15 +45,15 @@ def tsv_value(field: T.StructField) -> Column:
         value = F.when(F.octet_length(raw) > width, too_long).otherwise(padded)
         text = F.when(unpad_fixed(value, width, is_text).isNotNull(), _quoted_text(value))
     elif kind == DOUBLE:
-        text = F.when(~F.isnan(column), F.format_string(DOUBLE_FORMAT, column))
+        # The shortest text that reads back as the same number.
+        text = F.when(~F.isnan(column), column.cast("string"))
     elif kind == TIME:
         text = micros_to_time_text(column)
     elif kind == DATETIME:
         text = _datetime_text(column.cast("timestamp_ntz"))
     else:
         text = column.cast("string")
-    # format_string prints NULL as a word.
-    return F.coalesce(F.when(column.isNotNull(), text), F.lit(NULL_MARK))
+    return F.coalesce(text, F.lit(NULL_MARK))
 
 
 def export_tsv(df: DataFrame, path: str, rows_per_file: int = 1_000_000, mode: str = "errorifexists") -> None:

@@ -47,7 +47,7 @@ def test_tsv_text(spark, tmp_path):
     line = (tmp_path / "t").glob("part-*.txt").__next__().read_bytes().decode().rstrip("\n")
     cells = line.split("\t")
     assert cells[:2] == ["-1460002", "12507"]
-    assert float(cells[2]) == 1.23456789012345 and "e+00" in cells[2]
+    assert float(cells[2]) == 1.23456789012345
     assert cells[3:7] == ['"textVAL_рус"', '"LOOONGVAL"', '"varcharVAL"', '"varbinaryVAL"']
     assert cells[7] == '"' + "русVAL" + " " * 55 + '"' and cells[8] == '"fbVAL\0\0\0\0"'
     assert cells[9:] == ["2021-05-05 12:00:00", "1961-01-01 12:13:14.987654", "2021-05-05", "11:11:11.001234"]

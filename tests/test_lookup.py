@@ -88,8 +88,10 @@ def test_rows_by_keys_stop_where_the_chunk_is_full(stored, limit):
         assert {r.truncated for r in got if r.partition_id == number} == {truncated}
 
 
-def test_prefix_is_exact_for_uneven_rows(spark):
+@pytest.mark.parametrize("many", [128, 3])
+def test_prefix_is_exact_for_uneven_rows(spark, monkeypatch, many):
     """A small row after one that does not fit must not slip in."""
+    monkeypatch.setattr(lookup, "MANY_SPLITS", many)
     rows = spark.range(3_000).select(
         F.lit(0).cast("long").alias("partition_id"), F.col("id").alias("row_id"),
         F.when(F.pmod(F.xxhash64("id"), F.lit(5)) == 0, 700).otherwise(10).cast("long").alias("row_bytes"),
