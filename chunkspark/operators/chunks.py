@@ -10,6 +10,7 @@ partition; then all blocks are packed at once from their known entries.
 
 from __future__ import annotations
 
+import math
 import sys
 from dataclasses import replace
 
@@ -81,7 +82,7 @@ def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int, columns: li
     if not placed.split:
         return _pack_in_order(placed.df, limit)
     rows = freeze_blocks(placed)
-    joined = join_blocks(rows, _block_entries(rows, limit), placed.tasks, spec.partitions)
+    joined = join_blocks(rows, _block_entries(rows, limit, placed.tasks), placed.tasks, spec.partitions)
     return _pack_in_order(joined, limit)
 
 
@@ -157,18 +158,45 @@ def _pack_in_order(df: DataFrame, limit: int) -> DataFrame:
 
 # ---- partitions over several blocks ------------------------------------------
 
-_SUMMARY = (
-    f"{PARTITION_ID} long, {BLOCK} long, rows long, bytes long, "
-    "before array<long>, opened array<long>, left array<long>"
-)
-_ENTRY_SCHEMA = f"{PARTITION_ID} long, {BLOCK} long, {ENTRY[0]} long, {ENTRY[1]} long, {ENTRY[2]} long"
+SPAN = "_span"
+# Blocks whose statements one task may chain for a partition.
+CHAINED_BLOCKS = 2_000
+
+_STATED = "rows long, bytes long, before array<long>, opened array<long>, left array<long>"
+_ENTERED = ", ".join(f"{c} long" for c in ENTRY)
+
+
+def _block_entries(rows: DataFrame, limit: int, blocks: int) -> DataFrame:
+    """State in which packing enters every (partition, block).
+
+    Statements of one partition are chained in the order of its blocks. With many
+    blocks that is done in spans: each span is joined to one statement, those are
+    chained, and then every span is chained inside from its own entry.
+    """
+    stated = rows.select(PARTITION_ID, BLOCK, ROW_BYTES).mapInArrow(
+        _summarise(limit), f"{PARTITION_ID} long, {BLOCK} long, {_STATED}"
+    )
+    if blocks <= CHAINED_BLOCKS:
+        return _chained(stated, [PARTITION_ID], BLOCK, limit)
+    length = math.isqrt(blocks)
+    stated = stated.withColumn(SPAN, F.call_function("div", F.col(BLOCK), F.lit(length).cast("long")))
+    spans = _ordered(stated, [PARTITION_ID, SPAN], BLOCK).mapInArrow(
+        _join_spans(limit), f"{PARTITION_ID} long, {SPAN} long, {_STATED}"
+    )
+    entered = stated.join(_chained(spans, [PARTITION_ID], SPAN, limit), [PARTITION_ID, SPAN])
+    return _chained(entered, [PARTITION_ID, SPAN], BLOCK, limit).drop(SPAN)
 
 
-def _block_entries(rows: DataFrame, limit: int) -> DataFrame:
-    """State in which packing enters every (partition, block)."""
-    summaries = rows.select(PARTITION_ID, BLOCK, ROW_BYTES).mapInArrow(_summarise(limit), _SUMMARY)
-    ordered = summaries.repartition(PARTITION_ID).sortWithinPartitions(PARTITION_ID, BLOCK)
-    return ordered.mapInArrow(_chain(limit), _ENTRY_SCHEMA)
+def _ordered(df: DataFrame, group: list[str], step: str) -> DataFrame:
+    return df.repartition(*group).sortWithinPartitions(*group, step)
+
+
+def _chained(stated: DataFrame, group: list[str], step: str, limit: int) -> DataFrame:
+    """Entry of every step of every group. Entry columns, if there are any, give the
+    state a group starts with."""
+    schema = ", ".join(f"{c} long" for c in (*group, step))
+    resumed = ENTRY[0] in stated.columns
+    return _ordered(stated, group, step).mapInArrow(_chain(limit, group, step, resumed), f"{schema}, {_ENTERED}")
 
 
 def _outcomes(sizes: np.ndarray, limit: int) -> tuple[list, list, list]:
@@ -228,24 +256,69 @@ def _summarise(limit: int):
     return run
 
 
-def _chain(limit: int):
+def _pass(statement: dict, used: int, limit: int) -> tuple[int, int]:
+    """Chunks a stretch opens and bytes it leaves when entered with ``used`` bytes."""
+    if used + statement["bytes"] <= limit:
+        return 0, used + statement["bytes"]
+    way = int(np.searchsorted(statement["before"], limit - used, side="right")) - 1
+    return statement["opened"][way], statement["left"][way]
+
+
+def _after(first: dict, second: dict, limit: int) -> dict:
+    """Statement of two stretches in a row."""
+    passed = [_pass(second, left, limit) for left in first["left"]]
+    shifted = [b + first["bytes"] for b in second["before"] if b + first["bytes"] <= limit]
+    through = len(shifted)
+    return {
+        "rows": first["rows"] + second["rows"],
+        "bytes": first["bytes"] + second["bytes"],
+        "before": [*first["before"], *shifted],
+        "opened": [*[n + more for n, (more, _) in zip(first["opened"], passed)], *second["opened"][:through]],
+        "left": [*[left for _, left in passed], *second["left"][:through]],
+    }
+
+
+def _join_spans(limit: int):
+    def run(batches):
+        key, held = None, None
+
+        def joined():
+            values = [*key, *[held[c] for c in ("rows", "bytes", "before", "opened", "left")]]
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 3
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(values, kinds)],
+                names=[PARTITION_ID, SPAN, "rows", "bytes", "before", "opened", "left"],
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row[PARTITION_ID], row[SPAN]) == key:
+                    held = _after(held, row, limit)
+                    continue
+                if key is not None:
+                    yield joined()
+                key, held = (row[PARTITION_ID], row[SPAN]), row
+        if key is not None:
+            yield joined()
+
+    return run
+
+
+def _chain(limit: int, group: list[str], step: str, resumed: bool):
+    names = [*group, step, *ENTRY]
+
     def run(batches):
         current, chunk, used, pos = None, -1, limit, 0
         for batch in batches:
             entries = []
             for row in batch.to_pylist():
-                if row[PARTITION_ID] != current:
-                    current, chunk, used, pos = row[PARTITION_ID], -1, limit, 0
-                entries.append((current, row[BLOCK], chunk, used, pos))
-                pos += row["rows"]
-                if used + row["bytes"] <= limit:
-                    used += row["bytes"]
-                    continue
-                way = int(np.searchsorted(row["before"], limit - used, side="right")) - 1
-                chunk, used = chunk + row["opened"][way], row["left"][way]
-            columns = list(zip(*entries)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=[PARTITION_ID, BLOCK, *ENTRY]
-            )
+                key = [row[c] for c in group]
+                if key != current:
+                    current, (chunk, used, pos) = key, [row[c] for c in ENTRY] if resumed else (-1, limit, 0)
+                entries.append((*key, row[step], chunk, used, pos))
+                opened, used = _pass(row, used, limit)
+                chunk, pos = chunk + opened, pos + row["rows"]
+            columns = list(zip(*entries)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     return run

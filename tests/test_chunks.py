@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from chunkspark import (
     ChunkTooSmallError, PartitionSpec, chunk_index, compare_passes, order_violations, pack_chunks,
 )
-from chunkspark.operators.chunks import _outcomes, _walk
+from chunkspark.operators import chunks
+from chunkspark.operators.chunks import _after, _outcomes, _pass, _walk
 
 SPEC = PartitionSpec(3, ("i1",), ("i1", "d1"), "row_id")
 
@@ -132,6 +133,30 @@ def test_equal_sizes_over_many_blocks(spark):
     assert_greedy(split, 777)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 20), min_size=1, max_size=12), min_size=2, max_size=6), st.integers(20, 60))
+def test_joined_statements_hold_for_every_entry(stretches, limit):
+    def stated(sizes):
+        before, opened, left = _outcomes(np.array(sizes), limit)
+        return {"rows": len(sizes), "bytes": sum(sizes), "before": before, "opened": opened, "left": left}
+
+    joined = stated(stretches[0])
+    for sizes in stretches[1:]:
+        joined = _after(joined, stated(sizes), limit)
+    whole = np.array(sum(stretches, []))
+    for used in range(limit + 1):
+        starts, left = _walk(whole, used, limit)
+        assert _pass(joined, used, limit) == (len(starts), left)
+
+
+@pytest.mark.parametrize("text", ["repeat('q', cast(id % 13 as int))", "'same'"])
+def test_blocks_chained_in_spans(spark, monkeypatch, text):
+    monkeypatch.setattr(chunks, "CHAINED_BLOCKS", 3)
+    rows = spark.range(3_000).select("id", F.expr(text).alias("t"))
+    for limit in (60, 333, 30_000):
+        assert_greedy(pack_chunks(rows, PartitionSpec(2, (), ("id",), "id", 4_000), limit), limit)
+
+
 def test_joined_blocks_keep_their_order_without_broadcast(spark, monkeypatch):
     from chunkspark.operators import positions
     monkeypatch.setattr(positions, "BROADCAST_ROWS", 0)
