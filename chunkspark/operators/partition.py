@@ -33,7 +33,7 @@ class PartitionSpec:
     partitions   number of partitions
     by           columns whose equal values stay in one partition; empty = any split
     order        order of the rows inside a partition
-    key          unique column that makes the order total; without one all columns do
+    key          column that makes the order total; without one all columns do
     task_bytes   chunk bytes of rows one task may take
     """
 

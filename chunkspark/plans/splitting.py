@@ -122,6 +122,18 @@ def in_place(spark, sf_dir):
     return read_in_place(spark, rows, PartitionSpec(8, ("o_custkey",), (), "o_orderkey"))
 
 
+@query(
+    "partition_arrays",
+    f"""SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dimensions,
+        {partition_number([key_text('label')], 8)} AS partition_id FROM embeddings""",
+)
+def arrays(spark, sf_dir):
+    """Columns without an exchange form are carried along."""
+    rows = partition_result(read_table(spark, sf_dir, "embeddings"), PartitionSpec(8, ("label",), ("label",), "vec_id"))
+    dimensions = F.size("embedding").cast("long").alias("dimensions")
+    return rows.select("vec_id", "label", dimensions, "partition_id")
+
+
 @query("read_in_place_buckets", f"SELECT {LINEITEM_COLUMNS} FROM lineitem")
 def in_place_buckets(spark, sf_dir):
     """Buckets of the source serve as partitions. Their numbers come from the
