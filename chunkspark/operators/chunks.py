@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from chunkspark.functions.types import check_supported, fixed_row_bytes, quoted, row_bytes
 from chunkspark.operators.partition import (
-    CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, add_partition_id, place, spec_sort_key,
+    CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, Placed, add_partition_id, place, spec_sort_key, union_of,
 )
-from chunkspark.operators.positions import BLOCK, freeze_blocks, join_blocks, with_row_pos
+from chunkspark.operators.positions import AT, BLOCK, freeze_blocks, join_blocks, with_row_pos
 
 ENTRY = ("_chunk", "_used", "_pos")
 
@@ -75,15 +75,19 @@ def chunk_index(chunks: DataFrame) -> DataFrame:
 
 
 def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int, columns: list[str]) -> DataFrame:
-    placed = place(add_partition_id(sized, spec), spec)
     # Sorted rows need their sort columns no more.
-    carried = dict.fromkeys([*columns, PARTITION_ID, ROW_BYTES])
-    placed = replace(placed, df=placed.df.select(*[quoted(c) for c in carried]))
+    carried = [quoted(c) for c in dict.fromkeys([*columns, PARTITION_ID, ROW_BYTES])]
+    parts = place(add_partition_id(sized, spec), spec)
+    return union_of([_pack_placed(replace(p, df=p.df.select(*carried)), spec, limit) for p in parts])
+
+
+def _pack_placed(placed: Placed, spec: PartitionSpec, limit: int) -> DataFrame:
     if not placed.split:
         return _pack_in_order(placed.df, limit)
     rows = freeze_blocks(placed)
-    joined = join_blocks(rows, _block_entries(rows, limit, placed.tasks), placed.tasks, spec.partitions)
-    return _pack_in_order(joined, limit)
+    entries = _block_entries(rows, limit, placed.tasks)
+    joined = join_blocks(rows, entries, placed.tasks, spec.partitions)
+    return _pack_in_order(joined, limit).drop(AT)
 
 
 # ---- the walk ----------------------------------------------------------------

@@ -1,16 +1,16 @@
 """Split a result into partitions: number them, place them, order them.
 
 A partition is a number carried by the rows: rows with equal partition columns
-have equal numbers. Which task works on a row is a separate question. As long as
-every partition fits ``task_bytes`` one task holds one partition. Once a hot key
-makes a partition larger, rows are range-placed by (partition, sort key), so that
-a large partition runs over as many tasks as it needs, each with one contiguous
-stretch of its order.
+have equal numbers. Which task works on a row is a separate question. A partition
+that fits ``task_bytes`` is held by one task. The rows of larger ones, which hot
+keys make, are range-placed by (partition, sort key), so that a large partition
+runs over as many tasks as it needs, each with one contiguous stretch of its order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,6 +24,8 @@ ROW_BYTES = "row_bytes"
 
 # Copies of one row that a task may produce by itself when it spreads copies out.
 COPIES_AT_ONCE = 65_536
+# Large partitions that may be told from the others by a list.
+LISTED_PARTITIONS = 1_000
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,8 @@ class PartitionSpec:
 
 @dataclass(frozen=True)
 class Placed:
-    """Rows placed and sorted; ``split`` when a partition may span tasks."""
+    """Rows of some partitions, placed and sorted; ``split`` when a partition may
+    span tasks."""
 
     df: DataFrame
     tasks: int
@@ -89,30 +92,69 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def partition_load(df: DataFrame, enough: int = 0) -> tuple[int, int]:
-    """Bytes of the largest partition and of all, from per-partition totals.
+def _fits(df: DataFrame, limit: int) -> bool:
+    """Whether all rows together stay within ``limit``. Only an input estimated to do
+    so is summed, which is cheaper than totals per partition: nothing is hashed."""
+    return _estimated_bytes(df) <= limit and total_bytes(df) <= limit
 
-    An input estimated below ``enough`` is summed first, which spares the hashing
-    when everything together stays below it; the sum then stands for both.
-    """
-    if _estimated_bytes(df) <= enough:
-        total = df.agg(F.sum(accounted_bytes(df))).first()[0] or 0
-        if total <= enough:
-            return total, total
+
+def total_bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(accounted_bytes(df))).first()[0] or 0
+
+
+def largest_partition(df: DataFrame) -> int:
+    """Bytes of the largest partition, from per-partition totals."""
     totals = df.groupBy(PARTITION_ID).agg(F.sum(accounted_bytes(df)).alias("bytes"))
-    largest, total = totals.agg(F.max("bytes"), F.sum("bytes")).first()
-    return largest or 0, total or 0
-
-
-def place(df: DataFrame, spec: PartitionSpec) -> Placed:
-    """Send rows that carry a partition number to tasks and sort them there."""
-    largest, total = partition_load(df, spec.task_bytes)
-    order = spec_sort_key(df, spec)
-    if largest <= spec.task_bytes:
-        # Task n holds partition n and nothing else, so the number is no sort column.
-        moved = df.repartitionById(spec.partitions, quoted(PARTITION_ID).cast("int"))
-        return Placed(moved.sortWithinPartitions(*[quoted(c) for c in order]), spec.partitions, False)
-    tasks, columns = -(-2 * total // spec.task_bytes), df.columns
+    return totals.agg(F.max("bytes")).first()[0] or 0
+
+
+def partitions_fit(df: DataFrame, limit: int) -> bool:
+    """Whether no partition is larger than ``limit``."""
+    return _fits(df, limit) or largest_partition(df) <= limit
+
+
+def _sizes(df: DataFrame, spec: PartitionSpec) -> tuple[list[int] | None, int]:
+    """Partitions larger than a task and their bytes; None when that is all of them
+    or more than a filter should list."""
+    large = F.col("bytes") > spec.task_bytes
+    totals = df.groupBy(PARTITION_ID).agg(F.sum(accounted_bytes(df)).alias("bytes"))
+    row = totals.agg(
+        F.count(F.lit(1)).alias("used"),
+        F.count_if(large).alias("large"),
+        F.sum("bytes").alias("bytes"),
+        F.sum(F.when(large, F.col("bytes"))).alias("large_bytes"),
+        F.slice(F.sort_array(F.collect_list(F.when(large, F.col(PARTITION_ID)))), 1, LISTED_PARTITIONS).alias("ids"),
+    ).first()
+    if row.large == 0:
+        return [], 0
+    if row.large == row.used or row.large > LISTED_PARTITIONS:
+        return None, row.bytes
+    return row.ids, row.large_bytes
+
+
+def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
+    """Send rows that carry a partition number to tasks and sort them there:
+    partitions that fit a task, and apart from them those that do not."""
+    if _fits(df, spec.task_bytes):
+        return [_place_whole(df, spec)]
+    large, large_bytes = _sizes(df, spec)
+    if large is None:
+        return [_place_split(df, spec, large_bytes)]
+    if not large:
+        return [_place_whole(df, spec)]
+    is_large = quoted(PARTITION_ID).isin(large)
+    return [_place_whole(df.filter(~is_large), spec), _place_split(df.filter(is_large), spec, large_bytes)]
+
+
+def _place_whole(df: DataFrame, spec: PartitionSpec) -> Placed:
+    # Task n holds partition n and nothing else, so the number is no sort column.
+    moved = df.repartitionById(spec.partitions, quoted(PARTITION_ID).cast("int"))
+    order = [quoted(c) for c in spec_sort_key(df, spec)]
+    return Placed(moved.sortWithinPartitions(*order), spec.partitions, False)
+
+
+def _place_split(df: DataFrame, spec: PartitionSpec, size: int) -> Placed:
+    tasks, columns, order = -(-2 * size // spec.task_bytes), df.columns, spec_sort_key(df, spec)
     if spec.key is None:
         df, copy_no = _number_copies(df)
         order = [*order, copy_no]
@@ -121,6 +163,10 @@ def place(df: DataFrame, spec: PartitionSpec) -> Placed:
     return Placed(moved.select(*[quoted(c) for c in columns]), tasks, True)
 
 
+def union_of(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _number_copies(df: DataFrame) -> tuple[DataFrame, str]:
     """Tell equal rows apart, so that a range can end among them.
 
@@ -145,4 +191,4 @@ def _number_copies(df: DataFrame) -> tuple[DataFrame, str]:
 
 def partition_result(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     """Rows with ``partition_id``, co-located by it and sorted inside each partition."""
-    return place(add_partition_id(df, spec), spec).df
+    return union_of([part.df for part in place(add_partition_id(df, spec), spec)])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chunkspark.operators.checks import compare_passes, order_violations
 from chunkspark.operators.chunks import chunk_index, pack_chunks
 from chunkspark.operators.lookup import get_chunks, get_rows_by_keys, get_rows_by_position, rows_by_key
-from chunkspark.operators.partition import PartitionSpec, add_partition_id, partition_load
+from chunkspark.operators.partition import PartitionSpec, add_partition_id, largest_partition
 from chunkspark.plans.inputs import (
     LINEITEM_BYTES, ORDERS_BYTES, ORDERS_CHUNK, ORDERS_COLUMNS, ORDERS_NUMBER, ORDERS_PACKED, ORDERS_PLACED,
     ORDERS_SPEC, lineitem, new_name, orders, scratch,
@@ -106,7 +106,7 @@ def pack_split_partition(spark, sf_dir):
     spread over several tasks."""
     rows = orders(spark, sf_dir)
     spec = PartitionSpec(8, ("o_orderstatus",), ("o_orderdate",), "o_orderkey")
-    largest, _ = partition_load(add_partition_id(rows, spec))
+    largest = largest_partition(add_partition_id(rows, spec))
     spec = replace(spec, task_bytes=min(spec.task_bytes, largest // 4))
     return pack_chunks(rows, spec, ORDERS_CHUNK, keep=["o_orderkey"])
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chunkspark.functions.types import quoted
 from chunkspark.operators.chunks import pack_chunks
 from chunkspark.operators.partition import (
-    PARTITION_ID, ROW_POS, PartitionSpec, add_partition_id, partition_load, place, spec_sort_key,
+    PARTITION_ID, ROW_POS, PartitionSpec, add_partition_id, partitions_fit, place, spec_sort_key, union_of,
 )
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.session import checkpointed
@@ -53,9 +53,8 @@ def materialize_result(
             raise ValueError("a bucketed result needs partition columns")
         by = list(spec.by)
         bucket = F.pmod(F.hash(*[quoted(c) for c in by]), F.lit(spec.partitions)).cast("long")
-        largest, _ = partition_load(rows.withColumn(PARTITION_ID, bucket), spec.task_bytes)
         # One file per bucket while buckets fit a task; a hot one is left spread over many.
-        if largest <= spec.task_bytes:
+        if partitions_fit(rows.withColumn(PARTITION_ID, bucket), spec.task_bytes):
             rows = rows.repartition(spec.partitions, *[quoted(c) for c in by])
         order = spec_sort_key(rows, spec)
         writer = rows.write.bucketBy(spec.partitions, by[0], *by[1:]).sortBy(order[0], *order[1:])
@@ -116,11 +115,11 @@ def read_in_place(
     if not spec.order:
         return numbered
     order = spec_sort_key(numbered, spec)
-    if buckets and partition_load(numbered, spec.task_bytes)[0] <= spec.task_bytes:
+    if buckets and partitions_fit(numbered, spec.task_bytes):
         # Without this setting the scan drops its buckets after the shuffle that
         # relied on them has been removed, and keys end up in several tasks.
         if spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") != "false":
             raise RuntimeError("set spark.sql.sources.bucketing.autoBucketedScan.enabled to false")
         numbered = numbered.repartition(spec.partitions, *[quoted(c) for c in buckets])
         return numbered.sortWithinPartitions(PARTITION_ID, *[quoted(c) for c in order])
-    return place(numbered, spec).df
+    return union_of([part.df for part in place(numbered, spec)])

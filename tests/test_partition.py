@@ -66,11 +66,26 @@ def test_one_task_holds_whole_partitions_and_sorts_them(small):
 def test_a_hot_key_runs_in_many_tasks(spark):
     hot = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
     spec = PartitionSpec(4, ("k",), ("k",), "id", task_bytes=8_000)
-    placed = place(add_partition_id(hot, spec), spec)
+    parts = place(add_partition_id(hot, spec), spec)
+    placed = parts[-1]
     assert placed.split
     spread = placed.df.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
     assert len(spread) >= 3 and max(r["count"] for r in spread) < 1_000
-    assert placed.df.count() == 6_000
+    assert sum(part.df.count() for part in parts) == 6_000
+
+
+def test_only_large_partitions_are_split(spark, monkeypatch):
+    hot = spark.range(6_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    spec = PartitionSpec(16, ("k",), ("k",), "id", task_bytes=20_000)
+    numbered = add_partition_id(hot, spec)
+    whole, split = place(numbered, spec)
+    assert (whole.split, split.split) == (False, True)
+    ids = [{r[0] for r in part.df.select("partition_id").distinct().collect()} for part in (whole, split)]
+    assert len(ids[1]) == 1 and not ids[0] & ids[1] and len(ids[0]) == 15
+    assert whole.df.count() + split.df.count() == 6_000
+    monkeypatch.setattr(partition_module, "LISTED_PARTITIONS", 0)
+    (everything,) = place(numbered, spec)
+    assert everything.split and everything.df.count() == 6_000
 
 
 def test_copies_of_one_row_are_spread_and_kept(spark, monkeypatch):
@@ -78,11 +93,12 @@ def test_copies_of_one_row_are_spread_and_kept(spark, monkeypatch):
     rows = spark.range(2_000).select(F.lit(1).cast("long").alias("a"), F.lit("x").alias("b"))
     rows = rows.union(spark.range(500).select("id", F.lit("y")))
     spec = PartitionSpec(2, ("a",), ("a",), None, task_bytes=6_000)
-    placed = place(add_partition_id(rows, spec), spec)
+    placed = place(add_partition_id(rows, spec), spec)[-1]
     assert placed.split and "_copy_no" not in placed.df.columns
     spread = placed.df.filter("a = 1 and b = 'x'").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in spread) == 2_000 and len(spread) >= 5
     assert placed.df.exceptAll(add_partition_id(rows, spec)).count() == 0
+    assert partition_result(rows, spec).count() == 2_500
 
 
 def test_positions_do_not_depend_on_the_split(small):
