@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from chunkspark.functions.types import (
-    DATE, DATETIME, DOUBLE, FIXED, INT32, INT64, TIME, VARIABLE,
+    DATE, DATETIME, DOUBLE, FIXED, INT32, INT64, TIME,
     aligned, check_supported, quoted, type_class, value_width,
 )
 

@@ -182,7 +182,8 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM (FROM idx EXCEPT ALL FROM idx)) AS
 )
 def second_pass(spark, sf_dir):
     """Chunks of a stored result against chunks packed again from the source."""
-    return compare_passes(chunk_index(_stored_chunks(spark, sf_dir)), chunk_index(_orders_chunks(spark, sf_dir, keep=[])))
+    stored = chunk_index(_stored_chunks(spark, sf_dir))
+    return compare_passes(stored, chunk_index(_orders_chunks(spark, sf_dir, keep=[])))
 
 
 _PREVIOUS = "lag({c}) OVER (PARTITION BY partition_id, chunk_id ORDER BY row_pos)"

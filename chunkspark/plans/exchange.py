@@ -117,7 +117,10 @@ def _through_tsv(spark, rows, stem):
     return import_tsv(spark, path, rows.schema)
 
 
-@query("tsv_round_trip_text", "SELECT doc_id, nullif(text, '') AS text, nullif(lang, 'de') AS lang, source, n_chars FROM documents")
+@query(
+    "tsv_round_trip_text",
+    "SELECT doc_id, nullif(text, '') AS text, nullif(lang, 'de') AS lang, source, n_chars FROM documents",
+)
 def tsv_text(spark, sf_dir):
     rows = read_table(spark, sf_dir, "documents").withColumn("lang", F.expr("nullif(lang, 'de')"))
     return _through_tsv(spark, rows, "documents_tsv")

@@ -81,7 +81,8 @@ def mapped_keep_empty(spark, sf_dir):
 @query(
     "insert_rows",
     """SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM supplier WHERE s_acctbal > 0) AS affected
-       FROM (SELECT * FROM supplier UNION ALL SELECT s_suppkey + 1000000000, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal > 0)""",
+       FROM (SELECT * FROM supplier UNION ALL
+             SELECT s_suppkey + 1000000000, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal > 0)""",
 )
 def insert(spark, sf_dir):
     name = _copy(spark, sf_dir, "supplier")
@@ -94,7 +95,8 @@ def insert(spark, sf_dir):
 
 @query(
     "insert_select_doubling",
-    "SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM customer) AS affected FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer)",
+    """SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM customer) AS affected
+       FROM (SELECT * FROM customer UNION ALL SELECT * FROM customer)""",
 )
 def double(spark, sf_dir):
     """A table inserted into itself."""

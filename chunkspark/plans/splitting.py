@@ -33,7 +33,10 @@ def by_order(spark, sf_dir):
     return partition_result(lineitem(spark, sf_dir), LINEITEM_SPEC)
 
 
-@query("partition_by_key", f"SELECT c_custkey, c_name, {partition_number([key_text('c_custkey')], 8)} AS partition_id FROM customer")
+@query(
+    "partition_by_key",
+    f"SELECT c_custkey, c_name, {partition_number([key_text('c_custkey')], 8)} AS partition_id FROM customer",
+)
 def by_key(spark, sf_dir):
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return partition_result(customer, PartitionSpec(8, key="c_custkey"))
@@ -84,7 +87,11 @@ def snapshot(spark, sf_dir):
     return spark.table(name)
 
 
-@query("drop_result", "SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS row_count, false AS listed FROM orders GROUP BY o_orderstatus")
+@query(
+    "drop_result",
+    """SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS row_count, false AS listed
+       FROM orders GROUP BY o_orderstatus""",
+)
 def dropped(spark, sf_dir):
     """Rows read through a snapshot stay whole; its name is gone after the drop."""
     name = new_name("orders_dropped")
@@ -180,7 +187,8 @@ def nodes(spark, sf_dir):
 
 @query(
     "row_bytes",
-    "SELECT doc_id, CAST(64 + strlen(text) + strlen(lang) + strlen(coalesce(nullif(source, 'src0'), '')) AS BIGINT) AS row_bytes FROM documents",
+    """SELECT doc_id, CAST(64 + strlen(text) + strlen(lang)
+                           + strlen(coalesce(nullif(source, 'src0'), '')) AS BIGINT) AS row_bytes FROM documents""",
 )
 def sizes(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents").withColumn("source", F.expr("nullif(source, 'src0')"))

@@ -50,7 +50,9 @@ def table_row_counts(spark: SparkSession, names) -> DataFrame:
     """Listed tables among ``names`` with their rows."""
     listed = list_tables(spark)
     counts = [
-        spark.table(quote_name(n)).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        spark.table(quote_name(n))
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(n).alias("table_name"), "row_count")
         for n in names
     ]
     counted = counts[0]

@@ -17,7 +17,9 @@ from chunkspark.operators.partition import PartitionSpec
 BATCH_ID = "batch_id"
 
 
-def read_stream(spark: SparkSession, path: str, schema, pattern: str | None = None, files_per_batch: int = 1_000) -> DataFrame:
+def read_stream(
+    spark: SparkSession, path: str, schema, pattern: str | None = None, files_per_batch: int = 1_000,
+) -> DataFrame:
     """Unbounded Parquet input with a bounded intake per batch."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
@@ -25,7 +27,9 @@ def read_stream(spark: SparkSession, path: str, schema, pattern: str | None = No
     return reader.parquet(path)
 
 
-def _deliver(stream: DataFrame, sink: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], available_now: bool) -> StreamingQuery:
+def _deliver(
+    stream: DataFrame, sink: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], available_now: bool,
+) -> StreamingQuery:
     if not stream.isStreaming:
         raise ValueError("stream_chunks and stream_load take a streaming DataFrame")
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from chunkspark import (
     PartitionSpec, chunk_index, get_chunks, get_row_by_key, get_row_by_position, get_rows_by_keys,
-    get_rows_by_position, materialize_result, pack_chunks, rows_by_key,
+    get_rows_by_position, materialize_result, rows_by_key,
 )
 from chunkspark.operators import lookup
 from chunkspark.session import shared_dir
@@ -41,7 +41,9 @@ def test_every_row_by_position_and_by_key(stored):
 
 
 def test_positions_start_at_zero(stored):
-    firsts = stored.groupBy("partition_id").agg(F.min("row_pos").alias("p"), F.max("row_pos").alias("q"), F.count("*").alias("n"))
+    firsts = stored.groupBy("partition_id").agg(
+        F.min("row_pos").alias("p"), F.max("row_pos").alias("q"), F.count("*").alias("n")
+    )
     assert all(r.p == 0 and r.q == r.n - 1 for r in firsts.collect())
 
 
