@@ -203,18 +203,20 @@ def _chained(stated: DataFrame, group: list[str], step: str, limit: int) -> Data
     return _ordered(stated, group, step).mapInArrow(_chain(limit, group, step, resumed), f"{schema}, {_ENTERED}")
 
 
-def _outcomes(sizes: np.ndarray, limit: int) -> tuple[list, list, list]:
-    """What a stretch does for each row that may open its first new chunk: bytes
-    before that row, chunks opened, bytes left in the last one.
+# A statement about a stretch of rows: its rows and bytes, and for each row that may
+# open its first new chunk the bytes before that row, the chunks opened from there
+# on, and the bytes left in the last one. Those rows lie within the first chunk's
+# bytes, and neighbours with one outcome are stated once.
+_LISTS = ("before", "opened", "left")
 
-    Only rows within the first ``limit`` bytes can be that row. Walks that meet go
-    on as one, and neighbours with one outcome are stated once.
-    """
+
+def _statement(sizes: np.ndarray, limit: int) -> dict:
     ends = np.concatenate(([0], np.cumsum(sizes)))
     follow = _next_starts(ends, limit)
     count = len(sizes)
     first = np.arange(min(int(follow[0]) + 1, count))
-    # Row each distinct walk stands on, and the walk each first row takes.
+    # Row each distinct walk stands on, and the walk each first row takes. Walks
+    # that meet go on as one.
     at, member = first, first
     opened = np.ones(len(first), np.int64)
     going = follow[at] < count
@@ -223,106 +225,105 @@ def _outcomes(sizes: np.ndarray, limit: int) -> tuple[list, list, list]:
         at, joined = np.unique(np.where(going, follow[at], at), return_inverse=True)
         member = joined[member]
         going = follow[at] < count
-    last = at[member]
-    left = ends[-1] - ends[last]
-    new = np.concatenate(([True], (np.diff(opened) != 0) | (np.diff(left) != 0)))
-    return ends[first][new].tolist(), opened[new].tolist(), left[new].tolist()
-
+    return _stated(count, int(ends[-1]), ends[first], opened, ends[-1] - ends[at[member]])
 
-def _summarise(limit: int):
-    def run(batches):
-        key, held = None, []
-
-        def statement():
-            sizes = np.concatenate(held)
-            before, opened, left = _outcomes(sizes, limit)
-            values = [[key[0]], [key[1]], [len(sizes)], [int(sizes.sum())], [before], [opened], [left]]
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 3
-            return pa.RecordBatch.from_arrays(
-                [pa.array(v, k) for v, k in zip(values, kinds)],
-                names=[PARTITION_ID, BLOCK, "rows", "bytes", "before", "opened", "left"],
-            )
 
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            ids, sizes = _ints(batch, PARTITION_ID), _ints(batch, ROW_BYTES)
-            block = int(batch.column(BLOCK)[0].as_py())
-            for start, stop in _runs(ids):
-                if key is not None and (int(ids[start]), block) != key:
-                    yield statement()
-                    held = []
-                key = (int(ids[start]), block)
-                held.append(sizes[start:stop])
-        if key is not None:
-            yield statement()
-
-    return run
+def _stated(rows: int, size: int, before: np.ndarray, opened: np.ndarray, left: np.ndarray) -> dict:
+    new = np.concatenate(([True], (np.diff(opened) != 0) | (np.diff(left) != 0)))
+    return {"rows": rows, "bytes": size, "before": before[new], "opened": opened[new], "left": left[new]}
 
 
-def _pass(statement: dict, used: int, limit: int) -> tuple[int, int]:
+def _pass(statement: dict, used, limit: int):
     """Chunks a stretch opens and bytes it leaves when entered with ``used`` bytes."""
-    if used + statement["bytes"] <= limit:
-        return 0, used + statement["bytes"]
-    way = int(np.searchsorted(statement["before"], limit - used, side="right")) - 1
-    return statement["opened"][way], statement["left"][way]
+    through = used + statement["bytes"]
+    way = np.searchsorted(statement["before"], limit - used, side="right") - 1
+    opened = np.where(through <= limit, 0, statement["opened"][way])
+    return opened, np.where(through <= limit, through, statement["left"][way])
 
 
 def _after(first: dict, second: dict, limit: int) -> dict:
     """Statement of two stretches in a row."""
-    passed = [_pass(second, left, limit) for left in first["left"]]
-    shifted = [b + first["bytes"] for b in second["before"] if b + first["bytes"] <= limit]
-    through = len(shifted)
-    return {
-        "rows": first["rows"] + second["rows"],
-        "bytes": first["bytes"] + second["bytes"],
-        "before": [*first["before"], *shifted],
-        "opened": [*[n + more for n, (more, _) in zip(first["opened"], passed)], *second["opened"][:through]],
-        "left": [*[left for _, left in passed], *second["left"][:through]],
-    }
+    more, left = _pass(second, first["left"], limit)
+    # Rows of the second stretch that can open a chunk after the whole first one.
+    reached = int(np.searchsorted(second["before"], limit - first["bytes"], side="right"))
+    return _stated(
+        first["rows"] + second["rows"],
+        first["bytes"] + second["bytes"],
+        np.concatenate((first["before"], second["before"][:reached] + first["bytes"])),
+        np.concatenate((first["opened"] + more, second["opened"][:reached])),
+        np.concatenate((left, second["left"][:reached])),
+    )
 
 
-def _join_spans(limit: int):
-    def run(batches):
-        key, held = None, None
+def _statements(batch: pa.RecordBatch):
+    rows, sizes = _ints(batch, "rows"), _ints(batch, "bytes")
+    lists = [batch.column(name) for name in _LISTS]
+    for i in range(batch.num_rows):
+        values = {name: column[i].values.to_numpy() for name, column in zip(_LISTS, lists)}
+        yield {"rows": int(rows[i]), "bytes": int(sizes[i]), **values}
+
+
+def _folded(statements, names: list[str], limit: int):
+    """One statement for each run of equal keys, from (key, statement) pairs."""
+    held_key, held = None, None
+
+    def row():
+        columns = [pa.array([v], pa.int64()) for v in (*held_key, held["rows"], held["bytes"])]
+        columns += [pa.array([held[name]], pa.list_(pa.int64())) for name in _LISTS]
+        return pa.RecordBatch.from_arrays(columns, names=[*names, "rows", "bytes", *_LISTS])
 
-        def joined():
-            values = [*key, *[held[c] for c in ("rows", "bytes", "before", "opened", "left")]]
-            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 3
-            return pa.RecordBatch.from_arrays(
-                [pa.array([v], k) for v, k in zip(values, kinds)],
-                names=[PARTITION_ID, SPAN, "rows", "bytes", "before", "opened", "left"],
-            )
+    for key, statement in statements:
+        if key == held_key:
+            held = _after(held, statement, limit)
+            continue
+        if held_key is not None:
+            yield row()
+        held_key, held = key, statement
+    if held_key is not None:
+        yield row()
 
+
+def _summarise(limit: int):
+    """Statements of blocks, batch by batch."""
+    def stated(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                if (row[PARTITION_ID], row[SPAN]) == key:
-                    held = _after(held, row, limit)
-                    continue
-                if key is not None:
-                    yield joined()
-                key, held = (row[PARTITION_ID], row[SPAN]), row
-        if key is not None:
-            yield joined()
+            if batch.num_rows == 0:
+                continue
+            ids, blocks, sizes = (_ints(batch, c) for c in (PARTITION_ID, BLOCK, ROW_BYTES))
+            for start, stop in _runs(ids, blocks):
+                yield (int(ids[start]), int(blocks[start])), _statement(sizes[start:stop], limit)
 
-    return run
+    return lambda batches: _folded(stated(batches), [PARTITION_ID, BLOCK], limit)
+
+
+def _join_spans(limit: int):
+    """Statements of spans from those of their blocks in order."""
+    def stated(batches):
+        for batch in batches:
+            keys = zip(_ints(batch, PARTITION_ID).tolist(), _ints(batch, SPAN).tolist())
+            yield from zip(keys, _statements(batch))
+
+    return lambda batches: _folded(stated(batches), [PARTITION_ID, SPAN], limit)
 
 
 def _chain(limit: int, group: list[str], step: str, resumed: bool):
+    """Entries of the steps of a group in order."""
     names = [*group, step, *ENTRY]
 
     def run(batches):
         current, chunk, used, pos = None, -1, limit, 0
         for batch in batches:
-            entries = []
-            for row in batch.to_pylist():
-                key = [row[c] for c in group]
+            columns = {c: _ints(batch, c).tolist() for c in (names if resumed else [*group, step])}
+            entries = {c: [] for c in ENTRY}
+            for i, statement in enumerate(_statements(batch)):
+                key = [columns[c][i] for c in group]
                 if key != current:
-                    current, (chunk, used, pos) = key, [row[c] for c in ENTRY] if resumed else (-1, limit, 0)
-                entries.append((*key, row[step], chunk, used, pos))
-                opened, used = _pass(row, used, limit)
-                chunk, pos = chunk + opened, pos + row["rows"]
-            columns = list(zip(*entries)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+                    current, (chunk, used, pos) = key, [columns[c][i] for c in ENTRY] if resumed else (-1, limit, 0)
+                for name, value in zip(ENTRY, (chunk, used, pos)):
+                    entries[name].append(value)
+                opened, left = _pass(statement, used, limit)
+                chunk, used, pos = chunk + int(opened), int(left), pos + statement["rows"]
+            columns.update(entries)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[c], pa.int64()) for c in names], names=names)
 
     return run

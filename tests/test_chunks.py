@@ -10,7 +10,7 @@ from chunkspark import (
     ChunkTooSmallError, PartitionSpec, chunk_index, compare_passes, order_violations, pack_chunks,
 )
 from chunkspark.operators import chunks
-from chunkspark.operators.chunks import _after, _outcomes, _pass, _walk
+from chunkspark.operators.chunks import _after, _pass, _statement, _walk
 
 SPEC = PartitionSpec(3, ("i1",), ("i1", "d1"), "row_id")
 
@@ -49,18 +49,17 @@ def test_walk_matches_greedy_from_any_entry(sizes, limit, data):
     assert (starts, left) == (opened, held)
 
 
+def assert_holds(statement, sizes, limit):
+    for used in range(limit + 1):
+        starts, left = _walk(sizes, used, limit)
+        assert tuple(int(v) for v in _pass(statement, used, limit)) == (len(starts), left)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=60), st.integers(20, 60))
-def test_outcomes_hold_for_every_entry(sizes, limit):
+def test_a_statement_holds_for_every_entry(sizes, limit):
     sizes = np.array(sizes)
-    before, opened, left = _outcomes(sizes, limit)
-    for used in range(limit + 1):
-        starts, end = _walk(sizes, used, limit)
-        if not starts:
-            assert used + sizes.sum() <= limit and end == used + sizes.sum()
-            continue
-        way = int(np.searchsorted(before, limit - used, side="right")) - 1
-        assert (opened[way], left[way]) == (len(starts), end)
+    assert_holds(_statement(sizes, limit), sizes, limit)
 
 
 @pytest.mark.parametrize("limit", [90, 100, 150, 255, 256, 1000, 4096])
@@ -136,17 +135,10 @@ def test_equal_sizes_over_many_blocks(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(1, 20), min_size=1, max_size=12), min_size=2, max_size=6), st.integers(20, 60))
 def test_joined_statements_hold_for_every_entry(stretches, limit):
-    def stated(sizes):
-        before, opened, left = _outcomes(np.array(sizes), limit)
-        return {"rows": len(sizes), "bytes": sum(sizes), "before": before, "opened": opened, "left": left}
-
-    joined = stated(stretches[0])
+    joined = _statement(np.array(stretches[0]), limit)
     for sizes in stretches[1:]:
-        joined = _after(joined, stated(sizes), limit)
-    whole = np.array(sum(stretches, []))
-    for used in range(limit + 1):
-        starts, left = _walk(whole, used, limit)
-        assert _pass(joined, used, limit) == (len(starts), left)
+        joined = _after(joined, _statement(np.array(sizes), limit), limit)
+    assert_holds(joined, np.array(sum(stretches, [])), limit)
 
 
 @pytest.mark.parametrize("text", ["repeat('q', cast(id % 13 as int))", "'same'"])
