@@ -33,7 +33,7 @@ FEATURES = 1 << 13
 SAMPLE = 600
 CENTROIDS = 3
 ROUNDS = 8
-REJECT = 0.5
+REJECT = 0.2
 #: Documents and bytes that are counted at once.
 ROWS, PART_BYTES = 128, 1 << 20
 UND = "und"

@@ -6,5 +6,7 @@ from chunkspark.llm import (  # noqa: F401
     exact_dedup,
     language_id,
     packing,
+    substring_dedup,
+    suffix_dedup,
     url_filter,
 )
