@@ -13,10 +13,20 @@ from pyspark.sql import functions as F
 from chunkspark.session import read_table, shared_dir
 
 #: Bytes of text that one round of array work holds.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
+
+
+#: Bytes that one Arrow batch between Spark and Python holds, about; long texts make batches of few rows.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, so that a task's memory does not depend on text lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return read_table(spark, sf_dir, "documents")
 
 
@@ -29,6 +39,7 @@ def stored(df: DataFrame, stem: str) -> DataFrame:
 
 def narrowed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Two columns, ``doc_id`` long and ``text`` bytes (null: empty), whatever else the input has."""
+    bounded_batches(docs.sparkSession)
     return docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("text"),

@@ -22,7 +22,7 @@ from chunkspark.llm.runs import mixed
 
 SLICE_BITS = 20
 #: Keys a task holds before it sends its counts.
-HELD = 4_000_000
+HELD = 1_000_000
 SCHEMA = pa.schema([("slice", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
 SEEDS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
