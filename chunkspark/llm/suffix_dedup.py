@@ -33,7 +33,7 @@ from chunkspark.llm.common import documents, narrowed
 from chunkspark.llm.repeats import Unit, anchor_filter, kept_bytes, removal, sha256
 from chunkspark.plans.registry import query
 
-LENGTH, GROUP = 100, 56
+LENGTH, GROUP = 100, 64
 BITS = 28
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
