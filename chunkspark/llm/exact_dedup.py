@@ -1,10 +1,13 @@
 """Exact deduplication by skew-safe combining (DataFrame operations only).
 
 1. Each task folds the equal texts it reads (the partial half of an aggregation).
-2. What is left of a digest meets per (digest, salt). The salt comes from the
-   reading task, so the copies of one text, however many, spread over ``salts`` tasks.
+2. What is left of a digest meets per (digest, salt). A digest with few rows has one salt; one with
+   ``HOT`` rows or more has ``salts``, by reading task, so its copies spread over as many tasks.
 3. The winners of the salts, at most ``salts`` rows a text, are combined per digest.
 
+Hot digests are found by counting; at most ``HOT_LIST`` can be hot, so their list may be broadcast.
+So a text that is not hot is shuffled once.
+
 Every grouping has the whole text among its keys next to the digest, so two texts
 are one group only when they are identical; the digest merely places them. The
 decisions return to the rows by digest. A digest that holds several texts (which a
@@ -27,6 +30,7 @@ from chunkspark.llm.common import documents, stored
 from chunkspark.plans.registry import query
 
 SALTS = 16
+HOT, HOT_LIST = 1_000, 10_000
 
 
 def sha256(text: Column) -> Column:
@@ -38,28 +42,40 @@ def _rows(docs: DataFrame, doc_id: str, text: str, digest: Callable[[Column], Co
     return docs.select(F.col(f"`{doc_id}`").alias("_id"), held.alias("_text")).withColumn("_digest", digest(F.col("_text")))
 
 
+def _hot(rows: DataFrame) -> DataFrame:
+    """Digests with many rows: ``HOT`` at least, and so many that no more than ``HOT_LIST`` can have them."""
+    least = max(HOT, -(-rows.count() // HOT_LIST))
+    found = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).select("_digest").collect()
+    return rows.sparkSession.createDataFrame(found, rows.select("_digest").schema)
+
+
+def _combined(rows: DataFrame, partial: list[Column], final: list[Column], salts: int, between=lambda df: df) -> DataFrame:
+    """``rows`` (_digest, _text, ...) aggregated per text; ``partial`` and ``final`` bear the same names."""
+    hot = F.broadcast(_hot(rows))
+    cold = rows.join(hot, "_digest", "left_anti").groupBy("_digest", "_text").agg(*partial)
+    salted = (
+        rows.join(hot, "_digest", "left_semi").withColumn("_salt", F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)))
+        .groupBy("_digest", "_salt", "_text").agg(*partial).drop("_salt")
+    )
+    return cold.unionByName(between(salted).groupBy("_digest", "_text").agg(*final))
+
+
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  digest: Callable[[Column], Column] = sha256, salts: int = SALTS) -> DataFrame:
     """One row per input row: doc_id, digest, keep_id, group_size, kept."""
     rows = _rows(docs, doc_id, text, digest)
-    salted = (
-        rows.withColumn("_salt", F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)))
-        .groupBy("_digest", "_salt", "_text").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-    )
-    combined = (
-        salted.groupBy("_digest", "_text").agg(F.max("_keep").alias("_keep"), F.sum("_size").alias("_size"))
-        .select("_digest", "_keep", "_size", "_text")
-    )
-    # Only the text of a digest that stands for several texts is needed any further.
-    alone = F.count(F.lit(1)).over(Window.partitionBy("_digest")) == 1
-    groups = stored(combined.withColumn("_text", F.when(alone, F.lit(None)).otherwise(F.col("_text"))), "exact-groups")
-    joined = (
-        rows.select("_id", "_digest").join(groups.filter(F.col("_text").isNull()).drop("_text"), "_digest")
-        .select("_id", "_digest", "_keep", "_size")
-    )
-    several = groups.filter(F.col("_text").isNotNull())
+    def grouped(some: DataFrame) -> DataFrame:
+        return _combined(some, [F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")],
+                         [F.max("_keep").alias("_keep"), F.sum("_size").alias("_size")], salts)
+
+    groups = stored(grouped(rows).select("_digest", "_keep", "_size"), "exact-groups").groupBy("_digest").agg(
+        F.max("_keep").alias("_keep"), F.max("_size").alias("_size"), F.count(F.lit(1)).alias("_texts"))
+    narrow = ["_id", "_digest", "_keep", "_size"]
+    joined = rows.select("_id", "_digest").join(groups.filter("_texts = 1"), "_digest").select(*narrow)
+    several = groups.filter("_texts > 1").select("_digest")
     if not several.isEmpty():
-        joined = joined.unionByName(rows.join(several, ["_digest", "_text"]).select("_id", "_digest", "_keep", "_size"))
+        shared = rows.join(several, "_digest", "left_semi")
+        joined = joined.unionByName(shared.join(grouped(shared), ["_digest", "_text"]).select(*narrow))
     # Equal candidates: repeated rows. The window sees only rows that hold the largest id.
     best = joined.filter(F.col("_id").eqNullSafe(F.col("_keep"))).withColumn(
         "_turn", F.row_number().over(Window.partitionBy("_digest", "_keep", "_size").orderBy("_id")))
@@ -80,12 +96,8 @@ def exact_keep(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.col(at[text]).isNull().alias("_null"))
     best = F.max_by("_row", "_rank")
     order = F.struct(F.col("_row._id").isNotNull().alias("a"), F.col("_row._id").alias("b"))
-    salted = (
-        named.select(held.alias("_text"), ranked.alias("_row")).withColumn("_rank", order)
-        .withColumn("_digest", digest(F.col("_text"))).withColumn("_salt", F.pmod(F.hash(F.spark_partition_id()), F.lit(salts)))
-        .groupBy("_digest", "_salt", "_text").agg(best.alias("_row"))
-    )
-    kept = salted.withColumn("_rank", order).groupBy("_digest", "_text").agg(best.alias("_row"))
+    rows = named.select(held.alias("_text"), ranked.alias("_row")).withColumn("_rank", order).withColumn("_digest", digest(F.col("_text")))
+    kept = _combined(rows, [best.alias("_row")], [best.alias("_row")], salts, lambda df: df.withColumn("_rank", order))
     back = [
         (F.when(F.col("_row._null"), F.lit(None).cast(docs.schema[name].dataType)).otherwise(F.col("_text").cast(docs.schema[name].dataType))
          if at[name] == at[text] else F.col(f"_row.{at[name]}")).alias(name)
