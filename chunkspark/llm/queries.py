@@ -4,7 +4,9 @@ from chunkspark.llm import (  # noqa: F401
     bpe,
     chat_format,
     exact_dedup,
+    jaccard_join,
     language_id,
+    lattice_dedup,
     packing,
     substring_dedup,
     suffix_dedup,
