@@ -167,6 +167,13 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, schema).toDF(*docs.columns, "lang_pred", "score", "rejected")
 
 
+def accepted(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, all columns as they came."""
+    named = docs.toDF(*[f"_d{i}" for i in range(len(docs.columns))])
+    judged = predict(named, model, f"_d{docs.columns.index(text)}")
+    return judged.filter(~F.col("rejected")).select(*named.columns).toDF(*docs.columns)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 

@@ -254,9 +254,9 @@ def covered(part: Slice, unit: Unit, shared: Shared, split: Shared, valid: np.nd
     return np.cumsum(marks[:-1]) > 0
 
 
-def finished(docs: DataFrame, unit: Unit, shared: Shared, split: Shared, owned: DataFrame, schema: pa.Schema, ddl: str,
+def finished(docs: DataFrame, unit: Unit, shared: Shared, split: Shared, owned: DataFrame, made_schema: pa.Schema, ddl,
              judge: Callable[[Slice, np.ndarray, int], tuple], extra: tuple[str, ...] = ()) -> DataFrame:
-    """Rows that ``judge`` makes of each document's removed tokens; ``docs`` may carry further columns."""
+    """doc_id, the ``extra`` columns, and what ``judge`` makes of each document's removed tokens."""
     def lists(batch, name):
         column = batch.column(name)
         sizes = np.diff(np.asarray(column.offsets)) if len(column) else np.zeros(0, dtype=np.int64)
@@ -275,8 +275,8 @@ def finished(docs: DataFrame, unit: Unit, shared: Shared, split: Shared, owned:
                 for row in range(len(part.rows)):
                     rows.append(judge(part, gone, row))
             if rows:
-                made = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), list(schema)[1 + len(extra):])]
-                yield pa.record_batch([batch.column("doc_id"), *[batch.column(c) for c in extra], *made], schema=schema)
+                made = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), made_schema)]
+                yield pa.record_batch([batch.column("doc_id"), *[batch.column(c) for c in extra], *made], names=["doc_id", *extra, *made_schema.names])
 
     mixed_in = docs.join(owned.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
     empty = F.array().cast("array<bigint>")
@@ -284,7 +284,7 @@ def finished(docs: DataFrame, unit: Unit, shared: Shared, split: Shared, owned:
                            F.coalesce("own_windows", empty).alias("own_windows")).mapInArrow(run, ddl)
 
 
-def removal(docs: DataFrame, unit: Unit, shared: Shared, schema: pa.Schema, ddl: str, judge, extra: tuple[str, ...] = ()) -> DataFrame:
+def removal(docs: DataFrame, unit: Unit, shared: Shared, made_schema: pa.Schema, ddl, judge, extra: tuple[str, ...] = ()) -> DataFrame:
     """All passes after the prefilter; ``docs`` has doc_id, text (bytes) and the ``extra`` columns."""
     two = docs.select("doc_id", "text")
     classes = stored(run_classes(two, unit, shared), "runs")
@@ -294,7 +294,7 @@ def removal(docs: DataFrame, unit: Unit, shared: Shared, schema: pa.Schema, ddl:
         .unionByName(windows.select("doc", F.lit(None).cast("long").alias("r"), "w"))
         .groupBy("doc").agg(F.collect_list("r").alias("own_runs"), F.collect_list("w").alias("own_windows"))
     )
-    return finished(docs, unit, shared, split, lists, schema, ddl, judge, extra)
+    return finished(docs, unit, shared, split, lists, made_schema, ddl, judge, extra)
 
 
 def kept_bytes(part: Slice, gone: np.ndarray, row: int) -> bytes:

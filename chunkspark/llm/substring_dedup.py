@@ -25,7 +25,7 @@ from chunkspark.plans.registry import query
 
 LENGTH, GROUP = 50, 8
 BITS, ROWS = 26, 2
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
+SCHEMA = pa.schema([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.binary())])
 
 
 def substring_dedup(docs: DataFrame, length: int = LENGTH, group: int = GROUP, doc_id: str = "doc_id", text: str = "text",

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from chunkspark.llm.common import documents, narrowed
 from chunkspark.llm.repeats import Unit, anchor_filter, kept_bytes, removal, sha256
@@ -35,7 +36,7 @@ from chunkspark.plans.registry import query
 
 LENGTH, GROUP = 100, 64
 BITS = 28
-SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+SCHEMA = pa.schema([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, group: int = GROUP, doc_id: str = "doc_id", text: str = "text",
@@ -69,13 +70,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, group: int = GROUP, doc_
     def judge(part, gone, row):
         return (kept_bytes(part, gone, row).decode("utf-8", "replace"),)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StringType, StructType
-
-    fields = StructType([packed_in.schema["doc_id"], packed_in.schema["_null"], packed_in.schema["_rest"]]).add("_kept", StringType())
-    for f in fields:
-        f.nullable = True
-    made = removal(packed_in, unit, shared, to_arrow_schema(fields, timezone="UTC"), fields, judge, ("_null", "_rest"))
+    fields = StructType([StructField(f.name, f.dataType) for f in packed_in.schema if f.name != "text"]).add("_kept", StringType())
+    made = removal(packed_in, unit, shared, pa.schema([("_kept", pa.string())]), fields, judge, ("_null", "_rest"))
     back = {doc_id: F.col("doc_id").cast(docs.schema[doc_id].dataType), text: F.when(~F.col("_null"), F.col("_kept"))}
     return made.select(*[back.get(c, F.col(f"_rest.{at[c]}")).alias(c) for c in docs.columns])
 

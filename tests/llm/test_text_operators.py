@@ -1,0 +1,159 @@
+"""Tokenising, packing, chat format, URL filter and language ID on small inputs."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from chunkspark.llm import bpe, chat_format, language_id, packing, url_filter
+from chunkspark.session import read_table
+
+TEXTS = [
+    "", "   ", None, "a", "<|endoftext|>x<|startoftext|>", "Hello<|endoftext|>World's it'll  x\x1cy\u3000z", "A\u0301b \u0301 e\u0301",
+    "\u0130STANBUL \u0391\u03a3 \u017f", "\u65e5\u672c\u8a9e \U0001f389\U0001f389", "x" * 3000, "don't''s 's'", "\x00\x01 a\x85b", "12345 3.14", "\u01c4 \u00df", "w\tv\r\nu",
+    "long words " * 5000,
+]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [(i, t, i, "clash") for i, t in enumerate(TEXTS)] + [(None, "no id", 1, "c"), (3, "a", 3, "clash")]
+    return spark.createDataFrame(rows, "doc_id long, text string, ids int, part string").repartition(3)
+
+
+def test_bpe_equals_the_library(spark, texts):
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    found = bpe.decode_documents(bpe.encode_documents(texts, path), path).collect()
+    want = []
+    for i, t in [*enumerate(TEXTS), (None, "no id"), (3, "a")]:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((str(i), ids, library.decode(ids, skip_special_tokens=False)))
+    assert sorted((str(r.doc_id), np.frombuffer(r.ids, "<u4").tolist(), r.text) for r in found) == sorted(want)
+
+
+def test_bpe_equals_the_library_on_documents(spark, sf_dir):
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    docs = read_table(spark, sf_dir, "documents")
+    want = {r.doc_id: library.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect()}
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in bpe.encode_documents(docs, path).collect()}
+    assert found == want
+
+
+def test_trie_keeps_memory_bounded(monkeypatch):
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    monkeypatch.setattr(bpe, "KEPT", 5)
+    coder, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    for text in ("one two three four five six seven", "eight nine ten", "one eleven"):
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("size", [7, 2048])
+def test_packing_is_gapless_and_whole(spark, texts, size):
+    path = packing.vocabulary_path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    pieces = packing.pack_documents(texts, path, size=size).collect()
+    ids = {i: [*library.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(TEXTS)}
+    places = sorted((r.sequence_id, r.offset, r.length) for r in pieces)
+    at = 0
+    for sequence, offset, length in places:
+        assert (sequence, offset) == divmod(at, size) and offset + length <= size and length > 0
+        at += length
+    by_doc = defaultdict(list)
+    for r in pieces:
+        by_doc[r.doc_id].append(r)
+    for i, want in ids.items():
+        mine = sorted(by_doc[i], key=lambda r: r.start)
+        assert sum(r.length for r in mine) == len(want) * (2 if i == 3 else 1)
+        for r in mine:
+            part = np.array(want[r.start: r.start + r.length], dtype="<u4").tobytes()
+            assert r.ids_crc32 == zlib.crc32(part) and r.doc_tokens == len(want)
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    path = packing.vocabulary_path("byte_bpe_50k.json")
+    assert packing.pack_documents(docs, path).count() == 0
+    assert bpe.encode_documents(docs, packing.vocabulary_path("word_bpe_49k.json")).count() == 0
+    assert language_id.predict(docs, language_id.fit(docs)).count() == 0
+    assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+    assert chat_format.render(chat_format.reconstruct(spark.createDataFrame([], EVENTS))).count() == 0
+
+
+EVENTS = "conv_id long, seq long, kind string, turn long, role string, text string"
+
+
+def folded(spark, rows):
+    formatted = chat_format.render(chat_format.reconstruct(spark.createDataFrame(rows, EVENTS).repartition(4)))
+    return {r.conv_id: ([tuple(t) for t in r.turns], r.loss_texts) for r in chat_format.parsed(formatted).collect()}
+
+
+def test_deltas_edits_and_regenerations_fold(spark):
+    rows = [
+        (1, 0, "message", 0, "user", "hi <turn x>"), (1, 1, "delta", 1, "assistant", "a "), (1, 2, "delta", 1, None, "\\b b"), (1, 3, "regenerate", 1, None, None),
+        (1, 4, "delta", 1, "assistant", "new </turn>"), (1, 5, "delta", 1, None, "\nline"), (1, 6, "message", 2, "user", "more"), (1, 7, "edit", 0, None, "hello"),
+        (2, 0, "message", 0, "user", "q"), (2, 1, "message", 1, "assistant", "x"), (2, 2, "message", 2, "user", "y"), (2, 3, "regenerate", 1, None, None), (2, 4, "delta", 1, "assistant", "z"),
+        (None, 0, "message", 0, None, None),
+    ]
+    assert folded(spark, rows) == {
+        1: ([("user", "hello"), ("assistant", "new </turn>\nline"), ("user", "more")], ["new </turn>\nline"]),
+        2: ([("user", "q"), ("assistant", "z")], ["z"]), None: ([("", "")], []),
+    }
+
+
+def test_many_turns_and_repeated_rows(spark):
+    rows = [(5, t, "message", t, "user" if t % 2 == 0 else "assistant", f"t{t} \\l<>") for t in range(200)]
+    turns, loss = folded(spark, rows + [(6, 0, "message", 0, "user", "same"), (6, 0, "message", 0, "user", "same")])[5]
+    assert turns == [("user" if t % 2 == 0 else "assistant", f"t{t} \\l<>") for t in range(200)] and loss == [t for r, t in turns if r == "assistant"]
+    assert folded(spark, [(6, 0, "message", 0, "user", "same"), (6, 0, "message", 0, "user", "same")])[6][0] == [("user", "same")] * 2
+
+
+def test_probe_conversation_reads_back(spark, sf_dir):
+    from chunkspark.plans.registry import QUERIES
+
+    row = QUERIES["op3_chat_format"](spark, sf_dir).filter("conv_id = -7").first()
+    text = chat_format.PROBE[0][3]
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+    assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.loss_chars == len(text) and row.n_turns == 2
+
+
+def test_url_rules(spark):
+    urls = [(1, "http://a.NET/x"), (2, "http://x.example.net/en/1"), (3, "https://example.com/de/?q"), (4, "http://w.org/fr/z#a"), (5, "http://notnet/x"), (6, "http://k.net"),
+            (7, None), (8, "nothing"), (9, "x://É.Net/é?://b"), (10, "http://w.org/fr/z#a"), (11, "")]
+    found = {r.page_id: (r.host, r.path, r.rule) for r in url_filter.judge(spark.createDataFrame(urls, "page_id long, url string")).collect()}
+    assert found == {
+        1: ("a.net", "/x", "net/"), 2: ("x.example.net", "/en/1", "example.net/en/"), 3: ("example.com", "/de/", "example.com/de/"), 4: ("w.org", "/fr/z", "org/fr/"),
+        5: ("notnet", "/x", None), 6: ("k.net", "", None), 7: ("", "", None), 8: ("", "", None), 9: ("É.net", "/é", "net/"), 10: ("w.org", "/fr/z", "org/fr/"), 11: ("", "", None),
+    }
+    one = url_filter.judge(spark.createDataFrame([(1, "http://a.net/x"), (2, "http://b.de/")], "page_id long, url string")).collect()
+    assert {r.page_id: r.verdict for r in one} == {1: "block", 2: "block"}
+    assert url_filter.judge(spark.createDataFrame([(2, "http://b.de/")], "page_id long, url string")).first().verdict == "allow"
+
+
+def test_url_trees_learn_what_rules_say(spark):
+    rows = [(i, f"http://h{i % 7}.net/p{i}") for i in range(150)] + [(1000 + i, f"http://w{i % 5}.org/fr/{i}") for i in range(150)]
+    rows += [(2000 + i, f"http://h{i}.net") for i in range(9)] + [(3000 + i, f"http://w{i}.org/de/{i}") for i in range(9)]
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert all(found[2000 + i] == (None, "block") and found[3000 + i] == (None, "allow") for i in range(9))
+
+
+def test_languages_on_held_out_documents(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    judged = language_id.predict(docs, language_id.fit(docs.filter(~language_id.held_out()))).filter(language_id.held_out())
+    row = judged.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("right"), F.max("score").alias("top"), F.min("score").alias("low")).first()
+    assert row.right > 0.97 and row.top <= 1 and row.low >= 0
+
+
+def test_language_of_odd_texts(spark):
+    rows = [(i, t, "xx" if i % 2 else None, "r") for i, t in enumerate(["abc def", "qqq www abc", None, "", "123 !?", "\u00b2", "abc" * 100_000])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, rejected string")
+    model = language_id.fit(docs)
+    found = {r.doc_id: r.lang_pred for r in language_id.predict(docs.drop("rejected"), model).collect()}
+    assert found == {0: "xx", 1: "xx", 2: "und", 3: "und", 4: "und", 5: "und", 6: "xx"}
+    assert language_id.accepted(docs, model).columns == docs.columns
+    assert {r.lang_pred for r in language_id.predict(docs.drop("rejected"), language_id.fit(docs.filter("false"))).collect()} == {"und"}
