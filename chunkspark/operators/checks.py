@@ -32,11 +32,11 @@ def order_violations(chunks: DataFrame, order) -> DataFrame:
 
 def compare_passes(first: DataFrame, second: DataFrame) -> DataFrame:
     """Counts of chunk index rows found in one pass only; both zero when passes agree."""
-    sides = [
-        a.exceptAll(b).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n")
-        for name, a, b in (("only_in_first", first, second), ("only_in_second", second, first))
-    ]
-    return sides[0].unionByName(sides[1]).agg(
-        F.sum(F.when(F.col("side") == "only_in_first", F.col("n"))).alias("only_in_first"),
-        F.sum(F.when(F.col("side") == "only_in_second", F.col("n"))).alias("only_in_second"),
+    columns = first.columns
+    both = first.withColumn("_side", F.lit(1)).unionByName(second.withColumn("_side", F.lit(-1)))
+    # How much more often a row is in the first pass than in the second; one aggregate reads each pass once.
+    more = both.groupBy(*[quoted(c) for c in columns]).agg(F.sum("_side").alias("_more"))
+    return more.agg(
+        F.coalesce(F.sum(F.greatest("_more", F.lit(0))), F.lit(0)).cast("long").alias("only_in_first"),
+        F.coalesce(F.sum(F.greatest(-F.col("_more"), F.lit(0))), F.lit(0)).cast("long").alias("only_in_second"),
     )

@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from chunkspark.functions.types import check_supported, fixed_row_bytes, quoted, row_bytes
 from chunkspark.operators.partition import (
-    CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, Placed, add_partition_id, place, spec_sort_key, union_of,
+    CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, Placed, add_partition_id, check_names, place,
+    spec_sort_key, union_of,
 )
-from chunkspark.operators.positions import AT, BLOCK, freeze_blocks, join_blocks, with_row_pos
+from chunkspark.operators.positions import AT, BLOCK, freeze_blocks, join_blocks, located
 
 ENTRY = ("_chunk", "_used", "_pos")
 
@@ -36,7 +37,7 @@ class ChunkTooSmallError(ValueError):
 
 
 def _too_small(limit: int, size: int) -> str:
-    return f"chunk size {limit} is too small, a row takes {size}"
+    return f"a row of {size} bytes is larger than a chunk of {limit}"
 
 
 def pack_chunks(df: DataFrame, spec: PartitionSpec, chunk_bytes: int, keep=None) -> DataFrame:
@@ -48,15 +49,15 @@ def pack_chunks(df: DataFrame, spec: PartitionSpec, chunk_bytes: int, keep=None)
     check_supported(df.schema)
     constant = fixed_row_bytes(df.schema)
     columns = df.columns if keep is None else list(keep)
-    sized = df.withColumn(ROW_BYTES, row_bytes(df.schema))
+    # Numbered before anything is added or left out, so that a row's partition is what it is without packing.
+    sized = add_partition_id(check_names(df), spec).withColumn(ROW_BYTES, row_bytes(df.schema))
     if keep is not None:
         needed = dict.fromkeys([*keep, *spec.by, *spec_sort_key(df, spec)])
-        sized = sized.select(*[quoted(c) for c in needed], ROW_BYTES)
+        sized = sized.select(*[quoted(c) for c in needed], PARTITION_ID, ROW_BYTES)
     if constant is not None:
         if constant > chunk_bytes:
             raise ChunkTooSmallError(_too_small(chunk_bytes, constant))
-        located = with_row_pos(sized, spec)
-        packed = located.withColumn(
+        packed = located(sized, spec).withColumn(
             CHUNK_ID, F.call_function("div", F.col(ROW_POS), F.lit(chunk_bytes // constant).cast("long"))
         )
     else:
@@ -77,7 +78,7 @@ def chunk_index(chunks: DataFrame) -> DataFrame:
 def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int, columns: list[str]) -> DataFrame:
     # Sorted rows need their sort columns no more.
     carried = [quoted(c) for c in dict.fromkeys([*columns, PARTITION_ID, ROW_BYTES])]
-    parts = place(add_partition_id(sized, spec), spec)
+    parts = place(sized, spec)
     return union_of([_pack_placed(replace(p, df=p.df.select(*carried)), spec, limit) for p in parts])
 
 

@@ -89,7 +89,7 @@ def get_rows_by_keys(df: DataFrame, requests, key: str, chunk_bytes: int) -> Dat
         near = near.withColumn("_sum", so_far).filter(F.col("_sum") - F.col(ROW_BYTES) <= chunk_bytes).drop("_sum")
     in_order = Window.partitionBy(PARTITION_ID).orderBy(quoted(key))
     first_too_big = (F.row_number().over(in_order) == 1) & (F.col(ROW_BYTES) > chunk_bytes)
-    error = F.raise_error(F.format_string(f"chunk size {chunk_bytes} is too small, a row takes %d", F.col(ROW_BYTES)))
+    error = F.raise_error(F.format_string(f"a row of %d bytes is larger than a chunk of {chunk_bytes}", F.col(ROW_BYTES)))
     total = F.when(first_too_big, error.cast("long")).otherwise(F.sum(ROW_BYTES).over(_upto_here(in_order)))
     return (
         near.withColumn("_sum", total)

@@ -9,21 +9,24 @@ runs over as many tasks as it needs, each with one contiguous stretch of its ord
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from chunkspark.functions.hashing import partition_number
 from chunkspark.functions.types import quoted, row_bytes
+from chunkspark.session import checkpointed, shared_dir
 
 PARTITION_ID = "partition_id"
 ROW_POS = "row_pos"
 CHUNK_ID = "chunk_id"
 ROW_BYTES = "row_bytes"
+ROW_NO = "_row_no"
 
-# Copies of one row that a task may produce by itself when it spreads copies out.
-COPIES_AT_ONCE = 65_536
+# Columns the operators of this package add to a result; an input may not bring its own.
+RESERVED = (PARTITION_ID, ROW_POS, CHUNK_ID, ROW_BYTES, "_at", "_block", "_row_no", "_span", "_chunk", "_used", "_pos")
 # Large partitions that may be told from the others by a list.
 LISTED_PARTITIONS = 1_000
 
@@ -132,18 +135,56 @@ def _sizes(df: DataFrame, spec: PartitionSpec) -> tuple[list[int] | None, int]:
     return row.ids, row.large_bytes
 
 
+def check_names(df: DataFrame) -> DataFrame:
+    """Refuse an input with a column named like one that is to be added."""
+    taken = [c for c in df.columns if c.lower() in RESERVED]
+    if taken:
+        raise ValueError(f"rename input columns {taken}: these names are added to results")
+    return df
+
+
+def frozen_rows(df: DataFrame) -> DataFrame:
+    """``df`` evaluated once, with a number of its own for every row.
+
+    Written as Parquet in the shared folder, so later passes read just the columns they need; types that
+    Parquet cannot hold are checkpointed instead.
+    """
+    numbered = df.withColumn(ROW_NO, F.monotonically_increasing_id())
+    if not _parquet_holds(df.schema):
+        return checkpointed(numbered)
+    path = f"{shared_dir(df.sparkSession)}/frozen/{uuid.uuid4().hex}"
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
+
+
+def _parquet_holds(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return bool(kind.fields) and all(_parquet_holds(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _parquet_holds(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _parquet_holds(kind.keyType) and _parquet_holds(kind.valueType)
+    return not isinstance(kind, (T.NullType, T.CalendarIntervalType))
+
+
 def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
     """Send rows that carry a partition number to tasks and sort them there:
-    partitions that fit a task, and apart from them those that do not."""
+    partitions that fit a task, and apart from them those that do not.
+
+    Only an input that fits one task as a whole is moved as it is. Any other is frozen first, for its
+    totals, its ranges and its rows are separate reads, and a query need not repeat itself.
+    """
     if _fits(df, spec.task_bytes):
         return [_place_whole(df, spec)]
-    large, large_bytes = _sizes(df, spec)
+    columns = [quoted(c) for c in df.columns]
+    rows = frozen_rows(df)
+    large, large_bytes = _sizes(rows, spec)
     if large is None:
-        return [_place_split(df, spec, large_bytes)]
+        return [_place_split(rows, spec, large_bytes)]
     if not large:
-        return [_place_whole(df, spec)]
+        return [_place_whole(rows.select(*columns), spec)]
     is_large = quoted(PARTITION_ID).isin(large)
-    return [_place_whole(df.filter(~is_large), spec), _place_split(df.filter(is_large), spec, large_bytes)]
+    return [_place_whole(rows.filter(~is_large).select(*columns), spec), _place_split(rows.filter(is_large), spec, large_bytes)]
 
 
 def _place_whole(df: DataFrame, spec: PartitionSpec) -> Placed:
@@ -153,13 +194,12 @@ def _place_whole(df: DataFrame, spec: PartitionSpec) -> Placed:
     return Placed(moved.sortWithinPartitions(*order), spec.partitions, False)
 
 
-def _place_split(df: DataFrame, spec: PartitionSpec, size: int) -> Placed:
-    tasks, columns, order = -(-2 * size // spec.task_bytes), df.columns, spec_sort_key(df, spec)
-    if spec.key is None:
-        df, copy_no = _number_copies(df)
-        order = [*order, copy_no]
-    keys = [quoted(c) for c in (PARTITION_ID, *order)]
-    moved = df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+def _place_split(rows: DataFrame, spec: PartitionSpec, size: int) -> Placed:
+    """Ranges over frozen rows. Their numbers order equal rows, so a range may end among these."""
+    columns = [c for c in rows.columns if c != ROW_NO]
+    tasks = -(-2 * size // spec.task_bytes)
+    keys = [quoted(c) for c in (PARTITION_ID, *spec_sort_key(rows.select(*[quoted(c) for c in columns]), spec), ROW_NO)]
+    moved = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     return Placed(moved.select(*[quoted(c) for c in columns]), tasks, True)
 
 
@@ -167,28 +207,6 @@ def union_of(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _number_copies(df: DataFrame) -> tuple[DataFrame, str]:
-    """Tell equal rows apart, so that a range can end among them.
-
-    Copies are counted before anything is moved, then produced again with a number
-    each. The number depends on the row content only, so a task that is run again
-    makes the same rows.
-    """
-    name = "_copy_no"
-    columns = [quoted(c) for c in df.columns]
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    few = counted.filter(F.col("_copies") <= COPIES_AT_ONCE).withColumn("_from", F.lit(0).cast("long"))
-    pieces = F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(COPIES_AT_ONCE).cast("long"))
-    many = (
-        counted.filter(F.col("_copies") > COPIES_AT_ONCE)
-        .withColumn("_from", F.explode(pieces))
-        .repartition(*columns, F.col("_from"))
-    )
-    upto = F.least(F.col("_copies"), F.col("_from") + COPIES_AT_ONCE) - 1
-    numbered = few.unionByName(many).select(*columns, F.explode(F.sequence(F.col("_from"), upto)).alias(name))
-    return numbered, name
-
-
 def partition_result(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     """Rows with ``partition_id``, co-located by it and sorted inside each partition."""
-    return union_of([part.df for part in place(add_partition_id(df, spec), spec)])
+    return union_of([part.df for part in place(add_partition_id(check_names(df), spec), spec)])

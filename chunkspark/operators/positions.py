@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from chunkspark.operators.partition import (
-    PARTITION_ID, ROW_POS, PartitionSpec, Placed, add_partition_id, place, union_of,
+    PARTITION_ID, ROW_POS, PartitionSpec, Placed, add_partition_id, check_names, place, union_of,
 )
 from chunkspark.functions.types import quoted
 from chunkspark.session import checkpointed
@@ -39,7 +39,12 @@ def join_blocks(rows: DataFrame, blocks: DataFrame, tasks: int, partitions: int)
 
 def with_row_pos(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     """Rows with ``partition_id`` and ``row_pos``, counted in the order of the spec."""
-    return union_of([_with_positions(part, spec) for part in place(add_partition_id(df, spec), spec)])
+    return located(add_partition_id(check_names(df), spec), spec)
+
+
+def located(numbered: DataFrame, spec: PartitionSpec) -> DataFrame:
+    """Rows that carry a partition number, with ``row_pos``."""
+    return union_of([_with_positions(part, spec) for part in place(numbered, spec)])
 
 
 def _with_positions(placed: Placed, spec: PartitionSpec) -> DataFrame:

@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chunkspark.functions.types import quoted
 from chunkspark.operators.chunks import pack_chunks
 from chunkspark.operators.partition import (
-    PARTITION_ID, ROW_POS, PartitionSpec, add_partition_id, partitions_fit, place, spec_sort_key, union_of,
+    PARTITION_ID, ROW_POS, PartitionSpec, accounted_bytes, add_partition_id, check_names, partitions_fit, place, spec_sort_key,
+    union_of,
 )
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.session import checkpointed
 
+STORED_HERE = "chunkspark.stored"
 SNAPSHOT, STORED, IN_PLACE = "snapshot", "stored", "in_place"
 
 
@@ -53,9 +55,11 @@ def materialize_result(
             raise ValueError("a bucketed result needs partition columns")
         by = list(spec.by)
         bucket = F.pmod(F.hash(*[quoted(c) for c in by]), F.lit(spec.partitions)).cast("long")
-        # One file per bucket while buckets fit a task; a hot one is left spread over many.
+        # One file per bucket while buckets fit a task; a hot one gets as many files as it needs tasks.
         if partitions_fit(rows.withColumn(PARTITION_ID, bucket), spec.task_bytes):
             rows = rows.repartition(spec.partitions, *[quoted(c) for c in by])
+        else:
+            rows = _salted(check_names(rows), bucket, spec.task_bytes)
         order = spec_sort_key(rows, spec)
         writer = rows.write.bucketBy(spec.partitions, by[0], *by[1:]).sortBy(order[0], *order[1:])
     else:
@@ -63,21 +67,45 @@ def materialize_result(
     if path:
         writer = writer.option("path", path)
     writer.mode("overwrite").format("parquet").saveAsTable(quote_name(name))
+    if path:
+        spark.sql(f"ALTER TABLE {quote_name(name)} SET TBLPROPERTIES ('{STORED_HERE}' = 'true')")
     return spark.table(quote_name(name))
 
 
+def _salted(rows: DataFrame, bucket, task_bytes: int) -> DataFrame:
+    """Rows in one task per bucket and ``task_bytes`` of it."""
+    numbered = rows.withColumn(PARTITION_ID, bucket)
+    needed = F.ceil(F.sum(accounted_bytes(numbered)) / task_bytes).cast("int")
+    sizes = numbered.groupBy(PARTITION_ID).agg(needed.alias("_used"))
+    tasks = sizes.agg(F.sum("_used")).first()[0]
+    dealt = numbered.join(sizes, PARTITION_ID).withColumn("_pos", F.pmod(F.monotonically_increasing_id(), F.col("_used")))
+    return dealt.repartition(tasks, PARTITION_ID, "_pos").select(*[quoted(c) for c in rows.columns])
+
+
 def drop_result(spark: SparkSession, name: str, mode: str) -> None:
     """Release a result; an in-place read holds nothing."""
     if mode == SNAPSHOT:
         spark.catalog.dropTempView(name)
     elif mode == STORED:
+        told = {}
+        if spark.catalog.tableExists(quote_name(name)):
+            told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(name)}").collect()}
         spark.sql(f"DROP TABLE IF EXISTS {quote_name(name)}")
+        # The folder of a result stored under a path of its own is not the catalog's to delete.
+        if STORED_HERE in told.get("Table Properties", ""):
+            remove_folder(spark, told["Location"])
     elif mode != IN_PLACE:
         raise ValueError(f"unknown mode {mode}")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def quote_name(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    """Quoted name; dots part database and table."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
 def read_partitions(df: DataFrame, partitions, order=None) -> DataFrame:

@@ -6,14 +6,18 @@ its condition only, and leaves the table alone when nothing is to be changed.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from chunkspark.functions.types import quoted
-from chunkspark.operators.partition import PARTITION_ID, ROW_POS, PartitionSpec
+from chunkspark.operators.partition import PARTITION_ID, ROW_NO, ROW_POS, PartitionSpec, frozen_rows
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.sources.positional import map_positional
-from chunkspark.sources.results import quote_name
+from chunkspark.sources.results import quote_name, remove_folder
 
 
 def load_table(df: DataFrame, table: str, columns=None) -> int:
@@ -67,45 +71,110 @@ def with_updates(df: DataFrame, values: dict, predicate) -> DataFrame:
 
 def delete_where(spark: SparkSession, table: str, predicate) -> int:
     """Remove the rows the predicate holds for; returns their number."""
-    rows = spark.table(quote_name(table))
-    hits = rows.filter(_holds(predicate)).count()
-    if hits:
-        _replace(spark, table, without_rows(rows, predicate))
-    return hits
+    return _change(spark, table, predicate, lambda rows: without_rows(rows, predicate), ())
 
 
 def update_where(spark: SparkSession, table: str, values: dict, predicate) -> int:
     """Change the rows the predicate holds for; returns their number."""
+    return _change(spark, table, predicate, lambda rows: with_updates(rows, values, predicate), tuple(values))
+
+
+def _change(spark: SparkSession, table: str, predicate, change, changed: tuple[str, ...]) -> int:
+    """Apply ``change`` to a table. File tables have no UPDATE or DELETE, so content is written anew: of a
+    table with partition columns only the partitions that hold a hit, of any other all of it."""
     rows = spark.table(quote_name(table))
-    hits = rows.filter(_holds(predicate)).count()
-    if hits:
-        _replace(spark, table, with_updates(rows, values, predicate))
-    return hits
-
-
-def _replace(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Put ``rows`` in the place of ``table``. File tables have no UPDATE or DELETE,
-    so the new content is written in full before the old is dropped."""
-    coming = table + "__next"
-    spark.sql(f"DROP TABLE IF EXISTS {quote_name(coming)}")
-    writer = rows.write.format("parquet")
-    old = _external_path(spark, table)
-    if old:
-        writer = writer.option("path", _next_path(old)).mode("overwrite")
-    writer.saveAsTable(quote_name(coming))
-    spark.sql(f"DROP TABLE {quote_name(table)}")
-    spark.sql(f"ALTER TABLE {quote_name(coming)} RENAME TO {quote_name(table)}")
+    layout = _layout(spark, table)
+    folders = layout["partitions"]
+    if not folders or set(folders) & set(changed):
+        hits = rows.filter(_holds(predicate)).count()
+        if hits and folders:
+            # Rows move between partitions: the whole new content is set down first, then put in the same table,
+            # whose catalog entries for partitions a renamed table would not have.
+            coming = frozen_rows(change(rows)).drop(ROW_NO)
+            coming.write.mode("overwrite").insertInto(quote_name(table))
+        elif hits:
+            _replace(spark, table, change(rows), layout)
+        return hits
+    # One row per partition of the table that holds a hit.
+    held = rows.groupBy(*[quoted(c) for c in folders]).agg(F.count_if(_holds(predicate)).alias("_hits")).filter("_hits > 0")
+    touched = held.collect()
+    if touched:
+        same = lambda r: reduce(Column.__and__, [quoted(c).eqNullSafe(F.lit(r[c]).cast(rows.schema[c].dataType)) for c in folders])
+        some = rows.filter(reduce(Column.__or__, [same(r) for r in touched])) if len(touched) <= LISTED else (
+            rows.join(F.broadcast(held.select(*folders)), folders, "left_semi") if len(touched) <= BROADCAST else rows.join(held, folders, "left_semi"))
+        coming = change(some.select(*[quoted(c) for c in rows.columns]))
+        kept = {tuple(r) for r in coming.select(*[quoted(c) for c in folders]).distinct().collect()}
+        with _dynamic_overwrite(spark):
+            coming.write.mode("overwrite").insertInto(quote_name(table))
+        # A partition that lost all its rows is not among those written.
+        for r in touched:
+            if tuple(r[c] for c in folders) not in kept:
+                spec = ", ".join(f"{quote_name(c)} = {_literal(r[c])}" for c in folders)
+                spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({spec})")
+    return sum(r["_hits"] for r in touched)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Overwriting a table replaces the partitions that are written and no others."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+# Partitions with hits that a filter lists, and that may be broadcast.
+LISTED, BROADCAST = 200, 100_000
 
 
-def _external_path(spark: SparkSession, table: str) -> str | None:
-    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").collect()}
-    return detail.get("Location") if detail.get("Type") == "EXTERNAL" else None
+def _literal(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _layout(spark: SparkSession, table: str) -> dict:
+    """Place and layout of a table, from the catalog."""
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").collect()}
+    columns = spark.catalog.listColumns(quote_name(table))
+    listed = lambda name: [c.strip("` ") for c in told.get(name, "[]").strip("[]").split(",") if c.strip("` ")]
+    return {
+        "partitions": [c.name for c in columns if c.isPartition],
+        "buckets": int(told.get("Num Buckets", 0)), "bucketed": listed("Bucket Columns"), "sorted": listed("Sort Columns"),
+        "path": told.get("Location") if told.get("Type") == "EXTERNAL" else None,
+        "own": OWNED in told.get("Table Properties", ""),
+    }
+
+
+OWNED = "chunkspark.rewritten"
+
+
+def _replace(spark: SparkSession, table: str, rows: DataFrame, layout: dict) -> None:
+    """Put ``rows`` in the place of ``table``, which has no partition columns, in the same buckets. They are written in full under a name and a
+    folder that nobody has; then the names change; then the old content goes."""
+    mark = uuid.uuid4().hex[:12]
+    coming, past = _beside(table, mark), _beside(table, f"{mark}_old")
+    writer = rows.write.format("parquet").mode("errorifexists")
+    if layout["buckets"]:
+        writer = writer.bucketBy(layout["buckets"], *layout["bucketed"])
+        writer = writer.sortBy(*layout["sorted"]) if layout["sorted"] else writer
+    if layout["path"]:
+        base = layout["path"].rstrip("/")
+        base = base.rpartition("__")[0] if layout["own"] else base
+        writer = writer.option("path", f"{base}__{mark}")
+    writer.saveAsTable(quote_name(coming))
+    if layout["path"]:
+        spark.sql(f"ALTER TABLE {quote_name(coming)} SET TBLPROPERTIES ('{OWNED}' = 'true')")
+    spark.sql(f"ALTER TABLE {quote_name(table)} RENAME TO {quote_name(past)}")
+    spark.sql(f"ALTER TABLE {quote_name(coming)} RENAME TO {quote_name(table)}")
+    spark.sql(f"DROP TABLE {quote_name(past)}")
+    if layout["path"] and layout["own"]:
+        remove_folder(spark, layout["path"])
 
 
-def _next_path(path: str) -> str:
-    """A sibling folder, so that the files being read stay whole."""
-    base, _, number = path.rstrip("/").rpartition("__v")
-    return f"{base}__v{int(number) + 1}" if base and number.isdigit() else f"{path.rstrip('/')}__v1"
+def _beside(table: str, mark: str) -> str:
+    return f"{table}__{mark}"
 
 
 def create_table(spark: SparkSession, name: str, columns: str, path: str | None = None) -> None:

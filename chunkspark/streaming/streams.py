@@ -1,7 +1,8 @@
 """Single-pass delivery: each micro-batch is split and packed on its own.
 
 Every batch replaces its own ``batch_id=`` folder, so a batch that is run again
-after a failure leaves the same rows, not twice as many.
+after a failure leaves the same rows, not twice as many. A sink belongs to the query,
+that is to the checkpoint, that first delivered to it; another is refused.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from chunkspark.operators.chunks import pack_chunks
 from chunkspark.operators.partition import PartitionSpec
 
 BATCH_ID = "batch_id"
+# File in a sink with the id of the query that delivers to it; readers pass over names that begin so.
+OWNER = "_owner"
 
 
 def read_stream(
@@ -34,12 +37,31 @@ def _deliver(
         raise ValueError("stream_chunks and stream_load take a streaming DataFrame")
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        _claim(batch.sparkSession, sink)
         work(batch).write.mode("overwrite").parquet(f"{sink}/{BATCH_ID}={batch_id}")
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def _claim(spark: SparkSession, sink: str) -> None:
+    """Mark the sink as this query's, by its checkpoint's id. Another query numbers other rows with the same
+    batches (its progress may have been lost, or its intake changed), so it may not write here."""
+    mine = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sink}/{OWNER}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        source = files.open(path)
+        owner = source.readUTF()
+        source.close()
+        if owner != mine:
+            raise ValueError(f"{sink} holds the batches of query {owner}; give query {mine} a sink of its own")
+    else:
+        target = files.create(path, False)
+        target.writeUTF(mine)
+        target.close()
+
+
 def stream_chunks(
     stream: DataFrame, spec: PartitionSpec, chunk_bytes: int, sink: str, checkpoint: str, available_now: bool = True,
 ) -> StreamingQuery:

@@ -29,14 +29,9 @@ def sf_dir():
 
 @pytest.fixture(scope="session")
 def small(spark):
-    """Fourteen rows, one all NULL: i1, row_id, d1, d2, t1, t2."""
-    values = [
-        (1, 3.4, 5.6, "abc", "de"), (2, 4.5, 6.7, "a", "b"), (3, 5.6, 7.8, "3x", "c"), (4, 6.7, 8.9, "4x", "cc"),
-        (5, -7.8, 0.01, "xxxxx", "ccc"), (1, -8.9, 0.001, "xxxxx", "cccc"), (2, 5.1, 0.001, "xxxxx", "ccccc"),
-        (2, 5.11, 0.0001, "xxxxx", "cccccc"), (2, 5.111, 9.8, "xxxxx", "cccccccc"),
-        (2, 5.1111, 10.8, "xxxxx", "cccccccc"), (5, 5.11111, 11.8, "xxxxx", "ccccccccc"),
-        (1, 5.111111, 12.8, "xxxxx", "cccccccccc"), (4, 5.1111111, 12.8, "xxxxx", "ccccccccc"),
-        (None, None, None, None, None),
+    """Fourteen rows made by rule, the last of NULLs: i1, row_id, d1, d2, t1, t2. Keys and numbers repeat."""
+    rows = [
+        (n % 4 + 1, n + 1, (n * 37 % 11) / 2 - 1.75, (n * 29 % 13) / 16, "p" * (n % 5 + 1), "qr" * (n * 3 % 6))
+        for n in range(13)
     ]
-    rows = [(v[0], i + 1, *v[1:]) for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "i1 long, row_id long, d1 double, d2 double, t1 string, t2 string")
+    return spark.createDataFrame([*rows, (None, 14, *[None] * 4)], "i1 long, row_id long, d1 double, d2 double, t1 string, t2 string")

@@ -15,12 +15,13 @@ from test_codec import GOLDEN, all_types
 
 def load_rows(spark):
     """Thirty rows of every type and one of NULLs."""
-    doubles = [None, -1.123456789012345e-300]
+    day = dt.datetime(1958, 11, 30, 6, 7, 8)
     rows = [
         (
-            i * i, i, doubles[i % 3] if i % 3 < 2 else float(i), f"Cube {i ** 3}", "t\nt", "lon\ttxt", b"\x40\x60", "юникод",
-            b"fixed", dt.datetime(2021, 5, 5, 12), dt.datetime(1961, 1, 1, 12, 13, 14, 987654), dt.date(1960, 1, 3),
-            -40271751234,
+            7 * i - 90, 1000 - i, None if i % 4 == 0 else (i - 11) / 3 * 10.0 ** (20 * (i % 3)), f"no. {i} of \u0394", "a\tb\nc" * (i % 3 + 1),
+            '"' * (i % 2) + "back\\slash", bytes([i + 1, 200, 9]), "\u017eluť", bytes([65 + i]) * 4,
+            day + dt.timedelta(days=900 * i), day + dt.timedelta(hours=i, microseconds=i * 31_337), day.date() + dt.timedelta(days=401 * i),
+            (i - 15) * 7_654_321_098,
         )
         for i in range(30)
     ]
@@ -46,11 +47,11 @@ def test_tsv_text(spark, tmp_path):
     export_tsv(all_types(spark, GOLDEN).coalesce(1), f"{tmp_path}/t")
     line = (tmp_path / "t").glob("part-*.txt").__next__().read_bytes().decode().rstrip("\n")
     cells = line.split("\t")
-    assert cells[:2] == ["-1460002", "12507"]
-    assert float(cells[2]) == 1.23456789012345
-    assert cells[3:7] == ['"textVAL_рус"', '"LOOONGVAL"', '"varcharVAL"', '"varbinaryVAL"']
-    assert cells[7] == '"' + "русVAL" + " " * 55 + '"' and cells[8] == '"fbVAL\0\0\0\0"'
-    assert cells[9:] == ["2021-05-05 12:00:00", "1961-01-01 12:13:14.987654", "2021-05-05", "11:11:11.001234"]
+    assert cells[:2] == ["-77", "31"]
+    assert float(cells[2]) == -0.015625
+    assert cells[3:7] == ['"Grüße"', '"a longer text"', '"v"', '"\x01bin"']
+    assert cells[7] == '"' + "Ωm" + " " * 61 + '"' and cells[8] == '"xyz\0\0\0\0\0\0"'
+    assert cells[9:] == ["1999-12-31 23:59:58", "1957-10-04 19:28:34.000123", "1957-10-04", "-2:3:4.000567"]
 
 
 def test_tsv_nulls_and_empty_values(spark, tmp_path):

@@ -105,7 +105,7 @@ def test_prefix_is_exact_for_uneven_rows(spark, monkeypatch, many):
 
 
 def test_first_row_larger_than_the_chunk_is_an_error(stored):
-    with pytest.raises(Exception, match="chunk size 10 is too small"):
+    with pytest.raises(Exception, match="is larger than a chunk of 10"):
         get_rows_by_keys(stored, stored.select("partition_id", "row_id"), "row_id", 10).collect()
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chunkspark import (
     PartitionSpec, add_partition_id, affinity_violations, node_report, partition_report, partition_result,
-    route_report, sort_key, with_row_pos, with_routes,
+    pack_chunks, route_report, sort_key, with_row_pos, with_routes,
 )
 from chunkspark.operators import partition as partition_module
 from chunkspark.operators.partition import place
@@ -88,19 +88,67 @@ def test_only_large_partitions_are_split(spark, monkeypatch):
     assert everything.split and everything.df.count() == 6_000
 
 
-def test_copies_of_one_row_are_spread_and_kept(spark, monkeypatch):
-    monkeypatch.setattr(partition_module, "COPIES_AT_ONCE", 100)
+def test_copies_of_one_row_are_spread_and_kept(spark):
     rows = spark.range(2_000).select(F.lit(1).cast("long").alias("a"), F.lit("x").alias("b"))
     rows = rows.union(spark.range(500).select("id", F.lit("y")))
     spec = PartitionSpec(2, ("a",), ("a",), None, task_bytes=6_000)
     placed = place(add_partition_id(rows, spec), spec)[-1]
-    assert placed.split and "_copy_no" not in placed.df.columns
+    assert placed.split and placed.df.columns == ["a", "b", "partition_id"]
     spread = placed.df.filter("a = 1 and b = 'x'").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in spread) == 2_000 and len(spread) >= 5
     assert placed.df.exceptAll(add_partition_id(rows, spec)).count() == 0
     assert partition_result(rows, spec).count() == 2_500
 
 
+@pytest.mark.parametrize("key", ["id", None])
+@pytest.mark.parametrize("query", [
+    "SELECT id, t, int(rand() * 16) AS k FROM (SELECT /*+ REPARTITION(7) */ id, repeat('t', 20) AS t FROM range(20000))",
+    "SELECT id, repeat('t', 20) AS t, int(rand() * 2) * 0 AS k FROM range(0, 40000, 1, 9) WHERE rand() < 0.5",
+])
+def test_a_query_that_does_not_repeat_itself_keeps_its_rows(spark, query, key):
+    spec = PartitionSpec(4, ("k",), ("k",), key, task_bytes=100_000)
+    rows = [(r.id, r.k) for r in partition_result(spark.sql(query), spec).collect()]
+    assert len(rows) == len({i for i, _ in rows}) > 15_000
+    assert len(rows) == 20_000 or "WHERE" in query
+
+
+def test_the_source_is_read_once_when_split(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(5_000).mapInArrow(seen, "id long")
+    # An estimate that does not fit is not checked by another read.
+    parts = place(add_partition_id(rows, spec := PartitionSpec(3, ("id",), (), "id", task_bytes=8_000)), spec)
+    assert sum(p.df.count() for p in parts) == 5_000 and read.value == 5_000
+
+
+def test_split_rows_keep_their_very_values(spark):
+    rows = spark.sql("SELECT (id % 2 - 1) * 0D AS z, if(id % 4 < 2, 'a', 'A') COLLATE UTF8_LCASE AS t, id % 2 AS g FROM range(400)")
+    spec = PartitionSpec(2, ("g",), (), None, task_bytes=2_000)
+    got = partition_result(rows, spec).selectExpr("cast(z AS string) AS z", "t COLLATE UTF8_BINARY AS t").groupBy("z", "t").count().collect()
+    assert {(r.z, r.t): r["count"] for r in got} == {("-0.0", "a"): 100, ("0.0", "a"): 100, ("-0.0", "A"): 100, ("0.0", "A"): 100}
+
+
+@pytest.mark.parametrize("by, key", [((), None), ((), "row_id"), (("i1",), None), (("i1", "t1"), "row_id")])
+def test_packing_does_not_change_the_partition(small, by, key):
+    spec = PartitionSpec(7, by, (), key)
+    plain = {(r.row_id, r.partition_id) for r in partition_result(small, spec).collect()}
+    assert plain == {(r.row_id, r.partition_id) for r in pack_chunks(small, spec, 4_000).collect()}
+    assert plain == {(r.row_id, r.partition_id) for r in pack_chunks(small, spec, 4_000, keep=["row_id"]).collect()}
+
+
+@pytest.mark.parametrize("name", ["partition_id", "row_pos", "chunk_id", "ROW_BYTES", "_at", "_block", "_pos", "_chunk"])
+def test_names_of_added_columns_are_refused(spark, name):
+    rows = spark.range(3).withColumn(name, F.lit(1))
+    for work in (partition_result, with_row_pos, lambda df, spec: pack_chunks(df, spec, 100)):
+        with pytest.raises(ValueError, match="rename input columns"):
+            work(rows, PartitionSpec(2, (), (), "id"))
+
+
 def test_positions_do_not_depend_on_the_split(small):
     spec = PartitionSpec(3, ("i1",), ("i1", "d1"), "row_id")
     whole = {(r.row_id, r.partition_id, r.row_pos) for r in with_row_pos(small, spec).collect()}

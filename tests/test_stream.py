@@ -38,11 +38,25 @@ def test_stopped_and_started_again(spark, arriving):
     assert read_delivered(spark, f"{base}/out").count() == 800
 
 
+def test_another_query_is_refused(spark, arriving):
+    """Progress lost after delivery: the same rows come in other batches, and must not come twice."""
+    rows, stream, base = arriving
+    stream_load(stream, f"{base}/out", f"{base}/progress").awaitTermination()
+    wider = read_stream(spark, f"{base}/in", rows.schema, files_per_batch=4)
+    with pytest.raises(Exception, match="a sink of its own"):
+        stream_load(wider, f"{base}/out", f"{base}/progress-2").awaitTermination()
+    got = read_delivered(spark, f"{base}/out").drop("batch_id")
+    assert got.count() == 400 and got.exceptAll(rows).count() == 0
+
+
 def test_a_repeated_batch_replaces_itself(spark, arriving):
-    """Progress lost after delivery: the batches come again under their numbers."""
+    """A batch delivered whose end was not recorded comes again under its number."""
     rows, stream, base = arriving
     stream_load(stream, f"{base}/out", f"{base}/progress").awaitTermination()
-    stream_load(stream, f"{base}/out", f"{base}/progress-2").awaitTermination()
+    os.remove(f"{base}/progress/commits/1")
+    if os.path.exists(f"{base}/progress/commits/.1.crc"):
+        os.remove(f"{base}/progress/commits/.1.crc")
+    stream_load(stream, f"{base}/out", f"{base}/progress").awaitTermination()
     got = read_delivered(spark, f"{base}/out").drop("batch_id")
     assert got.count() == 400 and got.exceptAll(rows).count() == 0
 
@@ -63,6 +77,6 @@ def test_tables_are_not_streams(spark):
 def test_a_failed_delivery_is_reported(spark, arriving):
     _, stream, base = arriving
     query = stream_chunks(stream, SPEC, 10, f"{base}/out", f"{base}/progress")
-    with pytest.raises(Exception, match="too small"):
+    with pytest.raises(Exception, match="larger than a chunk"):
         query.awaitTermination()
     assert not os.path.exists(f"{base}/out/{streams.BATCH_ID}=0/_SUCCESS")

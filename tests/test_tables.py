@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from chunkspark import (
@@ -47,6 +49,64 @@ def test_managed_tables_can_be_changed(spark, table, tmp_path):
     assert [r.a for r in spark.table(table).collect()] == [3]
 
 
+def test_neighbours_survive_a_change(spark, table, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}' AS SELECT id AS a FROM range(4)")
+    others = {f"{table}__next": None, f"{table}_n1": f"{path}__v1", f"{table}_n2": f"{path}__1"}
+    for name, where in others.items():
+        place = f"LOCATION '{where}'" if where else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet {place} AS SELECT 7 AS c")
+    try:
+        assert update_where(spark, table, {"a": "a + 10"}, "a < 2") == 2
+        assert delete_where(spark, table, "a = 3") == 1
+        assert sorted(r.a for r in spark.table(table).collect()) == [2, 10, 11]
+        for name in others:
+            spark.sql(f"REFRESH TABLE {name}")
+            assert [r.c for r in spark.table(name).collect()] == [7]
+        # The user's own folder stays; of ours there is one.
+        assert len([f for f in os.listdir(tmp_path) if f.startswith("t__") and f not in ("t__v1", "t__1")]) == 1
+    finally:
+        for name in others:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@pytest.mark.parametrize("external", [True, False])
+def test_partitioned_tables_stay_partitioned(spark, table, tmp_path, external):
+    writer = spark.range(12).selectExpr("id AS a", "if(id % 4 = 3, null, 'p' || id % 4) AS p").write.partitionBy("p")
+    (writer.option("path", f"{tmp_path}/t") if external else writer).saveAsTable(table)
+    before = {f: os.stat(f).st_mtime_ns for f in spark.table(table).filter("p = 'p0'").inputFiles() if os.path.exists(f)}
+    assert update_where(spark, table, {"a": "a * 100"}, "p = 'p1' AND a > 1") == 2
+    assert delete_where(spark, table, "p IS NULL AND a < 10") == 2
+    assert delete_where(spark, table, "p = 'p2'") == 3
+    assert sorted((r.a, r.p) for r in spark.table(table).collect() if r.p) == [(0, "p0"), (1, "p1"), (4, "p0"), (8, "p0"), (500, "p1"), (900, "p1")]
+    assert [r.a for r in spark.table(table).filter("p IS NULL").collect()] == [11]
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["p"]
+    assert all(os.stat(f).st_mtime_ns == t for f, t in before.items())
+    assert update_where(spark, table, {"p": "'p9'"}, "a = 0") == 1
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isPartition] == ["p"] and spark.table(table).filter("p = 'p9'").count() == 1
+
+
+def test_bucketed_tables_stay_bucketed(spark, table):
+    spark.range(50).selectExpr("id AS a", "id % 5 AS b").write.bucketBy(4, "b").sortBy("a").saveAsTable(table)
+    assert delete_where(spark, table, "a < 10") == 10
+    assert [c.name for c in spark.catalog.listColumns(table) if c.isBucket] == ["b"]
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    assert told["Num Buckets"] == "4" and told["Sort Columns"] == "[`a`]" and spark.table(table).count() == 40
+
+
+def test_tables_of_another_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS other_db")
+    create_table(spark, "other_db.t1", "a INT")
+    try:
+        assert insert_rows(spark, "other_db.t1", "SELECT 1 AS a UNION ALL SELECT 2") == 2
+        assert update_where(spark, "other_db.t1", {"a": "5"}, "a = 1") == 1
+        assert sorted(r.a for r in spark.table("other_db.t1").collect()) == [2, 5]
+    finally:
+        drop_table(spark, "other_db.t1")
+        spark.sql("DROP DATABASE other_db CASCADE")
+
+
 def test_doubling(spark, table):
     create_table_as(spark, table, "SELECT id, id % 3 AS g FROM range(14)", path_of(spark, table))
     for n in range(3):
