@@ -7,7 +7,8 @@ similarity of their sets is ``SIMILARITY`` or more.
 Equal sets are one vertex, the smallest doc_id among them. A run is a recursion of splits: at a node, a set
 goes on to the child of each of its shingles whose hash under that node is below ``BRANCHES / (SIMILARITY * size)``, so
 sets that are alike choose shared shingles. A child of ``SMALL`` sets or fewer is compared by brute force;
-larger ones split further, ``DEPTH`` times at most, and what is large then is compared in blocks. A pair at
+larger ones split further, ``DEPTH`` times at most, and what is large then is compared in blocks, as is at once a
+node whose sets are alike on average, for splits would copy such a group rather than part it. A pair at
 the threshold goes astray in one run with a probability of about 0.2 at most, however deep (a branching process with two
 shared children a node); ``RUNS`` runs, each with hashes of its own, reach the target recall.
 
@@ -29,12 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkspark.llm.common import documents, narrowed, stored
 from chunkspark.llm.count_filter import Shared, shared_keys
-from chunkspark.llm.pairing import LINKS_DDL, blocked, components, key_table, linked, meets_first, pairs, whole_groups
+from chunkspark.llm.pairing import LINKS_DDL, blocked, components, first_pairs, key_table, linked, whole_groups
 from chunkspark.llm.repeats import Words
 from chunkspark.llm.runs import Fingerprints, mixed
 from chunkspark.plans.registry import query
@@ -44,7 +45,11 @@ BRANCHES, RECALL = 2.0, 0.999
 #: Chance that a pair at the threshold is lost in one run: the smaller root of q = exp(BRANCHES * (q - 1)).
 LOST = 0.2032
 RUNS = math.ceil(math.log(1 - RECALL) / math.log(LOST))
-SMALL, DEPTH, BLOCK = 128, 5, 192
+SMALL, DEPTH, BLOCK = 128, 5, 768
+#: A larger node is compared in blocks at once when DRAWN of its members, by hash, are this alike on average.
+DENSE, DRAWN = 0.6, 64
+#: Groups of more sets are intersected by a matrix product, so many shingles at a time.
+MANY, COLUMNS = 24, 1024
 MINIMA, LIKELY = 128, 0.6
 NODE_BITS, DOC_BITS = 24, 24
 #: Groups are taken up to so many bytes of text at once.
@@ -72,26 +77,26 @@ def minima(tokens: np.ndarray) -> np.ndarray:
     return out
 
 
-def children(tokens: np.ndarray, node: int) -> np.ndarray:
-    """Nodes that a set goes on to from ``node``."""
-    drawn = mixed(tokens ^ np.uint64(node))
+def children(tokens: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Nodes that a set goes on to from ``nodes``."""
     limit = min(1.0, BRANCHES / (SIMILARITY * len(tokens)))
-    chosen = tokens[drawn <= np.uint64(min(int(limit * 2.0**64), (1 << 64) - 1))]
-    return mixed(chosen + mixed(np.array([node], dtype=np.uint64)) * np.uint64(3))
-
-
-def roots() -> list[int]:
-    return [int(mixed(np.array([run + 1], dtype=np.uint64))[0]) for run in range(RUNS)]
+    limit = np.uint64(min(int(limit * 2.0**64), (1 << 64) - 1))
+    step, out = max(1, (1 << 19) // len(tokens)), []
+    for at in range(0, len(nodes), step):
+        some = nodes[at: at + step]
+        row, col = np.nonzero(mixed(tokens[None, :] ^ some[:, None]) <= limit)
+        out.append(mixed(tokens[col] + mixed(some)[row] * np.uint64(3)))
+    return np.unique(np.concatenate(out)) if out else nodes
 
 
 def _nodes(tokens: np.ndarray, split: list[Shared]) -> np.ndarray:
     """Nodes of a set at depth ``len(split) + 1``, below the large nodes that ``split`` lists by depth."""
-    now = np.unique(np.concatenate([children(tokens, r) for r in roots()]))
+    now = children(tokens, mixed(np.arange(1, RUNS + 1, dtype=np.uint64)))
     for large in split:
         now = now[large.test(now)]
         if not len(now):
             return now
-        now = np.unique(np.concatenate([children(tokens, int(n)) for n in now]))
+        now = children(tokens, now)
     return now
 
 
@@ -140,18 +145,49 @@ def _keys(column: str):
     return keys
 
 
+def _dense(batches):
+    """Nodes whose drawn members are alike on average: splitting would not part them."""
+    for group, starts in whole_groups(batches, ("node",)):
+        marks = np.frombuffer(b"".join(group.column("minima").to_pylist()), dtype=np.uint8).reshape(-1, MINIMA)
+        nodes, out = group.column("node").to_numpy(), []
+        for a, b in zip(starts[:-1], starts[1:]):
+            i, j = np.triu_indices(b - a, 1)
+            if len(i) and _alike(marks[a:b], i, j).mean() >= DENSE:
+                out.append(nodes[a])
+        if out:
+            yield pa.record_batch({"node": pa.array(out, pa.int64())})
+
+
+def _alike(marks: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Estimated similarity of pairs from their minima."""
+    out = np.zeros(len(i))
+    for at in range(0, len(i), 1 << 14):
+        a, b = marks[i[at: at + (1 << 14)]], marks[j[at: at + (1 << 14)]]
+        out[at: at + (1 << 14)] = ((a == b) & (a > 0)).sum(axis=1) / np.maximum(1, ((a > 0) | (b > 0)).sum(axis=1))
+    return out
+
+
 def buckets(docs: DataFrame, vertices: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, node) of the nodes in which sets are compared; ``vertices`` has doc_id and first nodes."""
+    """(doc_id, node) of the nodes in which sets are compared; ``vertices`` has doc_id, minima and first nodes."""
     now = vertices.select("doc_id", F.explode("nodes").alias("node"))
     split, out = [], None
     for depth in range(DEPTH):
         now = stored(now, "nodes")
         sizes = now.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        last = depth == DEPTH - 1
-        small = now.join(sizes if last else sizes.filter(F.col("n") <= SMALL), "node").select("doc_id", "node")
-        out = small if out is None else out.unionByName(small)
         large = stored(sizes.filter(F.col("n") > SMALL).select("node"), "large")
-        if last or large.isEmpty():
+        last = depth == DEPTH - 1 or large.isEmpty()
+        whole = sizes.select("node")
+        if not last:
+            turn = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64("doc_id"), "doc_id"))
+            drawn = now.join(large, "node").withColumn("_turn", turn).filter(F.col("_turn") <= DRAWN).drop("_turn")
+            drawn = drawn.join(vertices.select("doc_id", "minima"), "doc_id").select("node", "minima")
+            dense = stored(drawn.repartition("node").sortWithinPartitions("node").mapInArrow(_dense, "node long"), "dense")
+            large = stored(large.join(dense, "node", "left_anti"), "sparse")
+            last = large.isEmpty()
+            whole = sizes.filter(F.col("n") <= SMALL).select("node").unionByName(dense)
+        part = now.join(whole, "node").select("doc_id", "node")
+        out = part if out is None else out.unionByName(part)
+        if last:
             break
         split.append(shared_keys(large, _keys("node"), NODE_BITS, times=2))
         holders = shared_keys(now.join(large, "node", "left_semi").select("doc_id").distinct(), _keys("doc_id"), DOC_BITS, times=2)
@@ -160,37 +196,26 @@ def buckets(docs: DataFrame, vertices: DataFrame, words: int = WORDS) -> DataFra
     return out.distinct()
 
 
-def _candidates(group: pa.Table, starts: np.ndarray, judge):
-    """Pairs of a table of groups that may be alike by size and are judged in this node."""
+def _candidates(group: pa.Table, starts: np.ndarray, marks: np.ndarray):
+    """Pairs of a table of groups that may be alike and are judged in this node."""
     own, size = group.column("_own").to_numpy(), group.column("size").to_numpy().astype(np.int64)
     across = group.column("_a").to_numpy() != group.column("_b").to_numpy()
     here, keys, vertex = group.column("node").to_numpy(), key_table(group.column("all_nodes")), group.column("doc_id").to_numpy()
-    for i, j in pairs(starts):
+    for i, j in first_pairs(starts, keys, here):
         low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
         kept = (low >= SIMILARITY * high - 1e-9) & ~(across[i] & (own[i] == own[j])) & (vertex[i] != vertex[j])
         i, j = i[kept], j[kept]
-        if len(i) and judge is not None:
-            near = judge(i, j)
-            i, j = i[near], j[near]
         if len(i):
-            first = meets_first(keys, here, i, j)
-            yield i[first], j[first]
+            near = _alike(marks, i, j) >= LIKELY
+            yield i[near], j[near]
 
 
 def _likely(batches):
     """Rows of documents with a partner that their minima make likely, without the minima."""
     for group, starts in whole_groups(batches, ("node", "_a", "_b")):
         marks = np.frombuffer(b"".join(group.column("minima").to_pylist()), dtype=np.uint8).reshape(-1, MINIMA)
-
-        def judge(i, j, marks=marks):
-            near = np.zeros(len(i), dtype=bool)
-            for at in range(0, len(i), 1 << 14):
-                a, b = marks[i[at: at + (1 << 14)]], marks[j[at: at + (1 << 14)]]
-                near[at: at + (1 << 14)] = ((a == b) & (a > 0)).sum(axis=1) >= LIKELY * ((a > 0) | (b > 0)).sum(axis=1)
-            return near
-
         hit = np.zeros(group.num_rows, dtype=bool)
-        for i, j in _candidates(group, starts, judge):
+        for i, j in _candidates(group, starts, marks):
             hit[i] = True
             hit[j] = True
         if hit.any():
@@ -215,6 +240,24 @@ def _verified(words: int):
     return run
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other, from shingles that two sets have at least."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    names, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    row, at = row[shared[at]], column[at[shared[at]]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(at, [low, low + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[row[a:b], at[a:b] - low] = 1
+        out += held @ held.T
+    return out
+
+
 def _exact(group: pa.Table, starts: np.ndarray, known: Words, words: int) -> Iterator[pa.RecordBatch]:
     vertex, weight = group.column("doc_id").to_numpy(), group.column("weight").to_numpy()
     texts = group.column("text")
@@ -222,30 +265,26 @@ def _exact(group: pa.Table, starts: np.ndarray, known: Words, words: int) -> Ite
     sets: list[np.ndarray] = []
     held: dict[int, int] = {}
     for row, v in enumerate(vertex.tolist()):
-        if v in held:
-            sets.append(sets[held[v]])
-            marks[row] = marks[held[v]]
-            continue
-        held[v] = row
-        sets.append(shingles(texts[row].as_py(), known, words))
+        same = held.setdefault(v, row)
+        sets.append(sets[same] if same < row else shingles(texts[row].as_py(), known, words))
         if len(sets[row]):
-            marks[row] = minima(sets[row])
-
-    def judge(i, j):
-        near = np.zeros(len(i), dtype=bool)
-        for at in range(0, len(i), 1 << 14):
-            a, b = marks[i[at: at + (1 << 14)]], marks[j[at: at + (1 << 14)]]
-            near[at: at + (1 << 14)] = ((a == b) & (a > 0)).sum(axis=1) >= LIKELY * ((a > 0) | (b > 0)).sum(axis=1)
-        return near
-
-    for i, j in _candidates(group, starts, judge):
-        alike = np.zeros(len(i), dtype=bool)
-        for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
-            x, y = (sets[a], sets[b]) if len(sets[a]) <= len(sets[b]) else (sets[b], sets[a])
-            if len(y):
-                at = np.searchsorted(y, x)
-                both = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
-                alike[k] = both >= SIMILARITY * (len(x) + len(y) - both) - 1e-9
+            marks[row] = marks[same] if same < row else minima(sets[row])
+    sizes = np.array([len(s) for s in sets])
+    common: dict[int, np.ndarray] = {}
+    for i, j in _candidates(group, starts, marks):
+        both = np.zeros(len(i), dtype=np.int64)
+        which = np.searchsorted(starts, i, side="right") - 1
+        for g in np.unique(which):
+            at, first = np.flatnonzero(which == g), int(starts[g])
+            if starts[g + 1] - first > MANY:
+                if g not in common:
+                    common = {g: _common(sets[first: starts[g + 1]])}
+                both[at] = common[g][i[at] - first, j[at] - first]
+                continue
+            for k in at.tolist():
+                x, y = sorted((sets[i[k]], sets[j[k]]), key=len)
+                both[k] = np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x) if len(x) else 0
+        alike = (both > 0) & (both >= SIMILARITY * (sizes[i] + sizes[j] - both) - 1e-9)
         if alike.any():
             yield linked(i[alike], j[alike], vertex, weight)
 

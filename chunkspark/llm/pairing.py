@@ -94,6 +94,32 @@ def meets_first(keys: np.ndarray, here: np.ndarray, i: np.ndarray, j: np.ndarray
     return out
 
 
+def first_pairs(starts: np.ndarray, keys: np.ndarray, here: np.ndarray, many: int = 48) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows in one group that meet there first; large groups by one product of their shared buckets."""
+    sizes = np.diff(starts)
+    large = np.flatnonzero(sizes > many)
+    edges = np.concatenate(([-1], large, [len(sizes)]))
+    for before, after in zip(edges[:-1], edges[1:]):
+        if after - before > 1:
+            some = starts[before + 1: after + 1]
+            for i, j in pairs(some - some[0]):
+                i, j = i + some[0], j + some[0]
+                kept = meets_first(keys, here, i, j)
+                yield i[kept], j[kept]
+        if after < len(sizes):
+            a, b = int(starts[after]), int(starts[after + 1])
+            row, col = np.nonzero(keys[a:b] < here[a])
+            _, name, count = np.unique(keys[a:b][row, col], return_inverse=True, return_counts=True)
+            shared = count[name] > 1
+            name = np.unique(name[shared], return_inverse=True)[1]
+            held = np.zeros((b - a, int(name.max(initial=-1)) + 1), dtype=np.float32)
+            held[row[shared], name] = 1
+            met = held @ held.T > 0
+            for i, j in pairs(np.array([0, b - a])):
+                kept = ~met[i, j]
+                yield i[kept] + a, j[kept] + a
+
+
 def key_table(lists: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """List column of ascending longs as a table, short lists filled up with the largest number."""
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists

@@ -46,7 +46,7 @@ class Words(dict):
     """Random 64-bit value pairs of words, by hash; emptied when it grows."""
 
     def __missing__(self, word):
-        if len(self) > 200_000:
+        if len(self) > 400_000:
             self.clear()
         self[word] = value = xxhash.xxh3_128_digest(word)
         return value
