@@ -13,7 +13,8 @@ from chunkspark.operators.reports import node_report, partition_report, route_re
 from chunkspark.session import make_session, register_views
 from chunkspark.sources.positional import export_positional, import_positional, map_positional
 from chunkspark.sources.results import (
-    drop_result, materialize_result, read_in_place, read_partition, read_partitions, run_query, snapshot_result,
+    choose_mode, drop_result, materialize_result, read_auto, read_in_place, read_owned, read_partition, read_partitions,
+    run_query, snapshot_result,
 )
 from chunkspark.sources.schema import column_sizes, describe_schema, list_tables, table_row_counts
 from chunkspark.sources.tables import (

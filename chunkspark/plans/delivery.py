@@ -42,10 +42,12 @@ def chunks(spark, sf_dir):
     )
 
 
-@query("stream_load", f"SELECT event_id, user_id, {micros('ts')} AS ts FROM events")
+@query(
+    "stream_load",
+    f"""SELECT event_id, {micros('ts')} AS ts, user_id, encode(event_type) AS event_type, value, encode(props) AS props FROM events""",
+)
 def load(spark, sf_dir):
     """Loaded in exchange form by the mapping of each batch."""
     sink, progress = _places(spark, "events_loaded")
-    stream = _events(spark, sf_dir).select("event_id", "user_id", "ts")
-    stream_load(stream, sink, progress, encode_table).awaitTermination()
+    stream_load(_events(spark, sf_dir), sink, progress, encode_table).awaitTermination()
     return read_delivered(spark, sink).drop("batch_id")

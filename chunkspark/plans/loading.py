@@ -127,6 +127,37 @@ def update(spark, sf_dir):
     return _with_count(spark, name, count)
 
 
+@query(
+    "delete_where_partitioned",
+    """SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_orderstatus <> 'O' AND (o_custkey % 5 = 0 OR o_orderstatus = 'P')) AS affected,
+        'o_orderstatus' AS partitioned_by
+       FROM orders WHERE o_orderstatus = 'O' OR NOT (o_custkey % 5 = 0 OR o_orderstatus = 'P')""",
+)
+def delete_partitioned(spark, sf_dir):
+    """One partition loses some rows, one all, one none; the table stays partitioned."""
+    name = new_name("orders_partitioned")
+    rows = read_table(spark, sf_dir, "orders")
+    rows.write.partitionBy("o_orderstatus").option("path", scratch(spark, name)).saveAsTable(name)
+    count = delete_where(spark, name, "o_orderstatus <> 'O' AND (o_custkey % 5 = 0 OR o_orderstatus = 'P')")
+    by = ",".join(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    return _with_count(spark, name, count).withColumn("partitioned_by", F.lit(by))
+
+
+@query(
+    "update_where_bucketed",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+        o_orderdate, o_orderpriority, (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_orderstatus = 'F') AS affected, 'o_custkey' AS bucketed_by
+       FROM orders""",
+)
+def update_bucketed(spark, sf_dir):
+    name = new_name("orders_bucketed")
+    rows = read_table(spark, sf_dir, "orders")
+    rows.write.bucketBy(8, "o_custkey").sortBy("o_orderkey").option("path", scratch(spark, name)).saveAsTable(name)
+    count = update_where(spark, name, {"o_totalprice": "o_totalprice * 2"}, "o_orderstatus = 'F'")
+    by = ",".join(c.name for c in spark.catalog.listColumns(name) if c.isBucket)
+    return _with_count(spark, name, count).withColumn("bucketed_by", F.lit(by))
+
+
 @query("create_table_as", "SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey")
 def ctas(spark, sf_dir):
     """Created, dropped and created again from a query over two tables."""
@@ -139,12 +170,10 @@ def ctas(spark, sf_dir):
     return spark.table(name)
 
 
-@query(
-    "with_row_key",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
-        CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS BIGINT) AS row_key
-       FROM lineitem""",
-)
+_ROWS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_t" \
+    "ax, l_returnflag, l_linestatus, l_shipdate"
+
+
+@query("with_row_key", f"SELECT *, CAST(row_number() OVER (ORDER BY {_ROWS}) AS BIGINT) AS row_key FROM lineitem")
 def row_key(spark, sf_dir):
-    rows = lineitem(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    return with_row_key(rows, ["l_orderkey", "l_linenumber"])
+    return with_row_key(lineitem(spark, sf_dir), _ROWS.split(", "))

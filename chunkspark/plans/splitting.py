@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from chunkspark.functions.types import row_bytes
 from chunkspark.operators.checks import affinity_violations
-from chunkspark.operators.partition import PartitionSpec, add_partition_id, partition_result
+from chunkspark.operators.chunks import pack_chunks
+from chunkspark.operators.partition import PartitionSpec, add_partition_id, largest_partition, partition_result, union_of
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.operators.reports import node_report, partition_report, route_report
 from chunkspark.plans.inputs import (
@@ -17,7 +20,8 @@ from chunkspark.plans.registry import query
 from chunkspark.plans.sql_text import key_text, partition_number, placed
 from chunkspark.session import read_table
 from chunkspark.sources.results import (
-    SNAPSHOT, drop_result, materialize_result, read_in_place, read_partitions, snapshot_result,
+    IN_PLACE, SNAPSHOT, choose_mode, drop_result, materialize_result, read_auto, read_in_place, read_owned, read_partitions,
+    snapshot_result,
 )
 
 LINEITEM_SPEC = PartitionSpec(64, ("l_orderkey",), ("l_orderkey", "l_linenumber"))
@@ -35,11 +39,82 @@ def by_order(spark, sf_dir):
 
 @query(
     "partition_by_key",
-    f"SELECT c_custkey, c_name, {partition_number([key_text('c_custkey')], 8)} AS partition_id FROM customer",
+    f"SELECT *, {partition_number([key_text('c_custkey')], 8)} AS partition_id FROM customer",
 )
 def by_key(spark, sf_dir):
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return partition_result(customer, PartitionSpec(8, key="c_custkey"))
+    return partition_result(read_table(spark, sf_dir, "customer"), PartitionSpec(8, key="c_custkey"))
+
+
+REGION_SPEC = PartitionSpec(3)
+REGION_NUMBER = partition_number([key_text(c, k) for c, k in (("n_nationkey", "other"), ("n_name", "text"), ("n_regionkey", "other"))], 3)
+
+
+@query("partition_without_columns", f"SELECT n_nationkey, n_name, n_regionkey, {REGION_NUMBER} AS partition_id, true AS packed_alike FROM nation")
+def without_columns(spark, sf_dir):
+    """Numbered by the whole row, and alike when the rows are packed."""
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    packed = pack_chunks(nation, REGION_SPEC, 4096).select("n_nationkey", F.col("partition_id").alias("p"))
+    rows = partition_result(nation, REGION_SPEC).join(packed, "n_nationkey")
+    return rows.select(*nation.columns, "partition_id", (F.col("p") == F.col("partition_id")).alias("packed_alike"))
+
+
+def _small_tasks(rows, spec):
+    """The spec with tasks that hold a quarter of the largest partition, so that partitions are split at any scale."""
+    return replace(spec, task_bytes=max(1, largest_partition(add_partition_id(rows, spec)) // 4))
+
+
+@query("snapshot_split", f"SELECT {ORDERS_COLUMNS}, partition_id, row_pos FROM ({ORDERS_PLACED})")
+def snapshot_split(spark, sf_dir):
+    name, rows = new_name("orders_split"), orders(spark, sf_dir)
+    return snapshot_result(spark, name, rows, _small_tasks(rows, ORDERS_SPEC))
+
+
+@query(
+    "positions_split_without_key",
+    f"SELECT {LINEITEM_COLUMNS}, partition_id, row_pos FROM ("
+    + placed(
+        "lineitem", LINEITEM_COLUMNS, LINEITEM_NUMBER,
+        "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+        "l_returnflag, l_linestatus, l_shipdate",
+    ) + ")",
+)
+def positions_split_without_key(spark, sf_dir):
+    rows = lineitem(spark, sf_dir)
+    return with_row_pos(rows, _small_tasks(rows, LINEITEM_SPEC))
+
+
+@query(
+    "read_owned",
+    f"SELECT {ORDERS_COLUMNS}, partition_id, row_pos, partition_id % 3 AS worker_id, (partition_id // 3) % 2 AS consumer_id FROM ({ORDERS_PLACED})",
+)
+def owned(spark, sf_dir):
+    """The shares of all consumers together."""
+    name = new_name("orders_owned")
+    stored = materialize_result(spark, name, orders(spark, sf_dir), ORDERS_SPEC, path=scratch(spark, name))
+    shares = [
+        read_owned(stored, 3, w, 2, c).withColumns({"worker_id": F.lit(w).cast("long"), "consumer_id": F.lit(c).cast("long")})
+        for w in range(3) for c in range(2)
+    ]
+    return union_of(shares)
+
+
+@query("read_auto", f"""SELECT o_orderkey, 'snapshot' AS mode, partition_id FROM ({ORDERS_PLACED})
+    UNION ALL SELECT o_orderkey, 'stored', partition_id FROM ({ORDERS_PLACED})
+    UNION ALL SELECT o_orderkey, 'in_place', NULL FROM orders""")
+def auto(spark, sf_dir):
+    """Each mode, chosen by the layout of the table and the number of passes."""
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    plain, bucketed, kept = new_name("orders_plain"), new_name("orders_buckets"), new_name("orders_kept")
+    orders(spark, sf_dir).write.option("path", scratch(spark, plain)).saveAsTable(plain)
+    materialize_result(spark, bucketed, orders(spark, sf_dir), ORDERS_SPEC, path=scratch(spark, bucketed), layout="bucketed")
+    parts = []
+    for table, many in ((plain, False), (plain, True), (bucketed, False)):
+        mode = choose_mode(spark, table, ORDERS_SPEC, many)
+        rows = read_auto(spark, f"{kept}_{mode}", table, ORDERS_SPEC, many, scratch(spark, f"{kept}_{mode}"))
+        # Buckets are numbered by the engine's own hash.
+        number = F.lit(None).cast("long") if mode == IN_PLACE else F.col("partition_id")
+        parts.append(rows.select("o_orderkey", F.lit(mode).alias("mode"), number.alias("partition_id")))
+    return union_of(parts)
 
 
 @query(
@@ -123,10 +198,9 @@ def stored_partitions(spark, sf_dir):
     return read_partitions(stored, range(ORDERS_SPEC.partitions))
 
 
-@query("read_in_place", f"SELECT o_orderkey, o_custkey, o_totalprice, {ORDERS_NUMBER} AS partition_id FROM orders")
+@query("read_in_place", f"SELECT {ORDERS_COLUMNS}, {ORDERS_NUMBER} AS partition_id FROM orders")
 def in_place(spark, sf_dir):
-    rows = orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_totalprice")
-    return read_in_place(spark, rows, PartitionSpec(8, ("o_custkey",), (), "o_orderkey"))
+    return read_in_place(spark, orders(spark, sf_dir), PartitionSpec(8, ("o_custkey",), (), "o_orderkey"))
 
 
 @query(

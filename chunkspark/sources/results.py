@@ -119,6 +119,40 @@ def read_partition(df: DataFrame, partition: int, order=None) -> DataFrame:
     return read_partitions(df, [partition], order)
 
 
+def read_owned(
+    df: DataFrame, workers: int, worker: int, consumers: int = 1, consumer: int = 0, order=None,
+) -> DataFrame:
+    """One consumer's share of a result: partition p belongs to worker ``p % workers`` and there to consumer
+    ``(p div workers) % consumers``. A stored table reads only the folders of the share."""
+    if not (0 <= worker < workers and 0 <= consumer < consumers):
+        raise ValueError("worker and consumer must be below their numbers")
+    number = quoted(PARTITION_ID)
+    own = (F.pmod(number, F.lit(workers)) == worker) & (F.pmod(F.floor(number / workers), F.lit(consumers)) == consumer)
+    return df.filter(own).orderBy(PARTITION_ID, *[quoted(c) for c in (order or [ROW_POS])])
+
+
+def choose_mode(spark: SparkSession, table: str, spec: PartitionSpec, many_passes: bool = False) -> str:
+    """How to read a table split by ``spec``, from its catalog entry alone: in place when its buckets are the
+    partitions and its files are sorted as asked, else stored for many passes and a snapshot for one."""
+    columns = {c.name for c in spark.catalog.listColumns(quote_name(table)) if c.isBucket}
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_name(table)}").collect()}
+    listed = [c.strip("` ") for c in told.get("Sort Columns", "[]").strip("[]").split(",") if c.strip("` ")]
+    fits = columns and columns <= set(spec.by) and int(told.get("Num Buckets", 0)) == spec.partitions
+    if fits and list(spec.order) == listed[: len(spec.order)]:
+        return IN_PLACE
+    return STORED if many_passes else SNAPSHOT
+
+
+def read_auto(spark: SparkSession, name: str, table: str, spec: PartitionSpec, many_passes: bool = False, path: str | None = None) -> DataFrame:
+    """``table`` split by ``spec``, in the mode ``choose_mode`` finds; a result that is kept is called ``name``."""
+    mode = choose_mode(spark, table, spec, many_passes)
+    if mode == IN_PLACE:
+        buckets = [c.name for c in spark.catalog.listColumns(quote_name(table)) if c.isBucket]
+        return read_in_place(spark, spark.table(quote_name(table)), spec, bucketed_by=buckets)
+    rows = spark.table(quote_name(table))
+    return materialize_result(spark, name, rows, spec, path=path) if mode == STORED else snapshot_result(spark, name, rows, spec)
+
+
 def read_in_place(
     spark, query, spec: PartitionSpec, partition: int | None = None, bucketed_by=None,
 ) -> DataFrame:
