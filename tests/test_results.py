@@ -1,11 +1,13 @@
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from chunkspark import (
-    PartitionSpec, affinity_violations, chunk_index, column_sizes, compare_passes, describe_schema, drop_result,
-    list_tables, materialize_result, read_in_place, read_partition, read_partitions, run_query, snapshot_result,
+    PartitionSpec, affinity_violations, choose_mode, chunk_index, column_sizes, compare_passes, describe_schema, drop_result,
+    list_tables, materialize_result, read_auto, read_in_place, read_owned, read_partition, read_partitions, run_query,
+    snapshot_result,
 )
 from chunkspark.sources.results import IN_PLACE, SNAPSHOT, STORED
 from chunkspark.session import shared_dir
@@ -151,3 +153,36 @@ def test_odd_column_names(spark):
     assert decode_table(encode_table(rows), rows.schema).exceptAll(rows).count() == 0
     dotted = spark.createDataFrame([(1.0, 2.0, 3.0)], "`a?` double, `b.` double, `c$` double")
     assert pack_chunks(dotted, PartitionSpec(2, ("b.",), ("a?",)), 100).select("`c$`", "`a?`", "`b.`").first() == (3.0, 1.0, 2.0)
+
+
+def test_owners_read_their_folders_only(spark, view):
+    path = f"{shared_dir(spark)}/owned"
+    stored = materialize_result(spark, "owned_rows", "SELECT * FROM small", PartitionSpec(6, ("i1", "t1"), (), "row_id"), path=path)
+    everything = set()
+    for worker in range(2):
+        for consumer in range(2):
+            share = read_owned(stored, 2, worker, 2, consumer)
+            rows = share.collect()
+            assert all(r.partition_id % 2 == worker and r.partition_id // 2 % 2 == consumer for r in rows)
+            everything |= {r.row_id for r in rows}
+            assert "PartitionFilters: [" in share._jdf.queryExecution().explainString(
+                spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert everything == set(range(1, 15))
+    with pytest.raises(ValueError):
+        read_owned(stored, 2, 2)
+    drop_result(spark, "owned_rows", STORED)
+    assert not os.path.exists(path)
+
+
+def test_mode_follows_the_layout(spark, view):
+    spark.sql("SELECT * FROM small").write.bucketBy(4, "i1").sortBy("i1", "row_id").mode("overwrite").saveAsTable("mode_rows")
+    try:
+        fitting = PartitionSpec(4, ("i1", "t1"), ("i1",), "row_id")
+        assert choose_mode(spark, "mode_rows", fitting) == IN_PLACE
+        assert choose_mode(spark, "mode_rows", replace(fitting, partitions=5)) == SNAPSHOT
+        assert choose_mode(spark, "mode_rows", replace(fitting, order=("row_id",)), many_passes=True) == STORED
+        assert choose_mode(spark, "mode_rows", replace(fitting, by=("t1",))) == SNAPSHOT
+        got = read_auto(spark, "unused", "mode_rows", fitting)
+        assert sorted(r.row_id for r in got.collect()) == list(range(1, 15))
+    finally:
+        spark.sql("DROP TABLE mode_rows")
