@@ -19,10 +19,11 @@ def key_text(field: T.StructField) -> Column:
         text = F.replace(column, F.lit("\\"), F.lit("\\\\"))
         text = F.replace(text, F.lit(SEPARATOR), F.lit("\\" + SEPARATOR))
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
-        # Engines print doubles differently; past the decimal range any stable text will do.
-        # Adding 0 turns -0.0 into 0.0, which equals it.
+        # Engines print doubles differently, but agree on those of six decimals; for any other, and past the
+        # decimal range, a stable text of all its digits will do. Adding 0 turns -0.0 into 0.0, which equals it.
         number = column.cast("double") + F.lit(0.0)
-        text = F.coalesce(number.try_cast("decimal(38,6)").cast("string"), number.cast("string"))
+        short = number.try_cast("decimal(38,6)")
+        text = F.when(short.cast("double") == number, short.cast("string")).otherwise(number.cast("string"))
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         text = datetime_to_micros(column.cast("timestamp_ntz")).cast("string")
     elif isinstance(kind, T.BinaryType):

@@ -91,6 +91,24 @@ def column_bytes(field: T.StructField) -> Column:
     return F.lit(ALIGN).cast("long")
 
 
+def held_bytes(column: Column, kind: T.DataType) -> Column:
+    """About the bytes a value takes, nested ones by what they hold; for placing rows, not for chunks."""
+    long = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            inner = F.aggregate(column, F.lit(0).cast("long"), lambda total, x: total + held_bytes(x, kind.elementType))
+            return long(inner) + VARIABLE_SLOT
+        return long(F.greatest(F.size(column), F.lit(0))) * ALIGN + VARIABLE_SLOT
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return held_bytes(F.map_keys(column), keys) + held_bytes(F.map_values(column), values)
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [held_bytes(column[f.name], f.dataType) for f in kind], F.lit(0).cast("long"))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return long(F.octet_length(column)) + VARIABLE_SLOT
+    return F.lit(ALIGN).cast("long")
+
+
 def check_supported(schema: T.StructType) -> None:
     bad = [f"{f.name} {f.dataType.simpleString()}" for f in schema if type_class(f) == UNSUPPORTED]
     if bad:

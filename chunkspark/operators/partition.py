@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from chunkspark.functions.hashing import partition_number
-from chunkspark.functions.types import quoted, row_bytes
+from chunkspark.functions.types import held_bytes, quoted, row_bytes
 from chunkspark.session import checkpointed, shared_dir
 
 PARTITION_ID = "partition_id"
@@ -84,10 +84,12 @@ def add_partition_id(df: DataFrame, spec: PartitionSpec) -> DataFrame:
 
 
 def accounted_bytes(df: DataFrame):
-    """Row bytes, counting columns that have no exchange form as one slot."""
+    """Row bytes; columns that have no exchange form count by what they hold."""
     if ROW_BYTES in df.columns:
         return quoted(ROW_BYTES)
-    return row_bytes(df.schema)
+    nested = [f for f in df.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    flat = T.StructType([f for f in df.schema if f not in nested])
+    return reduce(lambda a, b: a + b, [held_bytes(quoted(f.name), f.dataType) for f in nested], row_bytes(flat))
 
 
 def _estimated_bytes(df: DataFrame) -> int:

@@ -9,7 +9,7 @@ from chunkspark import (
     pack_chunks, route_report, sort_key, with_row_pos, with_routes,
 )
 from chunkspark.operators import partition as partition_module
-from chunkspark.operators.partition import place
+from chunkspark.operators.partition import accounted_bytes, place
 
 
 def test_sort_key_adds_the_key_once():
@@ -184,3 +184,20 @@ def test_owners_take_partitions_in_turn(spark):
     for worker, mine in workers.items():
         for turn, number in enumerate(mine):
             assert got[number] == (worker, turn % 2, number % 5)
+
+
+def test_nested_values_count_by_what_they_hold(spark):
+    rows = spark.sql("SELECT id, array_repeat(1.0F, 64) AS v, array('abc', NULL) AS t, map('k', id) AS m, named_struct('x', 'yy', 'n', 1) AS s FROM range(40)")
+    size = rows.select(accounted_bytes(rows).alias("b")).distinct().collect()
+    assert [r.b for r in size] == [8 + (64 * 8 + 16) + (16 + 3 + 16 + 16) + (16 + 1 + 16 + 8 + 16) + (2 + 16 + 8)]
+    spec = PartitionSpec(1, (), ("id",), "id", task_bytes=4_000)
+    (part,) = place(add_partition_id(rows, spec), spec)
+    assert part.split and part.df.rdd.getNumPartitions() > 4
+
+
+def test_small_doubles_are_told_apart(spark):
+    rows = spark.range(1_000).selectExpr("id * 1e-12 AS d", "id")
+    used = partition_result(rows, PartitionSpec(16, ("d",), (), "id")).select("partition_id").distinct().count()
+    assert used == 16
+    same = spark.createDataFrame([(0.0,), (-0.0,), (0.5,), (0.50,)], "d double")
+    assert add_partition_id(same, PartitionSpec(64, ("d",))).select("partition_id").distinct().count() == 2
