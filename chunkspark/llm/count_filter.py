@@ -106,7 +106,8 @@ def shared_keys(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.n
     merged = sketches.repartition(tasks, "slice").mapInArrow(_merged, "slice int, bits binary")
     whole = np.zeros((rows, 1 << (bits - 3)), dtype=np.uint8)
     per_row, width = slices // rows, 1 << (SLICE_BITS - 3)
-    for row in merged.toLocalIterator():
+    # One job; what it brings is as large as the map at most.
+    for row in merged.collect():
         at = row["slice"] % per_row * width
         whole[row["slice"] // per_row, at: at + width] = np.frombuffer(row["bits"], dtype=np.uint8)
     return Shared(df.sparkSession.sparkContext.broadcast(whole), bits, rows)
