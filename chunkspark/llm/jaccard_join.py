@@ -46,8 +46,9 @@ BRANCHES, RECALL = 2.0, 0.999
 LOST = 0.2032
 RUNS = math.ceil(math.log(1 - RECALL) / math.log(LOST))
 SMALL, DEPTH, BLOCK = 128, 5, 768
-#: A larger node is compared in blocks at once when DRAWN of its members, by hash, are this alike on average.
-DENSE, DRAWN = 0.6, 64
+#: A larger node is compared in blocks at once when DRAWN of its members, by hash, are this alike on average: two such
+#: sets share more than one of their children, so further splits would multiply the group instead of parting it.
+DENSE, DRAWN = 0.35, 64
 #: Groups of more sets are intersected by a matrix product, so many shingles at a time.
 MANY, COLUMNS = 24, 1024
 MINIMA, LIKELY = 128, 0.6
