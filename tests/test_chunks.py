@@ -185,7 +185,7 @@ def test_empty_input(small):
 
 
 def test_chunks_follow_the_order(small):
-    packed = pack_chunks(small, SPEC, 300)
+    packed = pack_chunks(small, SPEC, 2_000)
     assert order_violations(packed, ["i1", "d1"]).count() == 0
     wrong = packed.withColumn("i1", -F.col("i1"))
     assert order_violations(wrong, ["i1"]).count() > 0
