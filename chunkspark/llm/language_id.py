@@ -4,8 +4,8 @@ A text is lower-cased, what is not a letter becomes a blank, and its byte pairs
 triples are counted in ``FEATURES`` hashed cells. Counts are damped (1 + log), weighted
 by inverse document frequency over all training documents, and normalised. Each
 language has ``CENTROIDS`` centroids, found by spherical k-means over about
-``SAMPLE`` of its training documents (a documented bound; the document frequencies
-cover all of them). A text gets the language of the centroid with the largest cosine,
+``SAMPLE`` of its distinct training texts (a documented bound; the document frequencies
+cover all documents). A text gets the language of the centroid with the largest cosine,
 which is its score, cut to 0..1. It is rejected when that cosine is below ``REJECT``
 times what the centroid's own sample reached at its lowest thousandth: too far from
 every language to be text in one of them.
@@ -124,16 +124,19 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     seen = np.zeros(FEATURES)
     seen[list(told)] = list(told.values())
     idf = (np.log((1 + total) / (1 + seen)) + 1).astype(np.float32)
-    # About SAMPLE rows a language by a hash of the text, then SAMPLE at most.
-    sizes = {r["_lang"]: r["n"] for r in rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # About SAMPLE distinct texts a language by a hash of the text, then SAMPLE at most: copies count once, however many.
+    hashed = rows.withColumn("_order", F.xxhash64("_text"))
+    sizes = {r["_lang"]: r["n"] for r in hashed.select("_lang", "_order").distinct().groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for name, size in sizes.items():
         share = F.when(F.col("_lang") == name, F.lit(min(1.0, 1.5 * SAMPLE / size))).otherwise(share)
-    drawn = rows.withColumn("_order", F.xxhash64("_text")).filter(F.pmod("_order", F.lit(1 << 30)) < share * (1 << 30))
+    drawn = hashed.filter(F.pmod("_order", F.lit(1 << 30)) < share * (1 << 30)).distinct()
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
     drawn = drawn.withColumn("_n", place).filter(F.col("_n") <= SAMPLE).drop("_n")
     parts = drawn.groupBy("_lang").applyInPandas(_fit(idf), "lang string, center binary, floor double").collect()
     parts.sort(key=lambda r: (r["lang"], bytes(r["center"])))
+    if not parts:
+        return {"langs": []}
     return {"idf": idf, "langs": [r["lang"] for r in parts], "floors": np.array([r["floor"] for r in parts]),
             "centers": np.stack([np.frombuffer(r["center"], dtype="<f4") for r in parts])}
 

@@ -157,3 +157,16 @@ def test_language_of_odd_texts(spark):
     assert found == {0: "xx", 1: "xx", 2: "und", 3: "und", 4: "und", 5: "und", 6: "xx"}
     assert language_id.accepted(docs, model).columns == docs.columns
     assert {r.lang_pred for r in language_id.predict(docs.drop("rejected"), language_id.fit(docs.filter("false"))).collect()} == {"und"}
+
+
+def test_language_of_copied_texts(spark):
+    # Of many texts, those whose hash is drawn last: copies of one of them were never in a sample by row counts.
+    texts = spark.createDataFrame([(f"palabra {'abcdefghijkl'[n % 12] * 3} {'mnopqrst'[n % 8] * 2} casa",) for n in range(24)], "text string")
+    last = texts.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30)).desc()).first().text
+    rows = [(n, last, "es") for n in range(2000)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(model["langs"]) == {"es"}
+    others = [(n, f"the {n} word {'abcdefgh'[n % 8] * 4} there", "en") for n in range(40)]
+    docs = spark.createDataFrame(rows + others, "doc_id long, text string, lang string")
+    found = language_id.predict(docs, language_id.fit(docs))
+    assert found.filter(F.col("lang") != F.col("lang_pred")).count() == 0 and found.filter("rejected").count() == 0
