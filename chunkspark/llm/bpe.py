@@ -11,7 +11,7 @@ following last tokens back from its end. The token that ends a word is looked fo
 among those with the end-of-word mark.
 
 What a task learns (chunks, pairs) is kept for later batches up to ``KEPT`` entries,
-so memory is bounded. Special tokens in a text are taken as such, as the file says.
+so memory is bounded by that and by the chunks of one batch. Special tokens in a text are taken as such, as the file says.
 
 Null texts are empty: no ids, empty text. White space only: the same. Each input
 row gives one row, repeated or null ids too; other columns are not read.
@@ -185,9 +185,8 @@ class Encoder:
             for c in chunks
         ]
 
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) + len(chunks) > KEPT:
-            self.chunks = {"": b""}
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks."""
         if len(self.known) > KEPT:
             self.known.clear()
         order = list(chunks)
@@ -195,8 +194,10 @@ class Encoder:
         known = self.known
         fresh = {w for ws in split for w in ws if isinstance(w, str)} - known.keys()
         known.update((w, array("I", ids).tobytes()) for w, ids in self.words.encode(list(fresh)).items())
-        for chunk, words in zip(order, split):
-            self.chunks[chunk] = b"".join([known[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in words])
+        return {
+            chunk: b"".join([known[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in words])
+            for chunk, words in zip(order, split)
+        }
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -204,10 +205,13 @@ class Encoder:
         every = set().union(*split)
         fresh = every - self.chunks.keys()
         if fresh:
-            self.learn(fresh)
-            missing = every - self.chunks.keys()
-            if missing:  # the table was emptied
-                self.learn(missing)
+            learned = self.learn(fresh)
+            if len(self.chunks) + len(learned) > KEPT:
+                # This group is read from its own chunks; the table for later ones starts anew, with those if they fit.
+                learned.update((c, self.chunks[c]) for c in every - fresh)
+                self.chunks = {"": b""} | (learned if len(learned) < KEPT else {})
+                return [b"".join(map(learned.__getitem__, chunks)) for chunks in split]
+            self.chunks.update(learned)
         return [b"".join(map(self.chunks.__getitem__, chunks)) for chunks in split]
 
 

@@ -53,6 +53,17 @@ def test_trie_keeps_memory_bounded(monkeypatch):
         assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_above_the_bound_after_shared_chunks(monkeypatch):
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    monkeypatch.setattr(bpe, "KEPT", 8)
+    coder, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    large = " ".join(f"id{n}x{n * n}" for n in range(12))
+    for texts in (["id0x0 id1x1"], [large], [large + " more", "id3x9"], ["", "id0x0 last"], [large]):
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(i, "<u4").tolist() for i in coder.encode(texts)] == want
+        assert len(coder.chunks) <= 8
+
+
 @pytest.mark.parametrize("size", [7, 2048])
 def test_packing_is_gapless_and_whole(spark, texts, size):
     path = packing.vocabulary_path("byte_bpe_50k.json")
