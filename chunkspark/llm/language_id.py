@@ -6,9 +6,15 @@ by inverse document frequency over all training documents, and normalised. Each
 language has ``CENTROIDS`` centroids, found by spherical k-means over about
 ``SAMPLE`` of its distinct training texts (a documented bound; the document frequencies
 cover all documents). A text gets the language of the centroid with the largest cosine,
-which is its score, cut to 0..1. It is rejected when that cosine is below ``REJECT``
-times what the centroid's own sample reached at its lowest thousandth: too far from
-every language to be text in one of them.
+which is its score, cut to 0..1. It is rejected when that cosine is below the floor of
+that language for as many letters: too far from every language to be text in one of them.
+
+Floors are measured on texts held back: a language's sample is halved, either half is
+compared with centroids of the other. Of each text a window of 1, 2, 4, ... letters is
+taken; the floor of a class (texts of that many letters, and fewer than twice as many) is
+the ``QUANTILE`` of its windows. Where a class has fewer than ``ENOUGH`` texts, the last shorter
+class that had them stands for it. A language that never has them takes half the lowest cosine,
+with fewer than ``FEW`` texts ``REJECT`` times the lowest of its own sample.
 
 Null texts and texts without a letter are ``und`` with score 0, and rejected. If there is
 nothing to learn from, all are. Whole texts are read, in slices of bounded size; a very
@@ -34,20 +40,26 @@ SAMPLE = 600
 CENTROIDS = 3
 ROUNDS = 8
 REJECT = 0.2
+QUANTILE, ENOUGH, FEW = 0.01, 300, 20
+#: Floors by the number of binary digits of a text's letters; longer texts are in the last class.
+CLASSES = 24
 #: Documents and bytes that are counted at once.
 ROWS, PART_BYTES = 128, 1 << 20
 UND = "und"
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def counts(texts: list[str]) -> np.ndarray:
-    """Damped feature counts, one row per text."""
+def counts(texts: list[str], letters: list[int] | None = None) -> np.ndarray:
+    """Damped feature counts, one row per text; ``letters`` takes up how many letters each has."""
     out = np.zeros(len(texts) * FEATURES, dtype=np.float32)
     start = 0
     while start < len(texts):
         stop, held, parts = start, 0, []
         while stop < len(texts) and (not parts or held + len(texts[stop]) <= PART_BYTES):
-            parts.append((" " + NOT_LETTERS.sub(" ", texts[stop].lower()) + " ").encode("utf-8", "replace"))
+            plain = NOT_LETTERS.sub(" ", texts[stop].lower())
+            if letters is not None:
+                letters.append(len(plain) - plain.count(" "))
+            parts.append((" " + plain + " ").encode("utf-8", "replace"))
             held += len(parts[-1])
             stop += 1
         data = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint32)
@@ -69,8 +81,8 @@ def counts(texts: list[str]) -> np.ndarray:
     return out.reshape(len(texts), FEATURES)
 
 
-def weighted(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    rows = counts(texts) * idf
+def weighted(texts: list[str], idf: np.ndarray, letters: list[int] | None = None) -> np.ndarray:
+    rows = counts(texts, letters) * idf
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return rows / np.maximum(norms, 1e-12)
 
@@ -87,27 +99,63 @@ def _frequencies(batches):
     yield pa.record_batch({"feature": pa.array([-1, *seen], pa.int32()), "n": pa.array([rows, *total[seen]], pa.int64())})
 
 
+def _centroids(rows: np.ndarray) -> np.ndarray:
+    # Far apart starts: each next centroid begins at the text least like those before.
+    centers = [rows.mean(axis=0)]
+    while len(centers) < min(CENTROIDS, len(rows)):
+        near = np.max(rows @ np.stack([c / max(np.linalg.norm(c), 1e-12) for c in centers]).T, axis=1)
+        centers.append(rows[int(np.argmin(near))])
+    centers = np.stack(centers)
+    for _ in range(ROUNDS):
+        centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
+        owner = np.argmax(rows @ centers.T, axis=1)
+        for c in range(len(centers)):
+            if (owner == c).any():
+                centers[c] = rows[owner == c].mean(axis=0)
+    return centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
+
+
+def _windows(texts: list[str], size: int) -> tuple[list[int], list[str]]:
+    """Of each text that has as many letters, one window of ``size`` letters, and which text it is of."""
+    found, cut = [], []
+    for i, text in enumerate(texts):
+        plain = NOT_LETTERS.sub(" ", text.lower())
+        at = np.flatnonzero(np.frombuffer(plain.encode("utf-32-le", "replace"), dtype="<u4") != 32)
+        if len(at) >= size:
+            first = (len(at) - size) * (i // 2 % 4) // 3
+            while first and at[first] == at[first - 1] + 1:  # back to the start of the word
+                first -= 1
+            found.append(i)
+            cut.append(plain[at[first]: at[first + size - 1] + 1])
+    return found, cut
+
+
+def _floors(texts: list[str], rows: np.ndarray, centers: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Lowest cosine that is accepted, by class of letters."""
+    held = len(texts) >= FEW
+    halves = [_centroids(rows[1::2]), _centroids(rows[::2])] if held else [centers, centers]
+    lowest = np.zeros((2, CLASSES))
+    last = np.zeros(2)
+    for k in range(CLASSES):
+        found, cut = _windows(texts, 1 << k)
+        if len(found) >= (FEW if held else 1):
+            near = np.concatenate([weighted(cut[at: at + ROWS], idf) for at in range(0, len(cut), ROWS)])
+            reached = np.where(np.array(found) % 2 == 0, np.max(near @ halves[0].T, axis=1), np.max(near @ halves[1].T, axis=1))
+            last[1] = reached.min() * (0.5 if held else REJECT)
+            if len(found) >= ENOUGH:
+                last[0] = np.quantile(reached, QUANTILE)
+        lowest[:, k] = last
+    return lowest[0] if last[0] else lowest[1]
+
+
 def _fit(idf: np.ndarray):
-    """Centroids of one language, whose sample is bounded."""
+    """Centroids and floors of one language, whose sample is bounded."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        texts = group.sort_values("_order")["_text"].tolist()
+        texts = group.sort_values(["_order", "_text"])["_text"].tolist()
         rows = np.concatenate([weighted(texts[at: at + ROWS], idf) for at in range(0, len(texts), ROWS)])
-        # Far apart starts: each next centroid begins at the text least like those before.
-        centers = [rows.mean(axis=0)]
-        while len(centers) < min(CENTROIDS, len(rows)):
-            near = np.max(rows @ np.stack([c / max(np.linalg.norm(c), 1e-12) for c in centers]).T, axis=1)
-            centers.append(rows[int(np.argmin(near))])
-        centers = np.stack(centers)
-        for _ in range(ROUNDS):
-            centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
-            owner = np.argmax(rows @ centers.T, axis=1)
-            for c in range(len(centers)):
-                if (owner == c).any():
-                    centers[c] = rows[owner == c].mean(axis=0)
-        centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
-        reached = np.max(rows @ centers.T, axis=1)
-        floor = float(np.quantile(reached, 0.001)) * REJECT
-        return pd.DataFrame({"lang": group["_lang"].iloc[0], "center": [c.astype("<f4").tobytes() for c in centers], "floor": floor})
+        centers = _centroids(rows)
+        floors = _floors(texts, rows, centers, idf).astype("<f8").tobytes()
+        return pd.DataFrame({"lang": group["_lang"].iloc[0], "center": [c.astype("<f4").tobytes() for c in centers], "floors": floors})
 
     return run
 
@@ -133,11 +181,11 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang") -> dict:
     drawn = hashed.filter(F.pmod("_order", F.lit(1 << 30)) < share * (1 << 30)).distinct()
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
     drawn = drawn.withColumn("_n", place).filter(F.col("_n") <= SAMPLE).drop("_n")
-    parts = drawn.groupBy("_lang").applyInPandas(_fit(idf), "lang string, center binary, floor double").collect()
+    parts = drawn.groupBy("_lang").applyInPandas(_fit(idf), "lang string, center binary, floors binary").collect()
     parts.sort(key=lambda r: (r["lang"], bytes(r["center"])))
     if not parts:
         return {"langs": []}
-    return {"idf": idf, "langs": [r["lang"] for r in parts], "floors": np.array([r["floor"] for r in parts]),
+    return {"idf": idf, "langs": [r["lang"] for r in parts], "floors": np.stack([np.frombuffer(r["floors"], dtype="<f8") for r in parts]),
             "centers": np.stack([np.frombuffer(r["center"], dtype="<f4") for r in parts])}
 
 
@@ -154,11 +202,12 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
             langs, scores, rejected = [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
             for at in range(0, len(kept), ROWS):
                 here = kept[at: at + ROWS]
-                near = weighted([texts[i] for i in here], model["idf"]) @ model["centers"].T
+                letters: list[int] = []
+                near = weighted([texts[i] for i in here], model["idf"], letters) @ model["centers"].T
                 best = np.argmax(near, axis=1)
                 top = near[np.arange(len(here)), best]
                 scores[here] = np.clip(top, 0, 1)
-                rejected[here] = top < model["floors"][best]
+                rejected[here] = top < model["floors"][best, [min(max(n.bit_length() - 1, 0), CLASSES - 1) for n in letters]]
                 for i, c in zip(here, best):
                     langs[i] = model["langs"][c]
             yield pa.record_batch([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected)],

@@ -1,6 +1,7 @@
 """Tokenising, packing, chat format, URL filter and language ID on small inputs."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -181,3 +182,33 @@ def test_language_of_copied_texts(spark):
     docs = spark.createDataFrame(rows + others, "doc_id long, text string, lang string")
     found = language_id.predict(docs, language_id.fit(docs))
     assert found.filter(F.col("lang") != F.col("lang_pred")).count() == 0 and found.filter("rejected").count() == 0
+
+
+#: Texts in languages that no document is in, and letters at random.
+UNLEARNED = [
+    "la vita \u00e8 bella quando il sole splende sopra le montagne e i bambini giocano nel giardino della vecchia casa mentre la nonna prepara il pranzo per tutta la famiglia che arriva oggi",
+    "wszyscy ludzie rodz\u0105 si\u0119 wolni i r\u00f3wni pod wzgl\u0119dem swej godno\u015bci i swych praw s\u0105 oni obdarzeni rozumem i sumieniem i powinni post\u0119powa\u0107 wobec innych w duchu braterstwa",
+    "kaikki ihmiset syntyv\u00e4t vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu j\u00e4rki ja omatunto ja heid\u00e4n on toimittava toisiaan kohtaan veljeyden hengess\u00e4",
+    "watu wote wamezaliwa huru hadhi na haki zao ni sawa wote wamejaliwa akili na dhamiri hivyo yapasa watendeane kindugu kila mtu anastahili kuwa na haki zote na uhuru wote ambao umeelezwa",
+]
+
+
+def unlearned(per_kind=50):
+    rng = random.Random(5)
+    for text in UNLEARNED:
+        for _ in range(per_kind):
+            yield text[:2], " ".join(rng.choice(text.split()) for _ in range(rng.randint(60, 400)))
+    for _ in range(per_kind):
+        yield "letters", " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(60, 400)))
+
+
+def test_unlearned_languages_are_rejected(spark):
+    docs = read_table(spark, "/root/testdata/sf0.1", "documents")
+    model = language_id.fit(docs.filter(~language_id.held_out()))
+    others = spark.createDataFrame([*unlearned()], "kind string, text string")
+    rejected = {r.kind: r.n for r in language_id.predict(others, model).groupBy("kind").agg(F.avg(F.col("rejected").cast("int")).alias("n")).collect()}
+    clean = docs.filter(language_id.held_out() & F.col("text").rlike(r"\p{L}"))
+    kept = language_id.predict(clean, model).groupBy("lang").agg(F.avg(F.col("rejected").cast("int")).alias("n"), F.count("*").alias("of")).collect()
+    print(rejected, kept)
+    assert min(rejected.values()) > 0.95 and len(rejected) == 5
+    assert max(r.n for r in kept) < 0.01
