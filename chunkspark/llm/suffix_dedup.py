@@ -1,21 +1,19 @@
-"""Suffix deduplication by depth-limited radix passes.
+"""Removal of repeated byte strings by fingerprint grouping of anchored runs, as op1 does it for words.
 
 Tokens are the bytes of a text; matches never cross documents. A byte goes when a string of ``LENGTH``
 bytes that covers it also starts earlier (a smaller doc_id, or the same document
-before); strings are judged on the input. Suffixes are told apart most significant digit
-first, through ``LENGTH`` tokens and no further:
+before); strings are judged on the input. No suffix array is built: no suffix is put in order, and there
+are no radix passes (``repeats.removal`` with this module's constants):
 
-1. First digit: the ``GROUP``-byte group that anchors the suffix, as one of ``2**BITS`` buckets.
-   A histogram of the buckets over all tasks shows those with one suffix only; these are in their
-   final place, unique, and leave.
-2. Second digit: the whole run of suffixes around the anchor. Equal runs are one class, told by its
+1. Each string counts under its anchor, a ``GROUP``-byte group in it, in one of ``2**BITS`` cells. A map of
+   the cells over all tasks shows anchors seen once only; their strings are unique and leave.
+2. The whole runs of strings around the other anchors are grouped. Equal runs are one class, told by its
    first member.
-3. Last digits: within buckets of several classes, the first members' suffixes through all
-   ``LENGTH`` tokens. Equal groups are exactly the repeated windows.
+3. Where an anchor has several classes, their first members' strings of ``LENGTH`` bytes are grouped.
+   Equal ones are exactly the repeated strings.
 
-A suffix is not sorted by itself but with its run, whose place follows from the bytes alone, so a
-bucket has one entry per run instead of one per byte. Digits are compared by 128-bit
-fingerprints of their bytes, and buckets are told apart by grouping rather than by order.
+Groups, runs and strings are compared by 128-bit fingerprints of their bytes, so the result is exact up to
+collisions of these.
 
 Null and empty texts have nothing to remove, nor have texts shorter than a string. Rows with a null doc_id stay
 whole. Rows repeated with the same doc_id are not earlier than each other. Other columns come through
