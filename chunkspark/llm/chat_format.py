@@ -21,7 +21,9 @@ The loss mask lists, per trained turn, where its text lies in the rendered turn.
 Null texts and roles are empty. Events of one turn with equal ``seq`` are applied in the
 order of kind, role and text; messages repeated with the same turn are all kept as turns of their
 own when they have the same ``seq`` as well (rows, not revisions), in that order. Events of
-a null conversation form one conversation. Null turns come first. No events give no rows. Other columns are not read.
+a null conversation form one conversation. Null turns come first, so a ``regenerate`` of a later turn leaves them, and a
+``regenerate`` that names no turn throws nothing away; events without ``seq`` come first as well. No events give no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from chunkspark.session import read_table
 
 BLOCK = 64
 TRAINED = ("assistant",)
+#: Place of events without ``seq``.
+FIRST = -(2**63)
 
 
 def escaped(text: Column) -> Column:
@@ -51,16 +55,17 @@ def unescaped(text: Column) -> Column:
 def reconstruct(events: DataFrame) -> DataFrame:
     """Final messages (conv_id, turn, ord, role, text) of a log of events."""
     log = events.select(
-        "conv_id", "seq", F.coalesce(F.col("kind"), F.lit("message")).alias("kind"), "turn",
+        "conv_id", F.coalesce(F.col("seq").cast("long"), F.lit(FIRST)).alias("seq"),
+        F.coalesce(F.col("kind"), F.lit("message")).alias("kind"), "turn",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
     # The lowest turn that a later event of the conversation throws away from.
     later = Window.partitionBy("conv_id").orderBy(F.col("seq").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    voided = F.min(F.when(F.col("kind") == "regenerate", F.struct("turn", "seq"))).over(later)
+    voided = F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later)
     live = (
         log.withColumn("_void", voided)
         .filter(F.col("kind") != "regenerate")
-        .filter(F.col("_void").isNull() | ~((F.col("_void.turn") <= F.col("turn")) & (F.col("_void.seq") >= F.col("seq"))))
+        .filter(~F.coalesce(F.col("_void") <= F.col("turn"), F.lit(False)))
     )
     # Whole texts replace what the turn held before: only what stands at or after the last of them counts.
     turn = Window.partitionBy("conv_id", "turn")

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -39,6 +40,11 @@ END_ID = 1
 ID_BYTES = 4
 #: Rows and bytes that one Arrow batch of token ids holds at most, about.
 BATCH_BYTES = 8 << 20
+#: White space characters in a row that are cut out before the split pattern meets them.
+LONG_RUN = 100_000
+# The characters that Unicode calls white space.
+WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_WHITE_RUN, _SOME_WHITE = re.compile(WHITE + "+"), re.compile(WHITE + "{64}")
 
 TOKENS = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 PIECES = pa.schema([
@@ -75,6 +81,25 @@ def byte_level_encoder(path: str):
     return tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
 
 
+def token_ids(encoder, text: str) -> np.ndarray:
+    """Ids of a whole text. The split pattern steps back through white space one character at a time, which its
+    engine does for about a million of them only, so longer runs are cut out as the pattern would cut them."""
+    def plain(part: str) -> np.ndarray:
+        return encoder.encode_to_numpy(part, allowed_special="all")
+
+    if len(text) < LONG_RUN or not _SOME_WHITE.search(text):
+        return plain(text)
+    special, parts, at = tuple(encoder.special_tokens_set), [], 0
+    for start, stop in (run.span() for run in _WHITE_RUN.finditer(text)):
+        if stop - start < LONG_RUN:
+            continue
+        # The last character goes with what follows, but for the end of the text and special tokens.
+        stop -= stop < len(text) and not text.startswith(special, stop)
+        parts += [plain(text[at:start]), np.array(encoder._encode_single_piece(text[start:stop]), dtype=np.uint32)]
+        at = stop
+    return np.concatenate([*parts, plain(text[at:])])
+
+
 def _tokenised(path: str, end_id: int):
     def run(batches):
         part, at = TaskContext.get().partitionId(), 0
@@ -82,7 +107,7 @@ def _tokenised(path: str, end_id: int):
             encode = byte_level_encoder(path)
             rows, held = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode.encode_to_numpy(text.as_py() or "", allowed_special="all").astype("<u4")
+                ids = token_ids(encode, text.as_py() or "").astype("<u4")
                 whole = ids.tobytes() + np.array([end_id], dtype="<u4").tobytes()
                 rows.append((part, at, doc_id, whole))
                 at += len(whole) // ID_BYTES

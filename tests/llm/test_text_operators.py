@@ -212,3 +212,24 @@ def test_unlearned_languages_are_rejected(spark):
     print(rejected, kept)
     assert min(rejected.values()) > 0.95 and len(rejected) == 5
     assert max(r.n for r in kept) < 0.01
+
+
+def test_long_white_space_is_encoded_as_the_library_does():
+    path = packing.vocabulary_path("byte_bpe_50k.json")
+    library, coder = Tokenizer.from_file(path), packing.byte_level_encoder(path)
+    for text in ("a" + " " * 2_000_000 + "b", "\n" * 2_000_000, " \u3000" * 60_000 + "<|endoftext|> x" + "\t" * 150_000 + "!",
+                 "x" + " " * 99_999 + "y", "x" + " " * 100_000, "\r\n" * 70_000 + "5 " * 40 + " " * 200_000 + "\n"):
+        assert packing.token_ids(coder, text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_events_without_turn_or_place_stay(spark):
+    log = [
+        (1, 0, "message", None, "user", "a"), (1, 1, "message", 1, "assistant", "b"), (1, 2, "regenerate", None, None, None),
+        (2, 0, "message", None, "user", "c"), (2, 1, "message", 0, "user", "d"), (2, 2, "message", 1, "assistant", "e"),
+        (2, 3, "regenerate", 1, None, None), (2, 4, "delta", 1, "assistant", "f"),
+        (3, None, "message", 0, "user", "g"), (3, None, "delta", 0, None, "h"), (3, None, "regenerate", 5, None, None),
+    ]
+    events = spark.createDataFrame(log, "conv_id long, seq long, kind string, turn long, role string, text string")
+    found = chat_format.reconstruct(events).collect()
+    assert sorted((r.conv_id, -1 if r.turn is None else r.turn, r.role, r.text) for r in found) == [
+        (1, -1, "user", "a"), (1, 1, "assistant", "b"), (2, -1, "user", "c"), (2, 0, "user", "d"), (2, 1, "assistant", "f"), (3, 0, "user", "gh")]
