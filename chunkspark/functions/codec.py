@@ -1,8 +1,8 @@
 """Exchange values: 1960-based dates and times, NULL markers, fixed-width slots.
 
 All of it is built-in expressions, so whole tables are converted inside code
-generation. Datetimes are computed on TIMESTAMP_NTZ parts and do not depend on
-the session time zone.
+generation. A TIMESTAMP_NTZ counts from the start of 1960 on its own clock, a TIMESTAMP, which is an instant, from the
+start of 1960 in UTC; neither depends on the session time zone.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from chunkspark.functions.types import (
 EPOCH = "1960-01-01"
 INT64_NULL = -(2**63)
 INT32_NULL = -(2**31)
+MICROS_TO_1970 = 315_619_200_000_000
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_DAY = 86_400_000_000
 TIME_PATTERN = r"^(-?)(\d+):(\d+):(\d+)(?:\.(\d{1,6}))?$"
@@ -54,6 +55,19 @@ def micros_to_datetime(column: Column) -> Column:
     return start + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds)
 
 
+def stamp_to_micros(field: T.StructField) -> Column:
+    """Microseconds from the start of 1960 to a DATETIME column of either kind."""
+    column = quoted(field.name)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.unix_micros(column) + _long(MICROS_TO_1970)
+    return datetime_to_micros(column)
+
+
+def micros_to_stamp(column: Column, kind: T.DataType) -> Column:
+    """Inverse of stamp_to_micros."""
+    return F.timestamp_micros(column - _long(MICROS_TO_1970)) if isinstance(kind, T.TimestampType) else micros_to_datetime(column)
+
+
 def micros_to_time_text(column: Column) -> Column:
     """Signed microseconds as [-]h:m:s.ffffff; hours may pass 24, zero has no sign."""
     size = F.abs(column)
@@ -95,12 +109,14 @@ def pad_fixed(column: Column, width: int, text: bool) -> Column:
     return F.when(F.octet_length(raw) > width, too_long).otherwise(padded)
 
 
-def unpad_fixed(column: Column, width: int, text: bool) -> Column:
-    """Value of a slot; only spaces or only zero bytes means NULL."""
+def unpad_fixed(column: Column, width: int, text: bool, blank_is_null: bool = True) -> Column:
+    """Value of a slot; only spaces or only zero bytes means NULL, unless blank values are to be kept: then text of
+    spaces is empty text, and zero bytes are what they are."""
     raw = F.substring(column, 1, width)
-    blank = raw.isin(F.lit(b" " * width), F.lit(bytes(width)))
     value = F.rtrim(raw.cast("string")) if text else raw
-    return F.when(~blank, value)
+    if not blank_is_null:
+        return value
+    return F.when(~raw.isin(F.lit(b" " * width), F.lit(bytes(width))), value)
 
 
 # ---- whole tables ------------------------------------------------------------
@@ -121,7 +137,7 @@ def encoded_value(field: T.StructField) -> Column:
     if kind == DATE:
         return F.coalesce(date_to_days(column), F.lit(INT32_NULL))
     if kind == DATETIME:
-        return F.coalesce(datetime_to_micros(column.cast("timestamp_ntz")), _long(INT64_NULL))
+        return F.coalesce(stamp_to_micros(field), _long(INT64_NULL))
     if kind == FIXED:
         width = value_width(field)
         return F.coalesce(pad_fixed(column, width, _is_text(field)), F.lit(bytes(aligned(width))))
@@ -140,9 +156,9 @@ def decoded_value(field: T.StructField, column: Column, zero_length_is_null: boo
     elif kind == DATE:
         value = days_to_date(F.nullif(column, F.lit(INT32_NULL)))
     elif kind == DATETIME:
-        value = micros_to_datetime(F.nullif(column, _long(INT64_NULL)))
+        value = micros_to_stamp(F.nullif(column, _long(INT64_NULL)), field.dataType)
     elif kind == FIXED:
-        value = unpad_fixed(column, value_width(field), _is_text(field))
+        value = unpad_fixed(column, value_width(field), _is_text(field), zero_length_is_null)
     else:
         value = F.when(F.octet_length(column) > 0, column) if zero_length_is_null else column
     return value.cast(field.dataType)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from chunkspark.functions.codec import datetime_to_micros
+from chunkspark.functions.codec import stamp_to_micros
 from chunkspark.functions.types import quoted
 
 # Fixed values of the key text: column separator and NULL mark.
@@ -25,7 +25,7 @@ def key_text(field: T.StructField) -> Column:
         short = number.try_cast("decimal(38,6)")
         text = F.when(short.cast("double") == number, short.cast("string")).otherwise(number.cast("string"))
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        text = datetime_to_micros(column.cast("timestamp_ntz")).cast("string")
+        text = stamp_to_micros(field).cast("string")
     elif isinstance(kind, T.BinaryType):
         text = F.hex(column)
     else:

@@ -76,6 +76,17 @@ def spec_sort_key(df: DataFrame, spec: PartitionSpec) -> list[str]:
     return sort_key(spec.order, spec.key, [c for c in df.columns if c not in (PARTITION_ID, ROW_BYTES)])
 
 
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _has_map(kind.elementType)
+
+
+def sort_columns(df: DataFrame, names) -> list:
+    """Columns to sort by; maps have no order of their own, so they go by their text."""
+    return [F.to_json(F.struct(quoted(n))) if _has_map(df.schema[n].dataType) else quoted(n) for n in names]
+
+
 def add_partition_id(df: DataFrame, spec: PartitionSpec) -> DataFrame:
     """Number rows by the hash of ``by``, else of the key, else of the whole row."""
     names = spec.by or ((spec.key,) if spec.key else tuple(df.columns))
@@ -192,7 +203,7 @@ def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
 def _place_whole(df: DataFrame, spec: PartitionSpec) -> Placed:
     # Task n holds partition n and nothing else, so the number is no sort column.
     moved = df.repartitionById(spec.partitions, quoted(PARTITION_ID).cast("int"))
-    order = [quoted(c) for c in spec_sort_key(df, spec)]
+    order = sort_columns(df, spec_sort_key(df, spec))
     return Placed(moved.sortWithinPartitions(*order), spec.partitions, False)
 
 
@@ -200,7 +211,8 @@ def _place_split(rows: DataFrame, spec: PartitionSpec, size: int) -> Placed:
     """Ranges over frozen rows. Their numbers order equal rows, so a range may end among these."""
     columns = [c for c in rows.columns if c != ROW_NO]
     tasks = -(-2 * size // spec.task_bytes)
-    keys = [quoted(c) for c in (PARTITION_ID, *spec_sort_key(rows.select(*[quoted(c) for c in columns]), spec), ROW_NO)]
+    order = spec_sort_key(rows.select(*[quoted(c) for c in columns]), spec)
+    keys = [quoted(PARTITION_ID), *sort_columns(rows, order), quoted(ROW_NO)]
     moved = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     return Placed(moved.select(*[quoted(c) for c in columns]), tasks, True)
 

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chunkspark.functions.types import quoted
 from chunkspark.operators.chunks import pack_chunks
 from chunkspark.operators.partition import (
-    PARTITION_ID, ROW_POS, PartitionSpec, accounted_bytes, add_partition_id, check_names, partitions_fit, place, spec_sort_key,
-    union_of,
+    PARTITION_ID, ROW_POS, PartitionSpec, accounted_bytes, add_partition_id, check_names, partitions_fit, place, sort_columns,
+    spec_sort_key, union_of,
 )
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.session import checkpointed
@@ -183,5 +183,5 @@ def read_in_place(
         if spark.conf.get("spark.sql.sources.bucketing.autoBucketedScan.enabled") != "false":
             raise RuntimeError("set spark.sql.sources.bucketing.autoBucketedScan.enabled to false")
         numbered = numbered.repartition(spec.partitions, *[quoted(c) for c in buckets])
-        return numbered.sortWithinPartitions(PARTITION_ID, *[quoted(c) for c in order])
+        return numbered.sortWithinPartitions(PARTITION_ID, *sort_columns(numbered, order))
     return union_of([part.df for part in place(numbered, spec)])

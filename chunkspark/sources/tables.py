@@ -17,6 +17,7 @@ from chunkspark.functions.types import quoted
 from chunkspark.operators.partition import PARTITION_ID, ROW_NO, ROW_POS, PartitionSpec, frozen_rows
 from chunkspark.operators.positions import with_row_pos
 from chunkspark.sources.positional import map_positional
+from chunkspark.session import shared_dir
 from chunkspark.sources.results import quote_name, remove_folder
 
 
@@ -82,54 +83,81 @@ def update_where(spark: SparkSession, table: str, values: dict, predicate) -> in
 def _change(spark: SparkSession, table: str, predicate, change, changed: tuple[str, ...]) -> int:
     """Apply ``change`` to a table. File tables have no UPDATE or DELETE, so content is written anew: of a
     table with partition columns only the partitions that hold a hit, of any other all of it."""
+    finish_change(spark, table)
     rows = spark.table(quote_name(table))
     layout = _layout(spark, table)
     folders = layout["partitions"]
-    if not folders or set(folders) & set(changed):
+    if not folders:
         hits = rows.filter(_holds(predicate)).count()
-        if hits and folders:
-            # Rows move between partitions: the whole new content is set down first, then put in the same table,
-            # whose catalog entries for partitions a renamed table would not have.
-            coming = frozen_rows(change(rows)).drop(ROW_NO)
-            coming.write.mode("overwrite").insertInto(quote_name(table))
-        elif hits:
+        if hits:
             _replace(spark, table, change(rows), layout)
         return hits
     # One row per partition of the table that holds a hit.
     held = rows.groupBy(*[quoted(c) for c in folders]).agg(F.count_if(_holds(predicate)).alias("_hits")).filter("_hits > 0")
-    touched = held.collect()
-    if touched:
-        same = lambda r: reduce(Column.__and__, [quoted(c).eqNullSafe(F.lit(r[c]).cast(rows.schema[c].dataType)) for c in folders])
-        some = rows.filter(reduce(Column.__or__, [same(r) for r in touched])) if len(touched) <= LISTED else (
-            rows.join(F.broadcast(held.select(*folders)), folders, "left_semi") if len(touched) <= BROADCAST else rows.join(held, folders, "left_semi"))
-        coming = change(some.select(*[quoted(c) for c in rows.columns]))
-        kept = {tuple(r) for r in coming.select(*[quoted(c) for c in folders]).distinct().collect()}
-        with _dynamic_overwrite(spark):
-            coming.write.mode("overwrite").insertInto(quote_name(table))
-        # A partition that lost all its rows is not among those written.
-        for r in touched:
-            if tuple(r[c] for c in folders) not in kept:
-                spec = ", ".join(f"{quote_name(c)} = {_literal(r[c])}" for c in folders)
-                spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({spec})")
-    return sum(r["_hits"] for r in touched)
+    held = frozen_rows(held).drop(ROW_NO)
+    hits = held.agg(F.sum("_hits")).first()[0] or 0
+    if hits and set(folders) & set(changed):
+        # Rows move between partitions, so all of them are written anew.
+        _write_over(spark, table, change(rows), "static", None)
+    elif hits:
+        touched = held.select(*[quoted(c) for c in folders])
+        some = rows.join(touched, reduce(Column.__and__, [rows[c].eqNullSafe(touched[c]) for c in folders]), "left_semi")
+        _write_over(spark, table, change(some), "dynamic", touched)
+    return hits
+
+
+# Table property that names the change under way: its mode and the folder of its rows.
+UNDER_WAY = "chunkspark.change"
+
+
+def _write_over(spark: SparkSession, table: str, coming: DataFrame, mode: str, touched: DataFrame | None) -> None:
+    """Put ``coming`` in the place of partitions of a table: all of them (static) or the ``touched`` ones. All new rows are
+    written aside and noted in the table's properties before any old one goes, so ``finish_change`` can do it again."""
+    folder = f"{shared_dir(spark)}/changes/{uuid.uuid4().hex}"
+    coming.write.parquet(f"{folder}/rows")
+    if touched is not None:
+        touched.write.parquet(f"{folder}/touched")
+    spark.sql(f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES ('{UNDER_WAY}' = '{mode} {folder}')")
+    finish_change(spark, table)
+
+
+def finish_change(spark: SparkSession, table: str) -> bool:
+    """Finish the change of a partitioned table that a lost session left under way; tells whether there was one. Every later change
+    does this first. Doing it twice does no harm, as it writes the same rows to the same partitions."""
+    told = spark.sql(f"SHOW TBLPROPERTIES {quote_name(table)}").collect()
+    mode, _, folder = next((r["value"] for r in told if r["key"] == UNDER_WAY), "").partition(" ")
+    if not folder:
+        return False
+    schema = spark.table(quote_name(table)).schema
+    coming = spark.read.schema(schema).parquet(f"{folder}/rows")
+    with _overwriting(spark, mode):
+        coming.write.mode("overwrite").insertInto(quote_name(table))
+    if mode == "dynamic":
+        # Partitions that lost all their rows are not among those written.
+        folders = _layout(spark, table)["partitions"]
+        touched = spark.read.schema(T.StructType([schema[c] for c in folders])).parquet(f"{folder}/touched")
+        kept = coming.select(*[quoted(c) for c in folders])
+        emptied = touched.join(kept, reduce(Column.__and__, [touched[c].eqNullSafe(kept[c]) for c in folders]), "left_anti")
+        for r in emptied.toLocalIterator():
+            spec = ", ".join(f"{quote_name(c)} = {_literal(r[c])}" for c in folders)
+            spark.sql(f"ALTER TABLE {quote_name(table)} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {quote_name(table)} UNSET TBLPROPERTIES ('{UNDER_WAY}')")
+    remove_folder(spark, folder)
+    return True
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """Overwriting a table replaces the partitions that are written and no others."""
+def _overwriting(spark: SparkSession, mode: str):
+    """``dynamic``: overwriting a table replaces the partitions that are written and no others; ``static``: all of them."""
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
+    spark.conf.set(name, mode)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
-# Partitions with hits that a filter lists, and that may be broadcast.
-LISTED, BROADCAST = 200, 100_000
-
-
 def _literal(value) -> str:
     return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -142,35 +170,35 @@ def _layout(spark: SparkSession, table: str) -> dict:
     return {
         "partitions": [c.name for c in columns if c.isPartition],
         "buckets": int(told.get("Num Buckets", 0)), "bucketed": listed("Bucket Columns"), "sorted": listed("Sort Columns"),
-        "path": told.get("Location") if told.get("Type") == "EXTERNAL" else None,
+        "path": told["Location"], "managed": told.get("Type") == "MANAGED",
         "own": OWNED in told.get("Table Properties", ""),
     }
 
 
+# Table property of tables whose folder a change made.
 OWNED = "chunkspark.rewritten"
 
 
 def _replace(spark: SparkSession, table: str, rows: DataFrame, layout: dict) -> None:
-    """Put ``rows`` in the place of ``table``, which has no partition columns, in the same buckets. They are written in full under a name and a
-    folder that nobody has; then the names change; then the old content goes."""
+    """Put ``rows`` in the place of ``table``, which has no partition columns, in the same buckets. They are written in full under a
+    name and a folder that nobody has. One step of the catalog then points the table to that folder, so at any time it has
+    its old rows or its new ones; a session lost before leaves a table ``<table>__<mark>``, one lost after an old folder."""
     mark = uuid.uuid4().hex[:12]
-    coming, past = _beside(table, mark), _beside(table, f"{mark}_old")
-    writer = rows.write.format("parquet").mode("errorifexists")
+    coming, path = _beside(table, mark), layout["path"].rstrip("/")
+    folder = f"{path.rpartition('__')[0] if layout['own'] else path}__{mark}"
+    writer = rows.write.format("parquet").mode("errorifexists").option("path", folder)
     if layout["buckets"]:
         writer = writer.bucketBy(layout["buckets"], *layout["bucketed"])
         writer = writer.sortBy(*layout["sorted"]) if layout["sorted"] else writer
-    if layout["path"]:
-        base = layout["path"].rstrip("/")
-        base = base.rpartition("__")[0] if layout["own"] else base
-        writer = writer.option("path", f"{base}__{mark}")
     writer.saveAsTable(quote_name(coming))
-    if layout["path"]:
-        spark.sql(f"ALTER TABLE {quote_name(coming)} SET TBLPROPERTIES ('{OWNED}' = 'true')")
-    spark.sql(f"ALTER TABLE {quote_name(table)} RENAME TO {quote_name(past)}")
-    spark.sql(f"ALTER TABLE {quote_name(coming)} RENAME TO {quote_name(table)}")
-    spark.sql(f"DROP TABLE {quote_name(past)}")
-    if layout["path"] and layout["own"]:
-        remove_folder(spark, layout["path"])
+    spark.sql(f"ALTER TABLE {quote_name(table)} SET LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {quote_name(table)} SET TBLPROPERTIES ('{OWNED}' = 'true')")
+    spark.catalog.refreshTable(quote_name(table))
+    # The name goes, its folder is the table's now.
+    spark.sql(f"DROP TABLE {quote_name(coming)}")
+    # A folder that somebody named is not deleted; one that the catalog or an earlier change made is.
+    if layout["managed"] or layout["own"]:
+        remove_folder(spark, path)
 
 
 def _beside(table: str, mark: str) -> str:
