@@ -18,8 +18,10 @@ from chunkspark.sources.results import (
 )
 from chunkspark.sources.schema import column_sizes, describe_schema, list_tables, table_row_counts
 from chunkspark.sources.tables import (
-    create_table, create_table_as, delete_where, drop_table, insert_rows, load_mapped, load_table,
+    create_table, create_table_as, delete_where, drop_table, finish_change, insert_rows, load_mapped, load_table,
     update_where, with_row_key,
 )
 from chunkspark.sources.tsv import export_tsv, import_tsv
-from chunkspark.streaming.streams import read_delivered, read_stream, stream_chunks, stream_load
+from chunkspark.streaming.streams import (
+    Ledger, create_stream_table, read_delivered, read_ledger, read_stream, stream_chunks, stream_load, stream_load_table,
+)

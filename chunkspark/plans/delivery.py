@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from chunkspark.functions.codec import encode_table
 from chunkspark.operators.partition import PartitionSpec
 from chunkspark.plans.inputs import new_name, scratch
 from chunkspark.plans.registry import query
 from chunkspark.plans.sql_text import key_text, micros, packed, partition_number, placed
 from chunkspark.session import read_table
-from chunkspark.streaming.streams import read_delivered, read_stream, stream_chunks, stream_load
+from chunkspark.sources.positional import export_positional
+from chunkspark.streaming.streams import (
+    create_stream_table, read_delivered, read_ledger, read_stream, stream_chunks, stream_load, stream_load_table,
+)
 
 EVENTS_SPEC = PartitionSpec(16, ("user_id",), ("ts",), "event_id")
 EVENTS_CHUNK = 4096
@@ -51,3 +56,22 @@ def load(spark, sf_dir):
     sink, progress = _places(spark, "events_loaded")
     stream_load(_events(spark, sf_dir), sink, progress, encode_table).awaitTermination()
     return read_delivered(spark, sink).drop("batch_id")
+
+
+@query(
+    "stream_load_table",
+    """SELECT event_id, ts, user_id, event_type, value, CASE WHEN user_id % 3 = 0 THEN NULL ELSE props END AS props,
+        'streamed' AS note, CAST(event_id % 4 AS BIGINT) AS batch_id, (SELECT count(*) FROM events) AS loaded FROM events""",
+)
+def load_table(spark, sf_dir):
+    """Positional records, one file a batch, mapped into a table that has one column more."""
+    events = read_table(spark, sf_dir, "events").withColumn("props", F.expr("if(user_id % 3 = 0, '', props)"))
+    records, progress = _places(spark, "event_records")
+    for part in range(4):
+        export_positional(events.filter(F.col("event_id") % 4 == part).coalesce(1), records, fmt="parquet", mode="append")
+    name = new_name("events_streamed")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    create_stream_table(spark, name, f"{columns}, note STRING DEFAULT 'streamed'", scratch(spark, name))
+    arriving = read_stream(spark, records, spark.read.parquet(records).schema, "*.parquet", files_per_batch=1)
+    stream_load_table(arriving, name, progress, schema=events.schema).awaitTermination()
+    return spark.table(name).withColumn("loaded", F.lit(read_ledger(spark, name).rows).cast("long"))

@@ -4,9 +4,10 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from chunkspark import binary_field, char_field, decode_table, encode_table, time_field, with_fields
+from chunkspark.functions.hashing import partition_number
 from chunkspark.functions.codec import (
     INT32_NULL, INT64_NULL, micros_to_time_text, time_text_to_micros,
 )
@@ -140,3 +141,29 @@ def test_no_python_in_the_plan(spark):
     rows = all_types(spark, GOLDEN)
     plan = decode_table(encode_table(rows), rows.schema)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "UTC"])
+def test_instants_do_not_depend_on_the_session_zone(spark, zone):
+    """05:30Z and 06:30Z read the same on New York's clocks on that day."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.sql("SELECT timestamp_seconds(1636263000 + 3600 * id) AS at FROM range(2)")
+        encoded = encode_table(rows)
+        assert sorted(r.at for r in encoded.collect()) == [1951882200000000, 1951885800000000]
+        assert decode_table(encoded, rows.schema).exceptAll(rows).count() == 0
+        numbers = {r.n for r in rows.select(partition_number([rows.schema["at"]], 1 << 30).alias("n")).collect()}
+        assert len(numbers) == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_blank_fixed_values_are_kept_on_request(spark):
+    fields = [char_field("t", 2, "latin1"), binary_field("b", 3)]
+    rows = spark.createDataFrame([("", b""), (" ", b"a"), (None, None), ("x", b"abc")], T.StructType(fields))
+    rows = with_fields(rows, *fields)
+    kept = [tuple(r) for r in decode_table(encode_table(rows), rows.schema, zero_length_is_null=False).collect()]
+    zeros = "\0" * 6
+    assert kept == [("", bytes(3)), ("", b"a\0\0"), (zeros, bytes(3)), ("x", b"abc")]
+    assert [tuple(r) for r in decode_table(encode_table(rows), rows.schema).collect()][0] == (None, None)

@@ -201,3 +201,11 @@ def test_small_doubles_are_told_apart(spark):
     assert used == 16
     same = spark.createDataFrame([(0.0,), (-0.0,), (0.5,), (0.50,)], "d double")
     assert add_partition_id(same, PartitionSpec(64, ("d",))).select("partition_id").distinct().count() == 2
+
+
+def test_columns_without_an_order(spark):
+    rows = spark.range(40).selectExpr("map('k', id % 3) AS m", "array(struct(map(id % 2, 'v') AS inner)) AS n", "id % 5 AS g")
+    for task_bytes in (1 << 30, 500):
+        placed = partition_result(rows, PartitionSpec(4, ("g",), ("g",), None, task_bytes))
+        assert placed.count() == 40 and placed.groupBy("g").agg(F.countDistinct("partition_id").alias("c")).filter("c > 1").count() == 0
+    assert partition_result(rows, PartitionSpec(4)).count() == 40

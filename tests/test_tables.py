@@ -3,10 +3,11 @@ import os
 import pytest
 
 from chunkspark import (
-    create_table, create_table_as, delete_where, drop_table, export_positional, import_positional, insert_rows,
+    create_table, create_table_as, delete_where, drop_table, export_positional, finish_change, import_positional, insert_rows,
     load_mapped, load_table, update_where, with_row_key,
 )
 from chunkspark.session import shared_dir
+from chunkspark.sources import tables
 from test_files import assert_same, load_rows
 
 
@@ -147,3 +148,66 @@ def test_row_keys(spark, small, task_bytes):
     assert [r.row_id for r in ordered] == list(range(1, 15))
     keys = [(r.i1 is not None, r.i1 or 0, r.d1 or 0.0) for r in ordered]
     assert keys == sorted(keys)
+
+
+@pytest.fixture(params=["static", "dynamic"])
+def overwriting(spark, request):
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield request.param
+    spark.conf.set(name, before)
+
+
+def test_rows_that_move_between_partitions(spark, table, tmp_path, overwriting):
+    spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "a int, p int").write.partitionBy("p").option("path", f"{tmp_path}/t").saveAsTable(table)
+    assert update_where(spark, table, {"p": "p + 1"}, "p = 1") == 2
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == [(1, 2), (2, 2), (3, 2)]
+    assert delete_where(spark, table, "a > 1") == 2
+    assert [tuple(r) for r in spark.table(table).collect()] == [(1, 2)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == overwriting
+
+
+@pytest.mark.parametrize("moving", [False, True])
+def test_lost_changes_of_partitions_are_finished(spark, table, tmp_path, monkeypatch, moving):
+    spark.range(9).selectExpr("id AS a", "id % 3 AS p").write.partitionBy("p").option("path", f"{tmp_path}/t").saveAsTable(table)
+
+    def lost(*_):
+        # What a session lost amid the overwriting leaves: some old partitions are gone, new ones not there.
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION (p = 1)")
+        raise RuntimeError("session lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_overwriting", lost)
+        with pytest.raises(RuntimeError, match="session lost"):
+            if moving:
+                update_where(spark, table, {"p": "0"}, "p = 1")
+            else:
+                delete_where(spark, table, "p = 1 OR a = 0")
+    assert finish_change(spark, table) and not finish_change(spark, table)
+    want = [(a, 0 if a % 3 == 1 else a % 3) for a in range(9)] if moving else [(a, a % 3) for a in range(1, 9) if a % 3 != 1]
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == want
+
+
+@pytest.mark.parametrize("step", ["SET LOCATION", "SET TBLPROPERTIES", "DROP TABLE"])
+def test_a_lost_swap_leaves_old_rows_or_new_ones(spark, table, tmp_path, step, monkeypatch):
+    create_table_as(spark, table, "SELECT id AS a FROM range(5)", f"{tmp_path}/t")
+
+    class Lost:
+        """The session, until it comes to ``step``."""
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text, **args):
+            if step in text and "chunkspark.change" not in text:
+                raise RuntimeError("session lost")
+            return spark.sql(text, **args)
+
+    with pytest.raises(RuntimeError, match="session lost"):
+        delete_where(Lost(), table, "a < 2")
+    spark.catalog.refreshTable(table)
+    left = sorted(r.a for r in spark.table(table).collect())
+    assert left == ([0, 1, 2, 3, 4] if step == "SET LOCATION" else [2, 3, 4])
+    assert delete_where(spark, table, "a = 4") == 1 and 4 not in [r.a for r in spark.table(table).collect()]
+    for name in [r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{table}__*'").collect()]:
+        drop_table(spark, name)
