@@ -126,6 +126,24 @@ def tsv_text(spark, sf_dir):
     return _through_tsv(spark, rows, "documents_tsv")
 
 
+_MARKS = """CASE {key} % 6 WHEN 0 THEN {n} WHEN 1 THEN {b} || {n} WHEN 2 THEN {q} || {n} || {t} WHEN 3 THEN NULL
+    WHEN 4 THEN text || {l} || {n} || {b} ELSE text || {l} || {q} || {t} || text END"""
+
+
+@query(
+    "tsv_round_trip_null_mark",
+    "SELECT doc_id, nullif(" + _MARKS.format(key="doc_id", n="'\\N'", b="'\\'", q="'\"'", t="chr(9)", l="chr(10)")
+    + ", '') AS text, lang, source, n_chars FROM documents",
+)
+def tsv_null_mark(spark, sf_dir):
+    """Texts that read like NULL, and texts with escapes, quotes, tabs and newlines, in one file that many tasks read."""
+    marks = _MARKS.format(key="doc_id", n=r"'\\N'", b=r"'\\'", q="'\"'", t="chr(9)", l="chr(10)").replace("\n", " ")
+    rows = read_table(spark, sf_dir, "documents").withColumn("text", F.expr(marks))
+    path = scratch(spark, new_name("marked_tsv"))
+    export_tsv(rows.coalesce(1), path)
+    return import_tsv(spark, path, rows.schema)
+
+
 @query("tsv_round_trip_pages", "SELECT page_id, url, nullif(html, '') AS html FROM pages")
 def tsv_pages(spark, sf_dir):
     return _through_tsv(spark, read_table(spark, sf_dir, "pages"), "pages_tsv")

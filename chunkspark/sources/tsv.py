@@ -5,24 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from chunkspark.functions.codec import (
-    micros_to_time_text, time_text_to_micros, unpad_fixed,
+    datetime_to_micros, micros_to_datetime, micros_to_stamp, micros_to_time_text, stamp_to_micros, time_text_to_micros, unpad_fixed,
 )
 from chunkspark.functions.types import (
     DATETIME, DOUBLE, FIXED, TIME, VARIABLE, check_supported, quoted, type_class, value_width,
 )
+from chunkspark.sources.tsv_records import read_values
 
 # Fixed values of the file format.
 TAB, NULL_MARK = "\t", "\\N"
-# One byte is one character of this encoding, so any bytes pass the CSV reader unchanged.
-BYTES_AS_TEXT = "ISO-8859-1"
 
 
 def _quoted_text(raw: Column) -> Column:
-    """Quoted and escaped value. A value that reads ``\\N`` is refused: the reader
-    tells it from NULL only by its quotes, and those are gone when it compares."""
+    """Quoted and escaped value; its quotes tell text that reads ``\\N`` from NULL."""
     text = F.replace(F.replace(raw.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    refused = F.raise_error(F.lit("text \\N cannot be told from NULL in a TSV file")).cast("string")
-    return F.when(raw.cast("string") == NULL_MARK, refused).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+    return F.concat(F.lit('"'), text, F.lit('"'))
 
 
 def _datetime_text(column: Column) -> Column:
@@ -50,50 +47,40 @@ def tsv_value(field: T.StructField) -> Column:
     elif kind == TIME:
         text = micros_to_time_text(column)
     elif kind == DATETIME:
-        text = _datetime_text(column.cast("timestamp_ntz"))
+        # An instant is written as UTC's clocks show it.
+        text = _datetime_text(micros_to_datetime(stamp_to_micros(field)) if isinstance(field.dataType, T.TimestampType) else column)
     else:
         text = column.cast("string")
     return F.coalesce(text, F.lit(NULL_MARK))
 
 
 def export_tsv(df: DataFrame, path: str, rows_per_file: int = 1_000_000, mode: str = "errorifexists") -> None:
-    """Write one line per row. Quoted newlines keep a file from being split on
-    reading, so files are kept to ``rows_per_file``."""
+    """Write one record per row, ``rows_per_file`` at most to a file."""
     check_supported(df.schema)
     line = F.concat_ws(TAB, *[tsv_value(f) for f in df.schema])
     df.select(line.alias("value")).write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
 
 
-def _file_type(field: T.StructField) -> T.DataType:
-    if type_class(field) in (VARIABLE, FIXED, TIME):
-        return T.StringType()
-    return field.dataType
-
-
-def _loaded_value(field: T.StructField) -> Column:
-    column, kind = quoted(field.name), type_class(field)
-    if kind in (VARIABLE, FIXED):
-        raw = F.encode(column, BYTES_AS_TEXT)
-        if kind == FIXED:
-            return unpad_fixed(raw, value_width(field), isinstance(field.dataType, T.StringType)).cast(field.dataType)
+def _loaded_value(field: T.StructField, raw: Column) -> Column:
+    """Value of a field's bytes; bytes that are no value of its type are an error."""
+    kind, text = type_class(field), raw.cast("string")
+    if kind == VARIABLE:
         return raw.cast(field.dataType)
+    if kind == FIXED:
+        return unpad_fixed(raw, value_width(field), isinstance(field.dataType, T.StringType)).cast(field.dataType)
     if kind == TIME:
-        return time_text_to_micros(column)
-    return column
+        value = time_text_to_micros(text)
+    elif isinstance(field.dataType, T.TimestampType):
+        value = micros_to_stamp(datetime_to_micros(text.try_cast("timestamp_ntz")), field.dataType)
+    else:
+        value = text.try_cast(field.dataType)
+    error = F.raise_error(F.concat(F.lit(f"no {field.dataType.simpleString()} for column {field.name}: "), text)).cast(field.dataType)
+    return F.when(raw.isNotNull() & value.isNull(), error).otherwise(value)
 
 
 def import_tsv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """Rows of TSV files. ``multi_line=False`` lets large files be split where no
-    value holds a newline."""
+    """Rows of TSV files. A file is read by as many tasks as it has blocks, also where values hold newlines;
+    ``multi_line=False`` says that none does, which saves a reading."""
     check_supported(schema)
-    in_file = T.StructType([T.StructField(f.name, _file_type(f), True) for f in schema])
-    rows = (
-        spark.read.schema(in_file)
-        .option("sep", TAB).option("quote", '"').option("escape", "\\")
-        .option("nullValue", NULL_MARK).option("lineSep", "\n").option("encoding", BYTES_AS_TEXT)
-        .option("dateFormat", "yyyy-MM-dd").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-        .option("mode", "FAILFAST").option("multiLine", multi_line)
-        .csv(path)
-    )
-    return rows.select(*[_loaded_value(f).alias(f.name, metadata=f.metadata) for f in schema])
+    values = read_values(spark, path, len(schema.fields), multi_line)
+    return values.select(*[_loaded_value(f, F.col(f"c{i}")).alias(f.name, metadata=f.metadata) for i, f in enumerate(schema)])
