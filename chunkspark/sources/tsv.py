@@ -75,7 +75,7 @@ def _loaded_value(field: T.StructField, raw: Column) -> Column:
     else:
         value = text.try_cast(field.dataType)
     error = F.raise_error(F.concat(F.lit(f"no {field.dataType.simpleString()} for column {field.name}: "), text)).cast(field.dataType)
-    return F.when(raw.isNotNull() & value.isNull(), error).otherwise(value)
+    return F.coalesce(value, F.when(raw.isNotNull(), error))
 
 
 def import_tsv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:

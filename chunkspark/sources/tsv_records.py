@@ -19,6 +19,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -69,8 +70,23 @@ def after(state: int, line: bytes) -> int:
 
 def fields(record: bytes) -> list[bytes | None]:
     """Values of a whole record; unquoted ``\\N`` is None."""
-    if b'"' not in record and b"\\\t" not in record:
-        return [None if v == NULL_MARK else _plain(v) for v in record.split(TAB)]
+    out = []
+    for value in record.split(TAB):
+        if value[:1] == b'"':
+            if len(value) < 2 or value[-1:] != b'"' or value.count(b'"') != 2 or b"\\" in value:
+                return _tokens(record)
+            out.append(value[1:-1])
+        elif value == NULL_MARK:
+            out.append(None)
+        elif b"\\" in value:
+            return _tokens(record)
+        else:
+            out.append(value)
+    return out
+
+
+def _tokens(record: bytes) -> list[bytes | None]:
+    """The same where values hold tabs, quotes or escapes."""
     out = []
     for quoted, more, plain in (m.groups() for m in _TOKEN.finditer(record)):
         if more:
@@ -83,6 +99,16 @@ def _plain(value: bytes) -> bytes:
     return _ESCAPED.sub(rb"\1", value) if b"\\" in value else value
 
 
+def _by_block(batches) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Rows of one (file, start) each, in order."""
+    for batch in batches:
+        if batch.num_rows:
+            file, start = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            edges = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                yield (int(file[a]), int(start[a])), batch.slice(a, b - a)
+
+
 # ---- first reading -----------------------------------------------------------
 
 class _Way:
@@ -115,12 +141,12 @@ def _outcomes(batches):
         names = [part.split()[0] for part in OUTCOMES.split(", ")]
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    for batch in batches:
-        for file, start, line in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-            if (file, start) != at:
-                if at is not None:
-                    yield told()
-                at, ways = (file, start), [_Way(entry) for entry in (START, QUOTED, PLAIN)]
+    for block, rows_ in _by_block(batches):
+        if block != at:
+            if at is not None:
+                yield told()
+            at, ways = block, [_Way(entry) for entry in (START, QUOTED, PLAIN)]
+        for line in rows_.column(2).to_pylist():
             known = {}
             for way in ways:
                 if way.state not in known:
@@ -156,11 +182,12 @@ def _cut(width: int, ends: bool = False):
     def run(batches):
         def records():
             at, state, skipping, held = None, START, False, []
-            for batch in batches:
-                for file, start, entry, line in zip(*[batch.column(i).to_pylist() for i in range(4)]):
-                    if (file, start) != at:
-                        unfinished(held)
-                        at, state, skipping, held = (file, start), entry, entry != START, []
+            for block, rows in _by_block(batches):
+                if block != at:
+                    unfinished(held)
+                    at, state, held = block, rows.column(2)[0].as_py(), []
+                    skipping = state != START
+                for line in rows.column(3).to_pylist():
                     state = after(state, line)
                     if skipping:
                         skipping = state != START
