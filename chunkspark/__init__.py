@@ -5,7 +5,8 @@ from chunkspark.functions.types import binary_field, char_field, row_bytes, time
 from chunkspark.operators.checks import affinity_violations, compare_passes, order_violations
 from chunkspark.operators.chunks import ChunkTooSmallError, chunk_index, pack_chunks
 from chunkspark.operators.lookup import (
-    get_chunks, get_row_by_key, get_row_by_position, get_rows_by_keys, get_rows_by_position, rows_by_key,
+    get_chunks, get_chunks_by_keys, get_row_by_key, get_row_by_position, get_rows_by_keys, get_rows_by_position, next_keys,
+    rows_by_key,
 )
 from chunkspark.operators.partition import PartitionSpec, add_partition_id, partition_result, sort_key
 from chunkspark.operators.positions import with_row_pos

@@ -66,6 +66,11 @@ def pack_chunks(df: DataFrame, spec: PartitionSpec, chunk_bytes: int, keep=None)
     return packed.select(*[quoted(c) for c in [*columns, *extra]])
 
 
+def pack_sized(rows: DataFrame, spec: PartitionSpec, chunk_bytes: int) -> DataFrame:
+    """Rows that bring ``partition_id`` and ``row_bytes``, packed in the order of the spec."""
+    return _pack_varying(rows, spec, chunk_bytes, rows.columns)
+
+
 def chunk_index(chunks: DataFrame) -> DataFrame:
     """One row per chunk: rows, bytes, and the position of its first row."""
     return chunks.groupBy(PARTITION_ID, CHUNK_ID).agg(

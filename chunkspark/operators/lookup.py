@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
 from chunkspark.functions.types import quoted
-from chunkspark.operators.partition import CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, accounted_bytes
+from chunkspark.operators.chunks import pack_sized
+from chunkspark.operators.partition import CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, accounted_bytes
 
 # Pairs that may stand in a predicate; more become a table.
 PREDICATE_PAIRS = 1_000
@@ -69,19 +70,46 @@ def _single(found: DataFrame, partition: int, value) -> Row:
     return row
 
 
-def get_rows_by_keys(df: DataFrame, requests, key: str, chunk_bytes: int) -> DataFrame:
+def _sized(found: DataFrame) -> DataFrame:
+    if ROW_BYTES in found.columns:
+        return found
+    extra = [c for c in (PARTITION_ID, ROW_POS, CHUNK_ID) if c in found.columns]
+    return found.withColumn(ROW_BYTES, accounted_bytes(found.drop(*extra)))
+
+
+def get_chunks_by_keys(
+    df: DataFrame, requests, key: str, chunk_bytes: int, task_bytes: int = PartitionSpec.task_bytes, partitions: int | None = None,
+) -> DataFrame:
+    """Per partition, all requested rows in key order, packed into chunks as ``pack_chunks`` packs a result: with
+    ``chunk_id`` and ``row_pos`` counted in the answer. The first chunk is what ``get_rows_by_keys`` gives; a hot
+    partition is packed over many tasks. ``partitions`` is their number in the result; not given, it is taken from
+    the rows asked for."""
+    found = _sized(_requested(df, requests, key))
+    kept = [c for c in found.columns if c not in (ROW_POS, CHUNK_ID)]
+    count = partitions or (found.agg(F.max(PARTITION_ID)).first()[0] or 0) + 1
+    return pack_sized(found.select(*[quoted(c) for c in kept]), PartitionSpec(count, (), (key,), key, task_bytes), chunk_bytes)
+
+
+def next_keys(answer: DataFrame, key: str) -> DataFrame:
+    """Per chunk of an answer, the last key in it: what ``get_rows_by_keys`` takes as ``after`` to go on."""
+    return answer.groupBy(PARTITION_ID, CHUNK_ID).agg(F.max(quoted(key)).alias("after"))
+
+
+def get_rows_by_keys(df: DataFrame, requests, key: str, chunk_bytes: int, after=None) -> DataFrame:
     """Per partition, the requested rows in key order as far as they fit one chunk.
-    ``truncated`` tells that some did not.
+    ``truncated`` tells that some did not. ``after`` goes on behind a key: one value for all partitions, or a
+    DataFrame (partition_id, after) with the last key had of each; partitions it does not name are not gone on with.
 
     The rows of a partition are first spread over many splits. Within a split only
     rows up to the first that overflows by itself can belong to the answer or end
     it. The rest goes, what is left is gathered in fewer splits, and at last per
     partition, so that no task sees more than a share of what is asked for.
     """
-    found = _requested(df, requests, key)
-    if ROW_BYTES not in found.columns:
-        extra = [c for c in (PARTITION_ID, ROW_POS, CHUNK_ID) if c in found.columns]
-        found = found.withColumn(ROW_BYTES, accounted_bytes(found.drop(*extra)))
+    found = _sized(_requested(df, requests, key))
+    if isinstance(after, DataFrame):
+        found = found.join(after.select(PARTITION_ID, F.col("after").alias("_after")), PARTITION_ID).filter(quoted(key) > F.col("_after")).drop("_after")
+    elif after is not None:
+        found = found.filter(quoted(key) > F.lit(after))
     near = found
     for splits in _narrowing(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))):
         split = F.pmod(F.xxhash64(quoted(key)), F.lit(splits))

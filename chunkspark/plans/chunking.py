@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chunkspark.operators.checks import compare_passes, order_violations
 from chunkspark.operators.chunks import chunk_index, pack_chunks
-from chunkspark.operators.lookup import get_chunks, get_rows_by_keys, get_rows_by_position, rows_by_key
+from chunkspark.operators.lookup import get_chunks, get_chunks_by_keys, get_rows_by_keys, get_rows_by_position, rows_by_key
 from chunkspark.operators.partition import PartitionSpec, add_partition_id, largest_partition
 from chunkspark.plans.inputs import (
     LINEITEM_BYTES, ORDERS_BYTES, ORDERS_CHUNK, ORDERS_COLUMNS, ORDERS_NUMBER, ORDERS_PACKED, ORDERS_PLACED,
@@ -174,6 +174,24 @@ def rows_fitting_a_chunk(spark, sf_dir):
     return found.select("o_orderkey", "o_custkey", "partition_id", "truncated")
 
 
+_ANSWER = packed(
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, partition_id, row_bytes,
+    row_number() OVER (PARTITION BY partition_id ORDER BY o_orderkey) - 1 AS row_pos FROM ({ORDERS_PLACED}) p
+    JOIN (SELECT max(o_orderkey) AS o_orderkey FROM orders GROUP BY o_custkey) w USING (o_orderkey)""", ORDERS_CHUNK)
+
+
+@query(
+    "get_rows_by_keys_all",
+    _ANSWER + "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, partition_id, row_bytes, "
+    "CAST(row_pos AS BIGINT) AS row_pos, chunk_id FROM packed",
+)
+def all_rows_at_keys(spark, sf_dir):
+    """The whole answer, chunk by chunk."""
+    rows = add_partition_id(orders(spark, sf_dir), ORDERS_SPEC)
+    wanted = rows.groupBy("partition_id", "o_custkey").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return get_chunks_by_keys(rows, wanted.drop("o_custkey"), "o_orderkey", ORDERS_CHUNK, partitions=ORDERS_SPEC.partitions)
+
+
 @query(
     "second_pass_check",
     ORDERS_PACKED + f""", idx AS ({INDEX})

@@ -289,3 +289,21 @@ def affinity_other_key(spark, sf_dir):
     """Split by another column, most customers are found in several partitions."""
     rows = add_partition_id(orders(spark, sf_dir), PartitionSpec(8, ("o_orderkey",)))
     return affinity_violations(rows, ["o_custkey"])
+
+
+@query(
+    "read_in_place_one",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, CAST(1 AS BIGINT) AS buckets, true AS asked_for FROM orders",
+)
+def in_place_one(spark, sf_dir):
+    """Every partition of a bucketed table read on its own, from the files of its bucket."""
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    name = new_name("orders_one")
+    source = materialize_result(spark, name, orders(spark, sf_dir), ORDERS_SPEC, path=scratch(spark, name), layout="bucketed")
+    shares = [
+        read_in_place(spark, spark.table(name), ORDERS_SPEC, part, bucketed_by=["o_custkey"]).withColumn("asked_for", F.col("partition_id") == part)
+        for part in range(ORDERS_SPEC.partitions)
+    ]
+    rows = union_of(shares)
+    spread = rows.groupBy("o_custkey").agg(F.countDistinct("partition_id").alias("buckets"))
+    return rows.join(spread, "o_custkey").select(*source.columns, "buckets", "asked_for")

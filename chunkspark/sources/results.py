@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chunkspark.functions.types import quoted
@@ -161,7 +162,7 @@ def read_in_place(
     Without an order the number is a projection of the scan. With an order rows are
     placed as usual, unless the source is bucketed by columns within ``spec.by``
     into as many buckets: then its own buckets are the partitions and only a sort
-    is added.
+    is added. Of such a source one ``partition`` is read from the files of its bucket alone.
     """
     rows = _rows_of(spark, query)
     buckets = tuple(bucketed_by or ())
@@ -174,6 +175,7 @@ def read_in_place(
         numbered = add_partition_id(rows, spec)
     if partition is not None:
         numbered = numbered.filter(quoted(PARTITION_ID) == partition)
+        numbered = _bucket_files(numbered, partition) if buckets else numbered
     if not spec.order:
         return numbered
     order = spec_sort_key(numbered, spec)
@@ -185,3 +187,18 @@ def read_in_place(
         numbered = numbered.repartition(spec.partitions, *[quoted(c) for c in buckets])
         return numbered.sortWithinPartitions(PARTITION_ID, *sort_columns(numbered, order))
     return union_of([part.df for part in place(numbered, spec)])
+
+
+# Fixed value: the place of the bucket number in the names of a bucketed table's files.
+BUCKET_IN_NAME = r"_(\d+)(?:\..*)?$"
+
+
+def _bucket_files(rows: DataFrame, bucket: int) -> DataFrame:
+    """Rows of files whose name says this bucket, or none. A condition on a file's name is applied to the list of files,
+    so others are not opened."""
+    told = F.regexp_extract(F.col("_metadata.file_name"), BUCKET_IN_NAME, 1)
+    try:
+        return rows.filter((told == "") | (told.cast("int") == bucket))
+    except AnalysisException:
+        # The files cannot be told any more, say behind a join; the rows are filtered all the same.
+        return rows

@@ -1,10 +1,12 @@
 from dataclasses import replace
 
 import numpy as np
+import random
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.errors import PythonException
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from chunkspark import (
     ChunkTooSmallError, PartitionSpec, chunk_index, compare_passes, order_violations, pack_chunks,
@@ -189,3 +191,31 @@ def test_chunks_follow_the_order(small):
     assert order_violations(packed, ["i1", "d1"]).count() == 0
     wrong = packed.withColumn("i1", -F.col("i1"))
     assert order_violations(wrong, ["i1"]).count() > 0
+
+
+@pytest.mark.parametrize("placed", ["in order", "anywhere"])
+def test_order_check_equals_a_window(spark, placed):
+    draw = random.Random(4)
+    values = [None, float("nan"), -0.0, 0.0, 1.5, -2.0]
+    rows = [(p, c, i + 5 * c, draw.choice(values), draw.choice([None, "a", "b", "ü", ""]), draw.choice([None, [1], [2]]))
+            for p in range(3) for c in range(4) for i in range(draw.randrange(5)) if draw.random() < 0.9]
+    chunks = spark.createDataFrame(rows, "partition_id int, chunk_id long, row_pos long, d double, t string, a array<int>")
+    chunks = chunks.coalesce(1).sortWithinPartitions("partition_id", "row_pos") if placed == "in order" else chunks.repartition(3)
+    for order in (["d"], ["t", "d"], ["d", "t"], ["a"]):
+        columns = F.struct(*order)
+        ahead = F.lag(columns).over(Window.partitionBy("partition_id", "chunk_id").orderBy("row_pos"))
+        want = chunks.withColumn("_a", ahead).filter(F.col("_a") > columns).select("partition_id", "chunk_id", "row_pos")
+        got = order_violations(chunks, order)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_packed_rows_are_checked_where_they_are(spark):
+    rows = spark.range(3000).selectExpr("id", "id % 7 AS g", "repeat('x', cast(id % 9 as int)) AS t")
+    packed = pack_chunks(rows, PartitionSpec(4, ("g",), ("g", "id"), "id"), 600)
+    assert order_violations(packed, ["g", "id"]).count() == 0
+    assert order_violations(packed, ["t"]).count() > 100
+    sent = order_violations(packed, ["g", "id"])
+    sent.collect()
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    # What is shuffled behind the placement is the ends of stretches.
+    assert plan.index("Window") < plan.index("MapInArrow")

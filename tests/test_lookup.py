@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkspark import (
-    PartitionSpec, chunk_index, get_chunks, get_row_by_key, get_row_by_position, get_rows_by_keys,
+    PartitionSpec, chunk_index, get_chunks, get_chunks_by_keys, get_row_by_key, get_row_by_position, get_rows_by_keys, next_keys,
     get_rows_by_position, materialize_result, rows_by_key,
 )
 from chunkspark.operators import lookup
@@ -113,3 +113,25 @@ def test_streams_cannot_be_looked_up(spark):
     stream = spark.readStream.format("rate").load().selectExpr("value AS partition_id", "value AS chunk_id")
     with pytest.raises(ValueError, match="delivered once"):
         get_chunks(stream, [(0, 0)])
+
+
+@pytest.mark.parametrize("task_bytes", [1 << 30, 300])
+def test_an_answer_goes_on_after_its_first_chunk(spark, task_bytes):
+    rows = spark.range(200).selectExpr("id AS row_id", "repeat('x', cast(id % 13 as int)) AS t", "id % 3 AS partition_id")
+    asked = rows.filter("row_id % 4 <> 1").select("partition_id", "row_id")
+    answer = get_chunks_by_keys(rows, asked, "row_id", 150, task_bytes)
+    whole = {(r.partition_id, r.chunk_id, r.row_id) for r in answer.collect()}
+    assert {(p, k) for p, _, k in whole} == {tuple(r) for r in asked.collect()}
+    # The same chunks one by one, each from the key the one before ended with.
+    after, found = None, set()
+    for chunk in range(40):
+        part = get_rows_by_keys(rows, asked, "row_id", 150, after).withColumn("chunk_id", F.lit(chunk).cast("long"))
+        got = [(r.partition_id, r.chunk_id, r.row_id) for r in part.select("partition_id", "chunk_id", "row_id").collect()]
+        if not got:
+            break
+        found |= set(got)
+        ends = [tuple(r) for r in next_keys(part, "row_id").select("partition_id", "after").collect()]
+        after = spark.createDataFrame(ends, "partition_id long, after long")
+    assert found == whole and max(c for _, c, _ in whole) > 5
+    first = get_rows_by_keys(rows, asked, "row_id", 150, after=99).agg(F.min("row_id")).first()[0]
+    assert first == 100

@@ -186,3 +186,41 @@ def test_mode_follows_the_layout(spark, view):
         assert sorted(r.row_id for r in got.collect()) == list(range(1, 15))
     finally:
         spark.sql("DROP TABLE mode_rows")
+
+
+def opened_files(df):
+    """Files that the scans of an executed plan opened."""
+    def count(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return count(plan.executedPlan())
+        if "QueryStage" in kind:
+            return count(plan.plan())
+        own = plan.metrics().apply("numFiles").value() if kind == "FileSourceScanExec" else 0
+        return own + sum(count(plan.children().apply(i)) for i in range(plan.children().size()))
+
+    df.collect()
+    return count(df._jdf.queryExecution().executedPlan())
+
+
+def test_one_bucket_opens_its_files_only(spark, tmp_path):
+    spec = PartitionSpec(8, ("k",), ("k", "id"), "id")
+    rows = spark.range(0, 400, 1, 3).selectExpr("id", "id % 50 AS k")
+    rows.write.bucketBy(8, "k").sortBy("id").option("path", f"{tmp_path}/b").saveAsTable("one_bucket")
+    try:
+        whole = opened_files(spark.table("one_bucket"))
+        seen = []
+        for part in range(8):
+            for source in (spark.table("one_bucket"), spark.sql("SELECT * FROM one_bucket WHERE id >= 0")):
+                got = read_in_place(spark, source, spec, part, bucketed_by=["k"])
+                assert opened_files(got) <= 3 < whole
+            seen += [r.id for r in got.collect()]
+        assert sorted(seen) == list(range(400))
+        # Files without a bucket in their names are all read, and a source without files is filtered.
+        rows.write.parquet(f"{tmp_path}/plain")
+        for source in (spark.read.parquet(f"{tmp_path}/plain"), rows.distinct(), spark.table("one_bucket").groupBy("k").agg(F.max("id").alias("id"))):
+            got = read_in_place(spark, source, PartitionSpec(8, ("k",)), 2, bucketed_by=["k"])
+            want = source.filter(F.pmod(F.hash("k"), F.lit(8)) == 2)
+            assert got.count() == want.count() > 0
+    finally:
+        spark.sql("DROP TABLE one_bucket")
