@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from chunkspark.plans.registry import query
 from chunkspark.session import TABLES, read_table, register_views
 from chunkspark.sources.results import run_query
-from chunkspark.sources.schema import column_sizes, table_row_counts
+from chunkspark.sources.schema import column_sizes, describe_schema as describe_schema_of, table_row_counts
 
 
 def _forward(name: str, spark_sql: str, oracle: str | None = None, views: str = "") -> None:
@@ -108,3 +110,32 @@ def _column(position: int, name: str, kind: str, width: int, size: str) -> str:
 )
 def describe_schema(spark, sf_dir):
     return column_sizes(read_table(spark, sf_dir, "customer"))
+
+
+_SQL_COLUMNS = [
+    _column(0, "c_name", "Variable", 0, "sum(16 + strlen(c_name))"),
+    _column(1, "twice", "Double", 8, "8 * count(*)"),
+    _column(2, "c_mktsegment", "Variable", 0, "sum(16 + strlen(c_mktsegment))"),
+]
+
+
+@query(
+    "describe_table_and_query",
+    "SELECT 'query' AS source, * FROM (" + " UNION ALL ".join(_SQL_COLUMNS) + ") UNION ALL SELECT 'table', * FROM (" + " UNION ALL ".join([
+        _column(0, "c_custkey", "Int64", 8, "8 * count(*)"),
+        _column(1, "c_name", "Variable", 0, "sum(16 + strlen(c_name))"),
+        _column(2, "c_nationkey", "Int32", 4, "8 * count(*)"),
+        _column(3, "c_acctbal", "Double", 8, "8 * count(*)"),
+        _column(4, "c_mktsegment", "Variable", 0, "sum(16 + strlen(c_mktsegment))"),
+    ]) + ")",
+)
+def describe_both(spark, sf_dir):
+    """By table name and by the text of a query that has not run; beside it the bytes that each column takes."""
+    register_views(spark, sf_dir, ["customer"])
+    text = "SELECT c_name, c_acctbal * 2 AS twice, c_mktsegment FROM customer WHERE c_custkey >= 0"
+    told = []
+    for label, source in (("table", "customer"), ("query", text)):
+        sizes = column_sizes(spark.table(source) if label == "table" else spark.sql(source)).select("position", "stored_bytes")
+        told.append(describe_schema_of(spark, source).join(sizes, "position").select(
+            F.lit(label).alias("source"), "position", "name", "type_class", "width", "stored_bytes"))
+    return told[0].unionByName(told[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chunkspark.functions.types import binary_field, char_field, time_field, with_fields
 from chunkspark.plans.inputs import lineitem, new_name, scratch
 from chunkspark.plans.registry import query
 from chunkspark.session import read_table, register_views
@@ -78,6 +79,44 @@ def mapped_keep_empty(spark, sf_dir):
     return _mapped(spark, sf_dir, False)
 
 
+_ALL_TYPES = """SELECT event_id, nullif(user_id, 3) AS user_id, ts - INTERVAL 60 YEAR AS ts,
+    CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(ts - INTERVAL 60 YEAR AS DATE) END AS day,
+    CASE WHEN event_id % 7 = 0 THEN NULL ELSE (event_id % 200001 - 100000) * 1234567 END AS took,
+    CASE WHEN event_id % 4 = 0 THEN {blank} ELSE event_type END AS kind,
+    hex(CASE WHEN event_id % 6 = 0 THEN {zeros} ELSE {key} END) AS token, value, CASE WHEN event_id % 3 = 0 THEN {empty} ELSE props END AS props,
+    (SELECT count(*) FROM events) AS affected FROM events"""
+
+
+def _all_types(spark, sf_dir, zero_is_null):
+    """Records of every type: dates and times before 1960, signed times, blank slots, empty text."""
+    rows = read_table(spark, sf_dir, "events").selectExpr(
+        "event_id", "nullif(user_id, 3) AS user_id", "ts - INTERVAL '60' YEAR AS ts",
+        "if(event_id % 5 = 0, null, CAST(ts - INTERVAL '60' YEAR AS DATE)) AS day",
+        "if(event_id % 7 = 0, null, CAST((event_id % 200001 - 100000) * 1234567 AS BIGINT)) AS took",
+        "if(event_id % 4 = 0, '', event_type) AS kind",
+        "if(event_id % 6 = 0, X'', CAST(lpad(CAST(event_id AS STRING), 12, '0') AS BINARY)) AS token", "value", "if(event_id % 3 = 0, '', props) AS props")
+    rows = with_fields(rows, time_field("took"), char_field("kind", 12), binary_field("token", 12))
+    path, name = scratch(spark, new_name("event_records")), new_name("events_mapped")
+    export_positional(rows, path)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    create_table(spark, name, columns, scratch(spark, name))
+    loaded = load_mapped(import_positional(spark, path, rows.schema), name, rows.schema, zero_is_null)
+    return _with_count(spark, name, loaded).withColumn("token", F.hex("token"))
+
+
+_KEY = "encode(lpad(CAST(event_id AS VARCHAR), 12, '0'))"
+
+
+@query("load_mapped_all_types", _ALL_TYPES.format(blank="NULL", zeros="NULL", empty="NULL", key=_KEY))
+def mapped_all_types(spark, sf_dir):
+    return _all_types(spark, sf_dir, True)
+
+
+@query("load_mapped_all_types_keep_empty", _ALL_TYPES.format(blank="''", zeros="'\\x00\\x00\\x00\\x00\\x00\\x00\\x00\\x00\\x00\\x00\\x00\\x00'::BLOB", empty="''", key=_KEY))
+def mapped_all_types_keep_empty(spark, sf_dir):
+    return _all_types(spark, sf_dir, False)
+
+
 @query(
     "insert_rows",
     """SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM supplier WHERE s_acctbal > 0) AS affected
@@ -158,6 +197,24 @@ def update_bucketed(spark, sf_dir):
     return _with_count(spark, name, count).withColumn("bucketed_by", F.lit(by))
 
 
+@query(
+    "update_where_moves_partitions",
+    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, CASE WHEN o_custkey % 3 = 0 THEN 'F' WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+        (SELECT count(*) FROM orders WHERE o_custkey % 3 = 0 OR o_orderstatus = 'P') AS affected FROM orders""",
+)
+def update_moves(spark, sf_dir):
+    """Rows go from one partition to another, and one partition loses all, in a session that overwrites partitions one by one."""
+    name, setting = new_name("orders_moving"), "spark.sql.sources.partitionOverwriteMode"
+    read_table(spark, sf_dir, "orders").write.partitionBy("o_orderstatus").option("path", scratch(spark, name)).saveAsTable(name)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        count = update_where(spark, name, {"o_orderstatus": "'F'"}, "o_custkey % 3 = 0 OR o_orderstatus = 'P'")
+    finally:
+        spark.conf.set(setting, before)
+    return _with_count(spark, name, count)
+
+
 @query("create_table_as", "SELECT n_name, r_name, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey")
 def ctas(spark, sf_dir):
     """Created, dropped and created again from a query over two tables."""
