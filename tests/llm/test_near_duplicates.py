@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -11,6 +12,7 @@ from chunkspark.llm import jaccard_join, lattice_dedup, pairing
 from chunkspark.llm.jaccard_join import jaccard_classes
 from chunkspark.llm.lattice_dedup import lattice_links
 from chunkspark.llm.substring_dedup import substring_dedup
+from chunkspark.llm import suffix_dedup as suffix_dedup_module
 from chunkspark.llm.suffix_dedup import deduplicated, suffix_dedup
 from chunkspark.session import read_table
 
@@ -74,6 +76,55 @@ def test_suffix_dedup_is_exact(spark, length, group):
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found), key=repr) == removed(docs, False, length)
 
 
+@pytest.mark.parametrize("piece, ordered", [(64, 8 << 20), (1 << 20, 300), (150, 0)])
+def test_suffix_dedup_in_pieces_and_of_large_anchors(spark, monkeypatch, piece, ordered):
+    """Texts scanned in pieces; runs ordered a few at a time; anchors with more runs than a task orders."""
+    monkeypatch.setattr(suffix_dedup_module, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup_module, "SORTED", ordered)
+    docs = corpus(6) + [(600 + i, "common head " * 4 + f"tail {i * i}") for i in range(40)]
+    docs += [(20, "same id " * 20), (20, "another text " * 9 + "same id " * 20), (20, "same id " * 20), (None, None)]
+    found = suffix_dedup(frame(spark, docs), 20, 8).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found), key=repr) == removed(docs, False, 20)
+
+
+def test_digit_passes_leave_the_repeated_strings():
+    draw = np.random.default_rng(3)
+    for length in (1, 7, 8, 9, 20, 100):
+        data = draw.integers(97, 99, size=600).astype(np.uint8)
+        data[300:450] = data[10:160]
+        at, group = np.arange(len(data) - length + 1), draw.integers(0, 2, size=len(data) - length + 1)
+        found, groups = suffix_dedup_module.ordered(data, at, group, length)
+        members = {}
+        for i in at.tolist():
+            members.setdefault((int(group[i]), data[i: i + length].tobytes()), []).append(i)
+        want = sorted(m for m in members.values() if len(m) > 1)
+        got = {}
+        for i, g in zip(found.tolist(), groups.tolist()):
+            got.setdefault(g, []).append(i)
+        assert sorted(map(sorted, got.values())) == want
+
+
+def test_a_long_text_is_scanned_in_bounded_memory():
+    import pyarrow as pa
+
+    text = np.random.default_rng(1).integers(97, 123, size=20_000_000).astype(np.uint8).tobytes()
+    batch = pa.record_batch({"text": pa.array([text], pa.binary())})
+    tracemalloc.start()
+    found, = suffix_dedup_module.found_runs(batch, suffix_dedup_module.Depth())
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+    # Each suffix is in one run.
+    assert found.windows.sum() == len(text) - 99 and (found.first[1:] == found.first[:-1] + found.windows[:-1]).all()
+
+
+def test_suffix_dedup_of_nothing(spark):
+    docs = frame(spark, corpus(1))
+    assert suffix_dedup(docs.filter("false")).collect() == [] and deduplicated(docs.filter("false")).collect() == []
+    assert substring_dedup(docs.filter("false")).collect() == []
+    few = suffix_dedup(docs.filter("text IS NULL OR text = ''")).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in few) == [(500, 0, 0, 0), (501, 0, 0, 0)]
+
+
 def test_suffix_dedup_keeps_columns(spark):
     docs = corpus(5)
     left = deduplicated(frame(spark, docs), 20, 8)
