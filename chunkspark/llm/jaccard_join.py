@@ -192,11 +192,23 @@ def buckets(docs: DataFrame, vertices: DataFrame, words: int = WORDS) -> DataFra
             break
         split.append(shared_keys(large, _keys("node"), NODE_BITS, times=2))
         holders = shared_keys(now.join(large, "node", "left_semi").select("doc_id").distinct(), _keys("doc_id"), DOC_BITS, times=2)
-        now = deeper(docs, holders, list(split), words).join(vertices.select("doc_id"), "doc_id", "left_semi")
+        now = _shared_nodes(stored(deeper(docs, holders, list(split), words), "children")).join(vertices.select("doc_id"), "doc_id", "left_semi")
     # A node may be listed at two depths where a filter let it pass.
     return out.distinct()
 
 
+def _shared_nodes(children: DataFrame) -> DataFrame:
+    """Rows of (doc_id, node) whose node may hold several sets; most children of texts that share little hold one."""
+    shared = shared_keys(children, _keys("node"), NODE_BITS)
+
+    def several(batches):
+        for batch in batches:
+            nodes = np.asarray(batch.column("node"), dtype=np.int64).view(np.uint64)
+            yield batch.filter(pa.array(shared.test(nodes)))
+
+    return children.mapInArrow(several, children.schema)
+
+
 def _candidates(group: pa.Table, starts: np.ndarray, marks: np.ndarray):
     """Pairs of a table of groups that may be alike and are judged in this node."""
     own, size = group.column("_own").to_numpy(), group.column("size").to_numpy().astype(np.int64)
