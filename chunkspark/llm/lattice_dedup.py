@@ -5,7 +5,12 @@ and each half is decoded to its nearest point of the E8 lattice; the two points
 neighbouring points per half, the best steps along the lattice's shortest vectors, are probed as well,
 so each vector has 5 cells a table. Vectors that share any cell are compared by cosine in double
 precision, once per pair, in the smallest cell they share. Equal vectors are one vertex. Large cells are
-compared in blocks (``pairing.blocked``); tasks hand on counts and spanning links, no pairs.
+compared in blocks, every two parts of a cell in a group of their own; tasks hand on counts and spanning links, no pairs.
+
+What travels to all cells of a vector is thin: the signs of ``SIGNS`` random projections. Rows without a partner in
+their group whose signs agree as often as those of a pair at the threshold, less six standard deviations, go no further (a link
+is lost so with a chance under 1e-7). Those left get their list of cells, and rows without such a partner that they meet there first go; only
+then are vectors brought to their groups, to be verified.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of
 different lengths. A null vec_id links with nothing, has no component, and is kept. Rows repeated with the same vec_id count as
@@ -20,13 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkspark.llm.common import bounded_batches, stored
-from chunkspark.llm.pairing import LINKS_DDL, blocked, components, key_table, linked, meets_first, pairs, whole_groups
+from chunkspark.llm.pairing import LINKS_DDL, components, key_table, linked, meets_first, pairs, whole_groups
 from chunkspark.plans.registry import query
 from chunkspark.session import read_table
 
 TABLES, HALVES, WIDTH = 8, 2, 0.85
 COSINE = 0.9
 BLOCK = 512
+SIGNS = 128
+GROUP = ("cell", "_a", "_b")
+PLACED = "cell long, _a int, _b int, _own int, at long"
 
 
 def nearest(y: np.ndarray) -> np.ndarray:
@@ -76,14 +84,28 @@ def cells(unit: np.ndarray) -> np.ndarray:
     return np.sort(np.stack(out, axis=1), axis=1)
 
 
+def signs(unit: np.ndarray) -> np.ndarray:
+    """Signs of random projections of normalised vectors, 64 to a long."""
+    rng = np.random.default_rng([SIGNS, unit.shape[1]])
+    bits = unit @ rng.standard_normal((unit.shape[1], SIGNS)) >= 0
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def most_differing(threshold: float) -> int:
+    """Signs in which a pair at the threshold differs at most, but for a chance under 1e-7."""
+    share = np.arccos(np.clip(threshold, -1.0, 1.0)) / np.pi
+    return int(np.ceil(SIGNS * share + 6 * np.sqrt(SIGNS * share * (1 - share))))
+
+
 def _vectors(column: pa.Array) -> list[np.ndarray]:
     return [np.asarray(v, dtype=np.float64) for v in column.to_pylist()]
 
 
 def _hashed(batches):
-    schema = pa.schema([("vertex", pa.int64()), ("weight", pa.int64()), ("size", pa.int32()), ("unit", pa.binary()), ("cells", pa.list_(pa.int64()))])
+    schema = pa.schema([("at", pa.int64()), ("vertex", pa.int64()), ("weight", pa.int64()), ("size", pa.int32()), ("unit", pa.binary()), ("cells", pa.list_(pa.int64())),
+                        ("signs", pa.list_(pa.int64()))])
     for batch in batches:
-        ids, weights = np.asarray(batch.column("vertex")), np.asarray(batch.column("weight"))
+        rows, ids, weights = (np.asarray(batch.column(c)) for c in ("at", "vertex", "weight"))
         vectors = _vectors(batch.column("vector"))
         sizes = np.array([len(v) for v in vectors])
         for size in np.unique(sizes):
@@ -93,22 +115,50 @@ def _hashed(batches):
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             found = cells(x)
             yield pa.record_batch([
-                pa.array(ids[at]), pa.array(weights[at]), pa.array(np.full(len(at), size, dtype=np.int32)), pa.array([r.tobytes() for r in x], pa.binary()),
-                pa.array([np.unique(r) for r in found], pa.list_(pa.int64())),
+                pa.array(rows[at]), pa.array(ids[at]), pa.array(weights[at]), pa.array(np.full(len(at), size, dtype=np.int32)), pa.array([r.tobytes() for r in x], pa.binary()),
+                pa.array([np.unique(r) for r in found], pa.list_(pa.int64())), pa.array(list(signs(x)), pa.list_(pa.int64())),
             ], schema=schema)
 
 
+def _meet(group: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether rows of one group are to be compared there: in a group of two parts, rows of different parts only."""
+    across, own = group.column("_a").to_numpy() != group.column("_b").to_numpy(), group.column("_own").to_numpy()
+    return ~(across[i] & (own[i] == own[j]))
+
+
+def _promising(threshold: float):
+    """Rows with a partner in their group whose signs agree enough; where rows bring their cells, one they meet there first."""
+    most = most_differing(threshold)
+
+    def run(batches):
+        for group, starts in whole_groups(batches, GROUP):
+            words = [group.column(f"s{k}").to_numpy().view(np.uint64) for k in range(SIGNS // 64)]
+            keys = key_table(group.column("cells")) if "cells" in group.column_names else None
+            here, found = group.column("cell").to_numpy(), np.zeros(group.num_rows, dtype=bool)
+            for i, j in pairs(starts):
+                near = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in words) <= most
+                near &= _meet(group, i, j)
+                i, j = i[near], j[near]
+                if keys is not None:
+                    kept = meets_first(keys, here, i, j)
+                    i, j = i[kept], j[kept]
+                found[i] = found[j] = True
+            if found.any():
+                yield from group.select([*GROUP, "_own", "at"]).filter(pa.array(found)).combine_chunks().to_batches()
+
+    return run
+
+
 def _compared(threshold: float):
     def run(batches):
-        for group, starts in whole_groups(batches, ("cell", "_a", "_b")):
+        for group, starts in whole_groups(batches, GROUP):
             vertex, weight = group.column("vertex").to_numpy(), group.column("weight").to_numpy()
-            size, own = group.column("size").to_numpy(), group.column("_own").to_numpy()
-            across, here = (group.column("_a").to_numpy() != group.column("_b").to_numpy()), group.column("cell").to_numpy()
+            size, here = group.column("size").to_numpy(), group.column("cell").to_numpy()
             flat = np.frombuffer(b"".join(group.column("unit").to_pylist()), dtype=np.float64)
             first = np.concatenate(([0], np.cumsum(size)[:-1]))
             keys = key_table(group.column("cells"))
             for i, j in pairs(starts):
-                meet = (size[i] == size[j]) & ~(across[i] & (own[i] == own[j]))
+                meet = (size[i] == size[j]) & _meet(group, i, j)
                 i, j = i[meet], j[meet]
                 close = np.zeros(len(i), dtype=bool)
                 for length in np.unique(size[i]):
@@ -124,6 +174,25 @@ def _compared(threshold: float):
     return run
 
 
+def _grouped(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, "at")
+
+
+def _dealt(met: DataFrame) -> DataFrame:
+    """Rows (cell, at, ...) with the groups they are compared in. A cell of over ``BLOCK`` rows is dealt into parts by a hash of
+    ``at``, a vector's number, and every two parts meet in a group of their own; ``_own`` is a row's part.
+
+    Large cells are at most one in ``BLOCK`` rows; whether they are broadcast is decided by the size of their table.
+    """
+    large = met.groupBy("cell").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > BLOCK)
+    large = stored(large.select("cell", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_parts")), "large")
+    named = met.join(large, "cell", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    named = named.withColumn("_own", F.pmod(F.xxhash64(F.lit(77), "at"), F.col("_parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    placed = named.withColumn("_other", other).withColumn("_a", F.least("_own", "_other")).withColumn("_b", F.greatest("_own", "_other"))
+    return placed.drop("_parts", "_other")
+
+
 def lattice_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = COSINE) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     bounded_batches(vectors.sparkSession)
@@ -132,10 +201,15 @@ def lattice_links(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "
               & F.exists("_v", lambda x: x != 0))
     rows = rows.withColumn("_v", F.when(usable, F.col("_v")))
     alike = rows.filter(F.col("_v").isNotNull()).groupBy("_v").agg(F.min("vec_id").alias("vertex"), F.count(F.lit(1)).alias("weight"))
-    alike = stored(alike.withColumnRenamed("_v", "vector"), "vectors")
-    hashed = stored(alike.mapInArrow(_hashed, "vertex long, weight long, size int, unit binary, cells array<long>"), "cells")
-    met = hashed.withColumn("cell", F.explode("cells"))
-    linked_rows = stored(blocked(met, "cell", "vertex", BLOCK).mapInArrow(_compared(threshold), LINKS_DDL), "links")
+    # Vectors are numbered, since different ones may have the same vec_id.
+    alike = stored(alike.select(F.monotonically_increasing_id().alias("at"), F.col("_v").alias("vector"), "vertex", "weight"), "vectors")
+    hashed = stored(alike.mapInArrow(_hashed, "at long, vertex long, weight long, size int, unit binary, cells array<long>, signs array<long>"), "cells")
+    words = [F.col("signs")[k].alias(f"s{k}") for k in range(SIGNS // 64)]
+    met = _dealt(hashed.select(F.explode("cells").alias("cell"), "at", *words))
+    near = stored(_grouped(met).mapInArrow(_promising(threshold), PLACED), "near")
+    near = _grouped(near.join(hashed.select("at", "cells", *words), "at")).mapInArrow(_promising(threshold), PLACED)
+    near = stored(near, "met").join(hashed.select("at", "vertex", "weight", "size", "unit", "cells"), "at")
+    linked_rows = stored(_grouped(near).mapInArrow(_compared(threshold), LINKS_DDL), "links")
     counts = linked_rows.groupBy("vertex").agg(F.sum("links").alias("links"))
     groups = components(linked_rows.select("vertex", "root"))
     told = alike.select("vector", "vertex", "weight").join(counts, "vertex", "left").join(groups, "vertex", "left").select(

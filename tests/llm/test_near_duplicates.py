@@ -276,3 +276,43 @@ def test_lattice_recall_near_the_threshold():
 
 def test_lattice_of_nothing(spark):
     assert lattice_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_signs_of_pairs_at_the_threshold():
+    """Signs keep every pair at the threshold and turn away nearly all others."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(20_000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    differ = [np.bitwise_count((lattice_dedup.signs(a) ^ lattice_dedup.signs(b)).view(np.uint64)).sum(axis=1) for b in (0.9 * a + np.sqrt(1 - 0.81) * side, side)]
+    most = lattice_dedup.most_differing(0.9)
+    assert (differ[0] <= most).all() and (differ[1] <= most).mean() < 0.002
+
+
+def test_lattice_links_of_turned_vectors(spark, sf_dir):
+    """The given vectors and copies turned by small angles: recall against brute force."""
+    given = [r.embedding for r in read_table(spark, sf_dir, "embeddings").orderBy("vec_id").select("embedding").collect() if r.embedding]
+    rng = np.random.default_rng(8)
+    x = np.array(given[:400], dtype=float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    turned = np.concatenate([x] + [x + rng.normal(size=x.shape) * s / np.sqrt(x.shape[1]) for s in (0.1, 0.3, 0.45)])
+    unit = turned / np.linalg.norm(turned, axis=1, keepdims=True)
+    exact = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(turned)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in lattice_links(rows).collect()}
+    assert len(found) == len(turned) and exact.sum() > 1_000
+    assert all(found[i] <= n for i, n in enumerate(exact))
+    assert sum(found.values()) >= 0.98 * exact.sum()
+
+
+def test_lattice_links_of_one_id_on_many_vectors(spark):
+    """Different vectors under one vec_id are vectors of their own among the links, also where they meet in many cells."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=16)
+    near_ = [(base + rng.normal(size=16) * 0.01).tolist() for _ in range(5)]
+    rows = [(1, near_[0]), (1, near_[1]), (2, near_[2]), (2, near_[2]), (3, near_[3]), (4, rng.normal(size=16).tolist())]
+    found = lattice_links(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    links = {(r.vec_id, r.n_links, r.component_id) for r in found}
+    assert len(found) == 6 and {(2, 4, 1), (3, 4, 1), (4, 0, 4)} <= links
