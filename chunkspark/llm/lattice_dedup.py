@@ -32,7 +32,7 @@ from chunkspark.session import read_table
 TABLES, HALVES, WIDTH = 8, 2, 0.85
 COSINE = 0.9
 BLOCK = 512
-SIGNS = 128
+SIGNS = 256
 GROUP = ("cell", "_a", "_b")
 PLACED = "cell long, _a int, _b int, _own int, at long"
 
