@@ -40,6 +40,7 @@ class PartitionSpec:
     order        order of the rows inside a partition
     key          column that makes the order total; without one all columns do
     task_bytes   chunk bytes of rows one task may take
+    input_bytes  chunk bytes of all rows where they are known, so that the input need not be read for them
     """
 
     partitions: int
@@ -47,6 +48,7 @@ class PartitionSpec:
     order: tuple[str, ...] = ()
     key: str | None = None
     task_bytes: int = 512 << 20
+    input_bytes: int | None = None
 
     def __post_init__(self):
         if self.partitions <= 0:
@@ -187,7 +189,8 @@ def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
     Only an input that fits one task as a whole is moved as it is. Any other is frozen first, for its
     totals, its ranges and its rows are separate reads, and a query need not repeat itself.
     """
-    if _fits(df, spec.task_bytes):
+    known = spec.input_bytes
+    if _fits(df, spec.task_bytes) if known is None else known <= spec.task_bytes:
         return [_place_whole(df, spec)]
     columns = [quoted(c) for c in df.columns]
     rows = frozen_rows(df)

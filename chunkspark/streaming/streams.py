@@ -4,6 +4,9 @@ Every batch replaces its own ``batch_id=`` folder, so a batch that is run again
 after a failure leaves the same rows, not twice as many. A sink belongs to the query,
 that is to the checkpoint, that first delivered to it; another is refused.
 
+The source is read once per batch: a batch to be packed is written aside as it comes, counted while it is written, and packed
+from there. The copy goes when the batch is delivered; a batch that is run again replaces what a lost session left of it.
+
 A sink is a folder, or a table of the catalog. A table keeps a ledger in its properties: the query that loads it, the
 last batch that is in it whole, and the rows loaded so far. A batch is written to its own partition, then entered; one that is run again
 is passed over when it is entered, and replaces its partition when it is not.
@@ -13,15 +16,16 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from chunkspark.functions.types import quoted
+from chunkspark.functions.types import check_supported, quoted, row_bytes
 from chunkspark.operators.chunks import pack_chunks
 from chunkspark.operators.partition import PartitionSpec
+from chunkspark.session import shared_dir
 from chunkspark.sources.positional import map_positional
 from chunkspark.sources.results import quote_name
 
@@ -44,17 +48,23 @@ def read_stream(
 
 
 def _deliver(
-    stream: DataFrame, sink: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], available_now: bool,
+    stream: DataFrame, sink: str, checkpoint: str, work: Callable[[DataFrame, str | None], DataFrame], available_now: bool,
 ) -> StreamingQuery:
     if not stream.isStreaming:
         raise ValueError("stream_chunks and stream_load take a streaming DataFrame")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        _claim(batch.sparkSession, sink)
-        work(batch).write.mode("overwrite").parquet(f"{sink}/{BATCH_ID}={batch_id}")
+        spark = batch.sparkSession
+        _claim(spark, sink)
+        aside = f"{shared_dir(spark)}/stream/{_query_id(spark)}-{batch_id}"
+        try:
+            work(batch, aside).write.mode("overwrite").parquet(f"{sink}/{BATCH_ID}={batch_id}")
+        finally:
+            files, place = _file(spark, aside)
+            files.delete(place, True)
 
     # What an empty input makes tells the schema before there is a batch.
-    shape = work(stream.sparkSession.createDataFrame([], stream.schema)).schema
+    shape = work(stream.sparkSession.createDataFrame([], stream.schema), None).schema
     _write_text(stream.sparkSession, f"{sink}/{SCHEMA}", shape.json())
     return _started(stream, run, checkpoint, available_now)
 
@@ -102,11 +112,29 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
     target.close()
 
 
+def _set_aside(batch: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """A batch written to ``path`` in one pass, and the bytes of its rows, told by that pass."""
+    spark, seen = batch.sparkSession, Observation()
+    batch.observe(seen, F.sum(row_bytes(batch.schema)).alias("bytes")).write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(batch.schema).parquet(path)
+    try:
+        return rows, seen.get["bytes"] or 0
+    except Py4JJavaError:
+        # An input the optimizer finds empty takes the observation away with it.
+        return rows, rows.agg(F.sum(row_bytes(rows.schema))).first()[0] or 0
+
+
 def stream_chunks(
     stream: DataFrame, spec: PartitionSpec, chunk_bytes: int, sink: str, checkpoint: str, available_now: bool = True,
 ) -> StreamingQuery:
     """Deliver a stream as chunks, numbered by (batch, partition, chunk)."""
-    return _deliver(stream, sink, checkpoint, lambda batch: pack_chunks(batch, spec, chunk_bytes), available_now)
+    check_supported(stream.schema)
+
+    def work(batch: DataFrame, aside: str | None) -> DataFrame:
+        rows, size = (batch, 0) if aside is None else _set_aside(batch, aside)
+        return pack_chunks(rows, replace(spec, input_bytes=size), chunk_bytes)
+
+    return _deliver(stream, sink, checkpoint, work, available_now)
 
 
 def stream_load(
@@ -114,7 +142,7 @@ def stream_load(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Load a stream; ``mapping`` computes the target columns (see map_positional)."""
-    return _deliver(stream, sink, checkpoint, mapping or (lambda batch: batch), available_now)
+    return _deliver(stream, sink, checkpoint, lambda batch, aside: mapping(batch) if mapping else batch, available_now)
 
 
 def read_delivered(spark: SparkSession, sink: str) -> DataFrame:
