@@ -123,18 +123,28 @@ def sets_of(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def deeper(docs: DataFrame, holders: Shared, split: list[Shared], words: int = WORDS) -> DataFrame:
-    """(doc_id, node) one depth further for the documents in large nodes."""
+    """(doc_id, node) one depth further for the documents in large nodes, where a node may hold several sets.
+
+    Most children of texts that share little hold one set, so children are counted first, in a sketch, and only those
+    that may be shared are named: a second look at the texts of large nodes instead of a table of all children.
+    """
+    known = Words()
+
+    def named(batch):
+        batch = batch.filter(batch.column("doc_id").is_valid())
+        batch = batch.filter(pa.array(holders.test(np.asarray(batch.column("doc_id"), dtype=np.int64).view(np.uint64))))
+        for doc_id, text in zip(batch.column("doc_id").to_numpy(), batch.column("text")):
+            tokens = shingles(text.as_py(), known, words)
+            yield doc_id, _nodes(tokens, split) if len(tokens) else tokens
+
+    shared = shared_keys(docs, lambda batch: (nodes for _, nodes in named(batch)), NODE_BITS)
+
     def run(batches):
-        known = Words()
         for batch in batches:
-            batch = batch.filter(batch.column("doc_id").is_valid())
-            batch = batch.filter(pa.array(holders.test(np.asarray(batch.column("doc_id"), dtype=np.int64).view(np.uint64))))
-            ids, found = batch.column("doc_id").to_numpy(), []
-            for text in batch.column("text"):
-                tokens = shingles(text.as_py(), known, words)
-                found.append(_nodes(tokens, split) if len(tokens) else tokens)
+            found = [(doc_id, nodes[shared.test(nodes)]) for doc_id, nodes in named(batch)]
             if found:
-                yield pa.record_batch({"doc_id": pa.array(np.repeat(ids, [len(f) for f in found])), "node": pa.array(np.concatenate(found).view(np.int64))})
+                ids = np.repeat([doc_id for doc_id, _ in found], [len(nodes) for _, nodes in found])
+                yield pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "node": pa.array(np.concatenate([nodes for _, nodes in found]).view(np.int64))})
 
     return docs.mapInArrow(run, "doc_id long, node long")
 
@@ -192,23 +202,11 @@ def buckets(docs: DataFrame, vertices: DataFrame, words: int = WORDS) -> DataFra
             break
         split.append(shared_keys(large, _keys("node"), NODE_BITS, times=2))
         holders = shared_keys(now.join(large, "node", "left_semi").select("doc_id").distinct(), _keys("doc_id"), DOC_BITS, times=2)
-        now = _shared_nodes(stored(deeper(docs, holders, list(split), words), "children")).join(vertices.select("doc_id"), "doc_id", "left_semi")
+        now = deeper(docs, holders, list(split), words).join(vertices.select("doc_id"), "doc_id", "left_semi")
     # A node may be listed at two depths where a filter let it pass.
     return out.distinct()
 
 
-def _shared_nodes(children: DataFrame) -> DataFrame:
-    """Rows of (doc_id, node) whose node may hold several sets; most children of texts that share little hold one."""
-    shared = shared_keys(children, _keys("node"), NODE_BITS)
-
-    def several(batches):
-        for batch in batches:
-            nodes = np.asarray(batch.column("node"), dtype=np.int64).view(np.uint64)
-            yield batch.filter(pa.array(shared.test(nodes)))
-
-    return children.mapInArrow(several, children.schema)
-
-
 def _candidates(group: pa.Table, starts: np.ndarray, marks: np.ndarray):
     """Pairs of a table of groups that may be alike and are judged in this node."""
     own, size = group.column("_own").to_numpy(), group.column("size").to_numpy().astype(np.int64)
