@@ -5,7 +5,9 @@ the open one. Equal rows make that a division. Otherwise sizes are walked in
 order. A partition that spans several blocks is still packed exactly, without
 walking it in one task: each block first states, for every amount of room it could
 be entered with, what it leaves behind; those short statements are chained per
-partition; then all blocks are packed at once from their known entries.
+partition; then all blocks are packed at once from their known entries. Where chunks
+are large, statements stay short because only some rows can open one: every chunk
+is full but for less than the widest row, so the n-th opens in a narrow window of bytes.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from chunkspark.functions.types import check_supported, fixed_row_bytes, quoted, row_bytes
 from chunkspark.operators.partition import (
@@ -91,7 +93,9 @@ def _pack_placed(placed: Placed, spec: PartitionSpec, limit: int) -> DataFrame:
     if not placed.split:
         return _pack_in_order(placed.df, limit)
     rows = freeze_blocks(placed)
-    entries = _block_entries(rows, limit, placed.tasks)
+    # Placing makes two tasks of every ``task_bytes``.
+    windowed = limit > spec.task_bytes // 2 // STATED_SHARE
+    entries = _block_entries(_with_starts(rows, placed.tasks, spec.partitions) if windowed else rows, limit, placed.tasks)
     joined = join_blocks(rows, entries, placed.tasks, spec.partitions)
     return _pack_in_order(joined, limit).drop(AT)
 
@@ -171,11 +175,26 @@ def _pack_in_order(df: DataFrame, limit: int) -> DataFrame:
 SPAN = "_span"
 # Blocks whose statements one task may chain for a partition.
 CHAINED_BLOCKS = 2_000
+# Chunks above this share of a block are worth a pass over block sums for shorter statements.
+STATED_SHARE = 64
+# Bytes of the partition before a block, and its widest row up to the block's end.
+START, WIDEST = "_start", "_widest"
 
 _STATED = "rows long, bytes long, before array<long>, opened array<long>, left array<long>"
 _ENTERED = ", ".join(f"{c} long" for c in ENTRY)
 
 
+def _with_starts(rows: DataFrame, tasks: int, partitions: int) -> DataFrame:
+    """Frozen rows with what their block begins with; one row per block is summed and joined back."""
+    totals = rows.groupBy(PARTITION_ID, BLOCK).agg(F.sum(ROW_BYTES).alias("_bytes"), F.max(ROW_BYTES).alias(WIDEST))
+    through = Window.partitionBy(PARTITION_ID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = totals.select(
+        PARTITION_ID, BLOCK,
+        (F.sum("_bytes").over(through) - F.col("_bytes")).alias(START), F.max(WIDEST).over(through).alias(WIDEST),
+    )
+    return join_blocks(rows.select(PARTITION_ID, BLOCK, ROW_BYTES, AT), starts, tasks, partitions)
+
+
 def _block_entries(rows: DataFrame, limit: int, blocks: int) -> DataFrame:
     """State in which packing enters every (partition, block).
 
@@ -183,8 +202,10 @@ def _block_entries(rows: DataFrame, limit: int, blocks: int) -> DataFrame:
     blocks that is done in spans: each span is joined to one statement, those are
     chained, and then every span is chained inside from its own entry.
     """
-    stated = rows.select(PARTITION_ID, BLOCK, ROW_BYTES).mapInArrow(
-        _summarise(limit), f"{PARTITION_ID} long, {BLOCK} long, {_STATED}"
+    windowed = START in rows.columns
+    columns = [PARTITION_ID, BLOCK, ROW_BYTES, *([START, WIDEST] if windowed else [])]
+    stated = rows.select(*columns).mapInArrow(
+        _summarise(limit, windowed), f"{PARTITION_ID} long, {BLOCK} long, {_STATED}"
     )
     if blocks <= CHAINED_BLOCKS:
         return _chained(stated, [PARTITION_ID], BLOCK, limit)
@@ -212,18 +233,32 @@ def _chained(stated: DataFrame, group: list[str], step: str, limit: int) -> Data
 # A statement about a stretch of rows: its rows and bytes, and for each row that may
 # open its first new chunk the bytes before that row, the chunks opened from there
 # on, and the bytes left in the last one. Those rows lie within the first chunk's
-# bytes, and neighbours with one outcome are stated once.
+# bytes, and neighbours with one outcome are stated once. Rows known to open no chunk
+# may be left out, for no entry that occurs leads to them; the first is always stated,
+# so that every entry finds a row.
 _LISTS = ("before", "opened", "left")
 
 
-def _statement(sizes: np.ndarray, limit: int) -> dict:
+def _openers(before: np.ndarray, widest: int, limit: int) -> np.ndarray:
+    """Which rows can open a chunk, by the bytes of their partition before them.
+
+    A chunk is closed by a row that does not fit, so each holds more than ``limit - widest`` bytes: chunk n
+    opens between ``n * (limit - widest + 1)`` and ``n * limit``. The widest row is that of the rows so far.
+    """
+    chunk = -(-before // limit)
+    return chunk * (limit - widest + 1) <= before
+
+
+def _statement(sizes: np.ndarray, limit: int, openers: np.ndarray | None = None) -> dict:
     ends = np.concatenate(([0], np.cumsum(sizes)))
     follow = _next_starts(ends, limit)
     count = len(sizes)
     first = np.arange(min(int(follow[0]) + 1, count))
+    if openers is not None:
+        first = first[openers[first] | (first == 0)]
     # Row each distinct walk stands on, and the walk each first row takes. Walks
     # that meet go on as one.
-    at, member = first, first
+    at, member = first, np.arange(len(first))
     opened = np.ones(len(first), np.int64)
     going = follow[at] < count
     while going.any():
@@ -289,15 +324,23 @@ def _folded(statements, names: list[str], limit: int):
         yield row()
 
 
-def _summarise(limit: int):
+def _summarise(limit: int, windowed: bool):
     """Statements of blocks, batch by batch."""
     def stated(batches):
+        current, before = None, 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             ids, blocks, sizes = (_ints(batch, c) for c in (PARTITION_ID, BLOCK, ROW_BYTES))
             for start, stop in _runs(ids, blocks):
-                yield (int(ids[start]), int(blocks[start])), _statement(sizes[start:stop], limit)
+                key, openers = (int(ids[start]), int(blocks[start])), None
+                if windowed:
+                    if key != current:
+                        current, before = key, batch.column(START)[start].as_py()
+                    ends = before + np.cumsum(sizes[start:stop])
+                    openers = _openers(ends - sizes[start:stop], batch.column(WIDEST)[start].as_py(), limit)
+                    before = int(ends[-1])
+                yield key, _statement(sizes[start:stop], limit, openers)
 
     return lambda batches: _folded(stated(batches), [PARTITION_ID, BLOCK], limit)
 

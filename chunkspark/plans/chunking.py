@@ -21,6 +21,7 @@ from chunkspark.sources.results import materialize_result
 
 LINEITEM_SPEC = PartitionSpec(64, ("l_suppkey",), ("l_shipdate", "l_orderkey", "l_linenumber"))
 LINEITEM_CHUNK = 8192
+LARGE_CHUNK = 1 << 17
 _LINEITEM_KEYS = "l_shipdate, l_orderkey, l_linenumber"
 _LINEITEM_REST = (
     "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
@@ -111,6 +112,20 @@ def pack_split_partition(spark, sf_dir):
     return pack_chunks(rows, spec, ORDERS_CHUNK, keep=["o_orderkey"])
 
 
+@query(
+    "pack_chunks_large_chunk",
+    packed(
+        placed("orders", ORDERS_COLUMNS, partition_number([key_text("o_orderstatus", "text")], 8),
+               "o_orderdate, o_orderkey", ORDERS_BYTES),
+        LARGE_CHUNK,
+    ) + f"SELECT {ORDERS_COLUMNS}, partition_id, row_pos, chunk_id, row_bytes FROM packed",
+)
+def pack_large_chunk(spark, sf_dir):
+    """Chunks that span about four blocks each, whatever the size of the table."""
+    spec = PartitionSpec(8, ("o_orderstatus",), ("o_orderdate",), "o_orderkey", LARGE_CHUNK // 2)
+    return pack_chunks(orders(spark, sf_dir), spec, LARGE_CHUNK)
+
+
 def _stored_chunks(spark, sf_dir):
     name = new_name("orders_chunks")
     return materialize_result(

@@ -12,7 +12,7 @@ from chunkspark import (
     ChunkTooSmallError, PartitionSpec, chunk_index, compare_passes, order_violations, pack_chunks,
 )
 from chunkspark.operators import chunks
-from chunkspark.operators.chunks import _after, _pass, _statement, _walk
+from chunkspark.operators.chunks import _after, _openers, _pass, _statement, _walk
 
 SPEC = PartitionSpec(3, ("i1",), ("i1", "d1"), "row_id")
 
@@ -143,9 +143,49 @@ def test_joined_statements_hold_for_every_entry(stretches, limit):
     assert_holds(joined, np.array(sum(stretches, [])), limit)
 
 
+def windowed(blocks, limit):
+    """A statement for each block of a partition, of the rows that can open a chunk."""
+    out, before, widest = [], 0, 0
+    for sizes in map(np.array, blocks):
+        widest = max(widest, int(sizes.max()))
+        out.append(_statement(sizes, limit, _openers(before + np.cumsum(sizes) - sizes, widest, limit)))
+        before += int(sizes.sum())
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 20), min_size=1, max_size=30), min_size=1, max_size=8), st.integers(20, 300), st.integers(1, 4))
+def test_statements_of_openers_chain_like_the_walk(blocks, limit, span):
+    """Blocks one by one, and blocks joined to spans."""
+    statements = windowed(blocks, limit)
+    joined = []
+    for at in range(0, len(blocks), span):
+        held = statements[at]
+        for more in statements[at + 1: at + span]:
+            held = _after(held, more, limit)
+        joined.append(held)
+    for told, length in ((statements, 1), (joined, span)):
+        chunk, used, sizes = -1, limit, []
+        for i, statement in enumerate(told):
+            opened, used = (int(v) for v in _pass(statement, used, limit))
+            chunk += opened
+            sizes += sum(blocks[i * length: (i + 1) * length], [])
+            found, left = greedy(sizes, limit)
+            assert (chunk, used) == (found[-1], left)
+
+
+def test_statements_do_not_grow_with_the_chunk():
+    blocks = np.random.default_rng(3).integers(40, 200, (40, 5_000))
+    stated = {limit: sum(len(s["before"]) for s in windowed(blocks, limit)) for limit in (1 << 19, 1 << 21, 1 << 23)}
+    # All rows that can open a block's first chunk would be about 175,000 with either of the larger chunks.
+    assert sorted(stated.values(), reverse=True) == list(stated.values()) and stated[1 << 19] < 3_000
+
+
+@pytest.mark.parametrize("share", [1, 64])
 @pytest.mark.parametrize("text", ["repeat('q', cast(id % 13 as int))", "'same'"])
-def test_blocks_chained_in_spans(spark, monkeypatch, text):
+def test_blocks_chained_in_spans(spark, monkeypatch, text, share):
     monkeypatch.setattr(chunks, "CHAINED_BLOCKS", 3)
+    monkeypatch.setattr(chunks, "STATED_SHARE", share)
     rows = spark.range(3_000).select("id", F.expr(text).alias("t"))
     for limit in (60, 333, 30_000):
         assert_greedy(pack_chunks(rows, PartitionSpec(2, (), ("id",), "id", 4_000), limit), limit)
