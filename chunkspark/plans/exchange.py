@@ -19,7 +19,7 @@ INT32_MIN = "CAST(-2147483648 AS INTEGER)"
 ORDERS_WITH_NULLS = """o_orderkey, nullif(o_custkey, 7) AS o_custkey, nullif(o_orderstatus, 'P') AS o_orderstatus,
     CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_totalprice END AS o_totalprice,
     CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE o_orderdate END AS o_orderdate,
-    CASE WHEN o_orderpriority LIKE '2%' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_day"""
+    CASE WHEN o_orderpriority LIKE '2%' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_day, o_orderpriority"""
 
 
 def _orders_with_nulls(spark, sf_dir):
@@ -33,7 +33,7 @@ def _orders_with_nulls(spark, sf_dir):
     f"""SELECT o_orderkey, coalesce(o_custkey, {INT64_MIN}) AS o_custkey,
         coalesce(hex(o_orderstatus), '') AS o_orderstatus, o_totalprice IS NULL AS price_is_null,
         coalesce(o_totalprice, -1.0) AS o_totalprice, coalesce({micros('o_orderdate')}, {INT64_MIN}) AS o_orderdate,
-        coalesce({days('o_day')}, {INT32_MIN}) AS o_day FROM (SELECT {ORDERS_WITH_NULLS} FROM orders)""",
+        coalesce({days('o_day')}, {INT32_MIN}) AS o_day, hex(o_orderpriority) AS o_orderpriority FROM (SELECT {ORDERS_WITH_NULLS} FROM orders)""",
 )
 def encode(spark, sf_dir):
     """NaN and bytes are shown in a form every engine prints alike."""
@@ -41,7 +41,7 @@ def encode(spark, sf_dir):
     return encoded.select(
         "o_orderkey", "o_custkey", F.hex("o_orderstatus").alias("o_orderstatus"),
         F.isnan("o_totalprice").alias("price_is_null"), F.nanvl("o_totalprice", F.lit(-1.0)).alias("o_totalprice"),
-        "o_orderdate", "o_day",
+        "o_orderdate", "o_day", F.hex("o_orderpriority").alias("o_orderpriority"),
     )
 
 
@@ -57,7 +57,7 @@ FIXED_FIELDS = (char_field("segment", 10), char_field("latin", 11, "latin1"), bi
 
 def _customer_fixed(spark, sf_dir):
     rows = read_table(spark, sf_dir, "customer").select(
-        "c_custkey",
+        "c_custkey", "c_nationkey", "c_acctbal",
         F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("segment"),
         F.col("c_mktsegment").alias("latin"),
         F.col("c_name").cast("binary").alias("name"),
@@ -67,7 +67,7 @@ def _customer_fixed(spark, sf_dir):
 
 @query(
     "encode_fixed_width",
-    """SELECT c_custkey,
+    """SELECT c_custkey, c_nationkey, c_acctbal,
         CASE WHEN c_mktsegment = 'MACHINERY' THEN repeat('00', 40)
              ELSE hex(c_mktsegment) || repeat('20', CAST(40 - strlen(c_mktsegment) AS BIGINT)) END AS segment,
         hex(c_mktsegment) || repeat('20', CAST(40 - strlen(c_mktsegment) AS BIGINT)) AS latin,
@@ -75,12 +75,12 @@ def _customer_fixed(spark, sf_dir):
 )
 def encode_fixed(spark, sf_dir):
     encoded = encode_table(_customer_fixed(spark, sf_dir))
-    return encoded.select("c_custkey", *[F.hex(c).alias(c) for c in ("segment", "latin", "name")])
+    return encoded.select("c_custkey", "c_nationkey", "c_acctbal", *[F.hex(c).alias(c) for c in ("segment", "latin", "name")])
 
 
 @query(
     "decode_fixed_width",
-    """SELECT c_custkey, nullif(c_mktsegment, 'MACHINERY') AS segment, c_mktsegment AS latin,
+    """SELECT c_custkey, c_nationkey, c_acctbal, nullif(c_mktsegment, 'MACHINERY') AS segment, c_mktsegment AS latin,
         hex(c_name) || repeat('00', CAST(20 - strlen(c_name) AS BIGINT)) AS name FROM customer""",
 )
 def decode_fixed(spark, sf_dir):
@@ -156,10 +156,13 @@ def tsv_values(spark, sf_dir):
 
 @query(
     "tsv_round_trip_times",
-    f"""SELECT event_id, {_SIGNED} AS micros, ts, CAST(ts AS DATE) AS day, event_type, value FROM events""",
+    f"""SELECT event_id, {_SIGNED} AS micros, ts, CAST(ts AS DATE) AS day, user_id, event_type, value,
+        nullif(props, '') AS props FROM events""",
 )
 def tsv_times(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "events").selectExpr("event_id", "ts", "CAST(ts AS DATE) AS day", "event_type", "value")
+    rows = read_table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "CAST(ts AS DATE) AS day", "user_id", "event_type", "value", "props"
+    )
     rows = rows.join(_event_times(spark, sf_dir), "event_id")
     return _through_tsv(spark, with_fields(rows, time_field("micros")), "events_tsv")
 

@@ -119,27 +119,26 @@ def auto(spark, sf_dir):
 
 @query(
     "partition_null_keys",
-    f"""SELECT o_orderkey, status, o_totalprice, o_orderdate, {NULLABLE_NUMBER} AS partition_id
-        FROM (SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, o_totalprice, o_orderdate FROM orders)""",
+    f"""SELECT o_orderkey, o_custkey, status, o_totalprice, o_orderdate, o_orderpriority, {NULLABLE_NUMBER} AS partition_id
+        FROM (SELECT *, nullif(o_orderstatus, 'P') AS status FROM orders)""",
 )
 def null_keys(spark, sf_dir):
     rows = orders(spark, sf_dir).selectExpr(
-        "o_orderkey", "nullif(o_orderstatus, 'P') AS status", "o_totalprice", "o_orderdate"
+        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') AS status", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     return partition_result(rows, NULLABLE)
 
 
 @query(
     "partition_few_values",
-    "SELECT o_orderstatus, partition_id, row_pos, o_orderkey FROM ("
-    + placed("orders", "o_orderkey, o_orderstatus", partition_number([key_text("o_orderstatus", "text")], 8),
+    f"SELECT {ORDERS_COLUMNS}, partition_id, row_pos FROM ("
+    + placed("orders", ORDERS_COLUMNS, partition_number([key_text("o_orderstatus", "text")], 8),
              "o_orderstatus, o_orderkey") + ")",
 )
 def few_values(spark, sf_dir):
     """Three values only: a partition holds half of the table."""
-    rows = orders(spark, sf_dir).select("o_orderkey", "o_orderstatus")
     spec = PartitionSpec(8, ("o_orderstatus",), ("o_orderstatus",), "o_orderkey")
-    return with_row_pos(rows, spec)
+    return with_row_pos(orders(spark, sf_dir), spec)
 
 
 @query(
@@ -205,14 +204,14 @@ def in_place(spark, sf_dir):
 
 @query(
     "partition_arrays",
-    f"""SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dimensions,
+    f"""SELECT vec_id, label, array_to_string([CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT) for x in embedding], ',') AS embedding,
         {partition_number([key_text('label')], 8)} AS partition_id FROM embeddings""",
 )
 def arrays(spark, sf_dir):
-    """Columns without an exchange form are carried along."""
+    """Columns without an exchange form are carried along; vectors are shown in millionths, alike in every engine."""
     rows = partition_result(read_table(spark, sf_dir, "embeddings"), PartitionSpec(8, ("label",), ("label",), "vec_id"))
-    dimensions = F.size("embedding").cast("long").alias("dimensions")
-    return rows.select("vec_id", "label", dimensions, "partition_id")
+    shown = F.expr("array_join(transform(embedding, x -> cast(floor(cast(x AS double) * 1000000) AS string)), ',')")
+    return rows.select("vec_id", "label", shown.alias("embedding"), "partition_id")
 
 
 @query("read_in_place_buckets", f"SELECT {LINEITEM_COLUMNS} FROM lineitem")
