@@ -257,7 +257,8 @@ def lost_stretches(runs: DataFrame, depth: Depth) -> DataFrame:
     runs = stored(runs, "contested")
     large = runs.groupBy("anchor").agg(F.sum(F.octet_length("run")).alias("n")).filter(F.col("n") > SORTED).select("anchor")
     large = stored(large, "large-anchors")
-    placed = runs.join(large, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
+    # By a hash, since a shuffle by the columns of the join below would be left out of the plan, and that of the join may be read in parts.
+    placed = runs.join(large, "anchor", "left_anti").repartition(F.xxhash64("anchor")).sortWithinPartitions("anchor")
     lost = placed.mapInArrow(_radix(depth.length), LOST_DDL)
     spread = runs.join(large, "anchor", "left_semi").select("doc", "tag", "first", "run").mapInArrow(
         _suffixes(depth.length), "suffix binary, doc long, tag long, first long")

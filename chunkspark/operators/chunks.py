@@ -219,7 +219,12 @@ def _block_entries(rows: DataFrame, limit: int, blocks: int) -> DataFrame:
 
 
 def _ordered(df: DataFrame, group: list[str], step: str) -> DataFrame:
-    return df.repartition(*group).sortWithinPartitions(*group, step)
+    """Groups whole in one task, each in the order of ``step``.
+
+    Placed by a hash of the columns, not by the columns: behind a join on these the plan would go without the second
+    shuffle, and adaptive execution may then read that of the join map by map, which tears groups apart.
+    """
+    return df.repartition(F.xxhash64(*group)).sortWithinPartitions(*group, step)
 
 
 def _chained(stated: DataFrame, group: list[str], step: str, limit: int) -> DataFrame:

@@ -269,7 +269,8 @@ def _entered(lines: DataFrame, begins: DataFrame) -> DataFrame:
     if begins.count() <= BROADCAST_ROWS:
         return lines.join(F.broadcast(begins), ["file", "start"], "left").select("file", "start", entry, "line")
     placed = lines.withColumn("_line", F.monotonically_increasing_id())
-    joined = placed.join(begins, ["file", "start"], "left").repartition("file", "start").sortWithinPartitions("file", "start", "_line")
+    # By a hash, since a shuffle by the columns of the join below would be left out of the plan, and that of the join may be read in parts.
+    joined = placed.join(begins, ["file", "start"], "left").repartition(F.xxhash64("file", "start")).sortWithinPartitions("file", "start", "_line")
     return joined.select("file", "start", entry, "line")
 
 

@@ -191,6 +191,22 @@ def test_blocks_chained_in_spans(spark, monkeypatch, text, share):
         assert_greedy(pack_chunks(rows, PartitionSpec(2, (), ("id",), "id", 4_000), limit), limit)
 
 
+def test_spans_stay_whole_where_a_join_is_adapted(spark, monkeypatch):
+    """A join that adaptive execution turns into a broadcast of the smaller side leaves the other side as its map tasks wrote it."""
+    monkeypatch.setattr(chunks, "CHAINED_BLOCKS", 3)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "20KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "5"}
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(3_000).select("id", F.expr("repeat('q', cast(id % 13 as int))").alias("t"))
+        assert_greedy(pack_chunks(rows, PartitionSpec(2, (), ("id",), "id", 1_000), 333), 333)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_joined_blocks_keep_their_order_without_broadcast(spark, monkeypatch):
     from chunkspark.operators import positions
     monkeypatch.setattr(positions, "BROADCAST_ROWS", 0)
