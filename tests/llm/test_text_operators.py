@@ -233,3 +233,12 @@ def test_events_without_turn_or_place_stay(spark):
     found = chat_format.reconstruct(events).collect()
     assert sorted((r.conv_id, -1 if r.turn is None else r.turn, r.role, r.text) for r in found) == [
         (1, -1, "user", "a"), (1, 1, "assistant", "b"), (2, -1, "user", "c"), (2, 0, "user", "d"), (2, 1, "assistant", "f"), (3, 0, "user", "gh")]
+
+
+def test_bpe_there_and_back_in_one_python_step(spark, texts):
+    path = packing.vocabulary_path("word_bpe_49k.json")
+    want = bpe.decode_documents(bpe.encode_documents(texts, path), path)
+    found = bpe.recode_documents(texts, path)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
+    query = bpe.op2_bpe(spark, "/root/testdata/sf0.001")
+    assert query._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
