@@ -9,7 +9,8 @@ after an escaped newline of a plain one, and only what comes before it tells. So
    blocks, and the heads and tails between them are joined in the order of their blocks.
 
 An input that the scan does not split needs only the second reading. A record is cut into fields here, not by a CSV reader, so it is
-known whether a value was quoted: ``\\N`` is NULL, ``"\\\\N"`` is text.
+known whether a value was quoted: ``\\N`` is NULL, ``"\\\\N"`` is text. Long stretches of simple lines, whole records without escapes,
+are told and cut by column; only what lies between them is walked line by line.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -45,6 +47,8 @@ _ESCAPED = re.compile(rb'\\([\\"\t\n])')
 BROADCAST_ROWS = 1_000_000
 #: Records and bytes of a batch that is handed on.
 ROWS, BYTES = 4096, 4 << 20
+#: Simple lines in a row that are worth being cut by column.
+STRETCH = 64
 
 # Send the functions below with the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -99,6 +103,87 @@ def _plain(value: bytes) -> bytes:
     return _ESCAPED.sub(rb"\1", value) if b"\\" in value else value
 
 
+def _places(data: np.ndarray, character: bytes) -> np.ndarray:
+    return np.flatnonzero(data == ord(character))
+
+
+def simple(lines: pa.Array) -> np.ndarray:
+    """Which lines are whole records if they begin one, for sure: their backslashes stand in values that are the NULL mark,
+    their quotes at both ends of values and nowhere else."""
+    kind = np.int64 if pa.types.is_large_binary(lines.type) else np.int32
+    bounds = np.frombuffer(lines.buffers()[1], kind)[lines.offset: lines.offset + len(lines) + 1].astype(np.int64)
+    first, ok = bounds[0], np.ones(len(lines), bool)
+    if first == bounds[-1]:
+        return ok
+    # A tab stands before each line, so that every value has one on either side.
+    body = np.frombuffer(lines.buffers()[2], np.uint8)[first: bounds[-1]]
+    begins = bounds - first
+    data = np.insert(body, begins, ord(TAB))
+    begins = begins + np.arange(len(begins))
+    tabs = _places(data, TAB)
+
+    def line_of(places):
+        return np.searchsorted(begins, places, side="right") - 1
+
+    marks = _places(data, b"\\")
+    if marks.size:
+        # The byte after a backslash is there: a tab ends the last line.
+        alone = (data[marks - 1] == ord(TAB)) & (data[marks + 1] == ord("N"))
+        alone[alone] = data[marks[alone] + 2] == ord(TAB)
+        ok[line_of(marks[~alone])] = False
+    quotes = _places(data, b'"')
+    if quotes.size:
+        line = line_of(quotes)
+        count = np.bincount(line, minlength=len(ok))
+        ok &= count % 2 == 0
+        nth = np.arange(len(quotes)) - (np.cumsum(count) - count)[line]
+        opening = nth % 2 == 0
+        fits = np.where(opening, data[quotes - 1] == ord(TAB), data[quotes + 1] == ord(TAB))
+        ok[line[~fits]] = False
+        # Both quotes of a value have as many tabs before them.
+        before = np.searchsorted(tabs, quotes)
+        closing = np.flatnonzero(~opening)
+        torn = closing[before[closing] != before[closing - 1]]
+        ok[line[torn]] = False
+    return ok
+
+
+def _stretches(lines: pa.Array) -> Iterator[tuple[pa.Array, bool]]:
+    """Lines in order: stretches of at least STRETCH simple ones, and what lies between them."""
+    if len(lines) < STRETCH:
+        yield lines, False
+        return
+    edges = np.concatenate(([-1], np.flatnonzero(~simple(lines)), [len(lines)]))
+    done = 0
+    for at in np.flatnonzero(np.diff(edges) > STRETCH):
+        a, b = int(edges[at]) + 1, int(edges[at + 1])
+        if done < a:
+            yield lines.slice(done, a - done), False
+        yield lines.slice(a, b - a), True
+        done = b
+    if done < len(lines):
+        yield lines.slice(done), False
+
+
+def _columns(lines: pa.Array, width: int) -> pa.RecordBatch:
+    """Values of simple lines."""
+    counts = pc.count_substring(lines, TAB)
+    if pc.any(pc.not_equal(counts, width - 1)).as_py():
+        record = lines[pc.index(pc.not_equal(counts, width - 1), True).as_py()].as_py()
+        raise MalformedRecordError(f"{record.count(TAB) + 1} values for {width} columns: {record[:40]!r}")
+    values, out = pc.split_pattern(lines, TAB).flatten(), []
+    for i in range(width):
+        column = values.take(pa.array(np.arange(i, len(values), width)))
+        is_quoted = pc.starts_with(column, '"')
+        if pc.any(is_quoted).as_py():
+            column = pc.if_else(is_quoted, pc.binary_slice(column, 1, -1), column)
+            is_null = pc.and_not(pc.equal(column, NULL_MARK), is_quoted)
+        else:
+            is_null = pc.equal(column, NULL_MARK)
+        out.append(pc.if_else(is_null, pa.scalar(None, pa.binary()), column) if pc.any(is_null).as_py() else column)
+    return pa.record_batch(out, names=[f"c{i}" for i in range(width)])
+
+
 def _by_block(batches) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """Rows of one (file, start) each, in order."""
     for batch in batches:
@@ -146,12 +231,20 @@ def _outcomes(batches):
             if at is not None:
                 yield told()
             at, ways = block, [_Way(entry) for entry in (START, QUOTED, PLAIN)]
-        for line in rows_.column(2).to_pylist():
-            known = {}
-            for way in ways:
-                if way.state not in known:
-                    known[way.state] = after(way.state, line)
-                way.take(line, known[way.state])
+        for lines, plain in _stretches(rows_.column(2)):
+            for line in lines if plain else lines.to_pylist():
+                if plain:
+                    if all(way.state == START and not way.in_head for way in ways):
+                        # Whole records for every way: none is left open.
+                        for way in ways:
+                            way.tail = []
+                        break
+                    line = line.as_py()
+                known = {}
+                for way in ways:
+                    if way.state not in known:
+                        known[way.state] = after(way.state, line)
+                    way.take(line, known[way.state])
     if at is not None:
         yield told()
 
@@ -187,17 +280,23 @@ def _cut(width: int, ends: bool = False):
                     unfinished(held)
                     at, state, held = block, rows.column(2)[0].as_py(), []
                     skipping = state != START
-                for line in rows.column(3).to_pylist():
-                    state = after(state, line)
-                    if skipping:
-                        skipping = state != START
-                    elif held or state != START:
-                        held.append(line)
-                        if state == START:
-                            yield b"\n".join(held)
-                            held = []
-                    else:
-                        yield line
+                for lines, plain in _stretches(rows.column(3)):
+                    for i, line in enumerate(lines if plain else lines.to_pylist()):
+                        if plain:
+                            if state == START:
+                                yield lines.slice(i)
+                                break
+                            line = line.as_py()
+                        state = after(state, line)
+                        if skipping:
+                            skipping = state != START
+                        elif held or state != START:
+                            held.append(line)
+                            if state == START:
+                                yield b"\n".join(held)
+                                held = []
+                        else:
+                            yield line
             unfinished(held)
 
         def unfinished(held):
@@ -224,9 +323,16 @@ def _joined(width: int):
     return run
 
 
-def _values(records: Iterator[bytes], width: int) -> Iterator[pa.RecordBatch]:
+def _values(records: Iterator[bytes | pa.Array], width: int) -> Iterator[pa.RecordBatch]:
+    """Values of records, or of stretches of simple lines."""
     names, held, size = [f"c{i}" for i in range(width)], [], 0
     for record in records:
+        if isinstance(record, pa.Array):
+            if held:
+                yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*held)], names=names)
+                held, size = [], 0
+            yield _columns(record, width)
+            continue
         row = fields(record)
         if len(row) != width:
             raise MalformedRecordError(f"{len(row)} values for {width} columns: {record[:40]!r}")

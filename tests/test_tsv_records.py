@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -127,3 +128,41 @@ def test_instants_are_written_in_utc(spark, tmp_path):
         assert same(import_tsv(spark, f"{tmp_path}/t", rows.schema).select(F.unix_micros("at")), rows.select(F.unix_micros("at")))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def block_of(lines, *more):
+    columns = [pa.array([7] * len(lines)), pa.array([0] * len(lines)), *more, pa.array(lines, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=[f"x{i}" for i in range(len(columns))])
+
+
+def test_simple_lines_are_whole_records():
+    draw = random.Random(11)
+    values = [b"1", b"\\N", b'"a b"', b'""', b"", b'"\\N"', b"\\", b'"', b'a"', b'"a"b', b'"a""', b"\\Nx", b"x\\N"]
+    for _ in range(300):
+        lines = [b"\t".join(draw.choice(values[: draw.choice((5, 13))]) for _ in range(3)) for _ in range(100)]
+        told = tsv_records.simple(pa.array([b'"', *lines, b"\\"], pa.binary()).slice(1, 100))
+        for ok, line in zip(told, lines):
+            assert after(START, line) == START if ok else not set(line.split(b"\t")) <= set(values[:5])
+        whole = [line for ok, line in zip(told, lines) if ok]
+        found = tsv_records._columns(pa.array(whole, pa.binary()), 3)
+        assert [list(r.values()) for r in found.to_pylist()] == [fields(line) for line in whole]
+
+
+def test_stretches_of_simple_lines_are_not_walked(monkeypatch):
+    lines = [b'%d\t"a"\t\\N' % i for i in range(1_000)]
+    want = [[b"%d" % i, b"a", None] for i in range(1_000)]
+    walked = []
+    monkeypatch.setattr(tsv_records, "after", lambda state, line: walked.append(line) or after(state, line))
+    told = [r for batch in tsv_records._outcomes([block_of(lines)]) for r in batch.to_pylist()]
+    # Two lines at most until the ways meet, each under the ways that differ.
+    assert len(walked) < 10 and [r["exit"] for r in told] == [START] * 3
+    assert [r["head"] for r in told] == [None, lines[0], lines[0]] and not any(r["tail"] for r in told)
+    walked.clear()
+    cut = [list(r.values()) for batch in tsv_records._cut(3)([block_of(lines, pa.array([START] * 1_000))]) for r in batch.to_pylist()]
+    assert not walked and cut == want
+    # An open value, and its end, between two stretches; the rows stay in order.
+    mixed = [*lines[:500], b'5\t"x', b'y"\t7', *lines[500:]]
+    cut = [list(r.values()) for batch in tsv_records._cut(3)([block_of(mixed, pa.array([START] * 1_002))]) for r in batch.to_pylist()]
+    assert cut == [*want[:500], [b"5", b"x\ny", b"7"], *want[500:]]
+    with pytest.raises(MalformedRecordError, match="2 values for 3"):
+        list(tsv_records._cut(3)([block_of([*lines, b"1\t2"] + lines, pa.array([START] * 2_001))]))
