@@ -136,12 +136,10 @@ _MARKS = """CASE {key} % 6 WHEN 0 THEN {n} WHEN 1 THEN {b} || {n} WHEN 2 THEN {q
     + ", '') AS text, lang, source, n_chars FROM documents",
 )
 def tsv_null_mark(spark, sf_dir):
-    """Texts that read like NULL, and texts with escapes, quotes, tabs and newlines, in one file that many tasks read."""
+    """Texts that read like NULL, and texts with escapes, quotes, tabs and newlines. Every task writes its own file, and many tasks read one."""
     marks = _MARKS.format(key="doc_id", n=r"'\\N'", b=r"'\\'", q="'\"'", t="chr(9)", l="chr(10)").replace("\n", " ")
     rows = read_table(spark, sf_dir, "documents").withColumn("text", F.expr(marks))
-    path = scratch(spark, new_name("marked_tsv"))
-    export_tsv(rows.coalesce(1), path)
-    return import_tsv(spark, path, rows.schema)
+    return _through_tsv(spark, rows, "marked_tsv")
 
 
 @query("tsv_round_trip_pages", "SELECT page_id, url, nullif(html, '') AS html FROM pages")

@@ -166,3 +166,19 @@ def test_stretches_of_simple_lines_are_not_walked(monkeypatch):
     assert cut == [*want[:500], [b"5", b"x\ny", b"7"], *want[500:]]
     with pytest.raises(MalformedRecordError, match="2 values for 3"):
         list(tsv_records._cut(3)([block_of([*lines, b"1\t2"] + lines, pa.array([START] * 2_001))]))
+
+
+def test_marked_texts_are_written_by_as_many_tasks_as_read_them(spark, sf_dir, tmp_path, monkeypatch):
+    from chunkspark.plans import exchange
+    written = []
+    monkeypatch.setattr(exchange, "export_tsv", lambda rows, path: written.append((rows.rdd.getNumPartitions(), export_tsv(rows, path))))
+    monkeypatch.setattr(exchange, "read_table", lambda spark, sf, name: spark.read.parquet(f"{tmp_path}/{name}"))
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents.repartition(6).write.parquet(f"{tmp_path}/documents")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", 1 << 30)
+    try:
+        found = exchange.tsv_null_mark(spark, sf_dir)
+        assert written[0][0] == 6 and found.count() == documents.count()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
