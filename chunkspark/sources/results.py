@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from chunkspark.functions.types import quoted
 from chunkspark.operators.chunks import pack_chunks
@@ -16,6 +16,8 @@ from chunkspark.session import checkpointed
 
 STORED_HERE = "chunkspark.stored"
 SNAPSHOT, STORED, IN_PLACE = "snapshot", "stored", "in_place"
+# Nothing reads a bucket's files in one order, so a task may store less of it than it may hold.
+SHARES = 4
 
 
 def run_query(spark: SparkSession, sql: str) -> DataFrame:
@@ -56,11 +58,12 @@ def materialize_result(
             raise ValueError("a bucketed result needs partition columns")
         by = list(spec.by)
         bucket = F.pmod(F.hash(*[quoted(c) for c in by]), F.lit(spec.partitions)).cast("long")
-        # One file per bucket while buckets fit a task; a hot one gets as many files as it needs tasks.
-        if partitions_fit(rows.withColumn(PARTITION_ID, bucket), spec.task_bytes):
+        # One file per bucket while buckets are small; others get a file for each share, sorted by a task of its own.
+        share = max(1, spec.task_bytes // SHARES)
+        if partitions_fit(rows.withColumn(PARTITION_ID, bucket), share):
             rows = rows.repartition(spec.partitions, *[quoted(c) for c in by])
         else:
-            rows = _salted(check_names(rows), bucket, spec.task_bytes)
+            rows = _salted(check_names(rows), bucket, share)
         order = spec_sort_key(rows, spec)
         writer = rows.write.bucketBy(spec.partitions, by[0], *by[1:]).sortBy(order[0], *order[1:])
     else:
@@ -73,14 +76,19 @@ def materialize_result(
     return spark.table(quote_name(name))
 
 
-def _salted(rows: DataFrame, bucket, task_bytes: int) -> DataFrame:
-    """Rows in one task per bucket and ``task_bytes`` of it."""
+def _salted(rows: DataFrame, bucket, share: int) -> DataFrame:
+    """Rows in one task per bucket and ``share`` bytes of it. Tasks are numbered along the buckets, for a hash would put several shares into one."""
     numbered = rows.withColumn(PARTITION_ID, bucket)
-    needed = F.ceil(F.sum(accounted_bytes(numbered)) / task_bytes).cast("int")
+    needed = F.ceil(F.sum(accounted_bytes(numbered)) / share).cast("int")
     sizes = numbered.groupBy(PARTITION_ID).agg(needed.alias("_used"))
+    # One row per bucket.
+    through = F.sum("_used").over(Window.orderBy(PARTITION_ID)).cast("int")
+    sizes = sizes.withColumn("_first", through - F.col("_used"))
     tasks = sizes.agg(F.sum("_used")).first()[0]
-    dealt = numbered.join(sizes, PARTITION_ID).withColumn("_pos", F.pmod(F.monotonically_increasing_id(), F.col("_used")))
-    return dealt.repartition(tasks, PARTITION_ID, "_pos").select(*[quoted(c) for c in rows.columns])
+    dealt = numbered.join(sizes, PARTITION_ID)
+    # By a hash of a row's number, as keys that come round in turn would meet few of the shares.
+    task = F.col("_first") + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_used")).cast("int")
+    return dealt.withColumn("_pos", task).repartitionById(tasks, F.col("_pos")).select(*[quoted(c) for c in rows.columns])
 
 
 def drop_result(spark: SparkSession, name: str, mode: str) -> None:

@@ -224,3 +224,24 @@ def test_one_bucket_opens_its_files_only(spark, tmp_path):
             assert got.count() == want.count() > 0
     finally:
         spark.sql("DROP TABLE one_bucket")
+
+
+def test_a_task_stores_one_share_of_one_bucket(spark):
+    from chunkspark.sources.results import _salted
+    rows = spark.range(6_000).select("id", (F.col("id") % 50).alias("k"), F.lit("v").alias("t"))
+    bucket = F.pmod(F.hash("k"), F.lit(8)).cast("long")
+    # 33 bytes a row, so 60 rows a share.
+    dealt = _salted(rows, bucket, 60 * 33).select("id", bucket.alias("b"), F.spark_partition_id().alias("task"))
+    told = dealt.groupBy("task").agg(F.countDistinct("b").alias("buckets"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(told) >= 100 and all(r.buckets == 1 and r.n <= 120 for r in told), told
+    assert sorted(r.id for r in dealt.collect()) == list(range(6_000))
+
+
+def test_large_buckets_are_stored_in_shares(spark):
+    path = f"{shared_dir(spark)}/test-shares"
+    rows = spark.range(3_000).select("id", (F.col("id") % 40).alias("k"), F.lit("v").alias("t"))
+    spec = PartitionSpec(4, ("k",), ("k",), "id", task_bytes=40_000)
+    stored = materialize_result(spark, "in_shares", rows, spec, path=path, layout="bucketed")
+    files = {r.f: r.n for r in stored.groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert max(files.values()) * 33 <= 20_000 and sum(files.values()) == 3_000
+    assert sorted(r.id for r in stored.collect()) == list(range(3_000))
