@@ -26,7 +26,8 @@ from chunkspark.operators.partition import (
     CHUNK_ID, PARTITION_ID, ROW_BYTES, ROW_POS, PartitionSpec, Placed, add_partition_id, check_names, place,
     spec_sort_key, union_of,
 )
-from chunkspark.operators.positions import AT, BLOCK, freeze_blocks, join_blocks, located
+from chunkspark.operators.positions import AT, BLOCK, ROW_BITS, freeze_blocks, join_blocks, located
+from chunkspark.session import checkpointed
 
 ENTRY = ("_chunk", "_used", "_pos")
 
@@ -85,7 +86,7 @@ def chunk_index(chunks: DataFrame) -> DataFrame:
 def _pack_varying(sized: DataFrame, spec: PartitionSpec, limit: int, columns: list[str]) -> DataFrame:
     # Sorted rows need their sort columns no more.
     carried = [quoted(c) for c in dict.fromkeys([*columns, PARTITION_ID, ROW_BYTES])]
-    parts = place(sized, spec)
+    parts = place(sized, spec, grouped=True)
     return union_of([_pack_placed(replace(p, df=p.df.select(*carried)), spec, limit) for p in parts])
 
 
@@ -93,11 +94,11 @@ def _pack_placed(placed: Placed, spec: PartitionSpec, limit: int) -> DataFrame:
     if not placed.split:
         return _pack_in_order(placed.df, limit)
     rows = freeze_blocks(placed)
-    # Placing makes two tasks of every ``task_bytes``.
+    # Placing makes two blocks of every ``task_bytes``.
     windowed = limit > spec.task_bytes // 2 // STATED_SHARE
-    entries = _block_entries(_with_starts(rows, placed.tasks, spec.partitions) if windowed else rows, limit, placed.tasks)
-    joined = join_blocks(rows, entries, placed.tasks, spec.partitions)
-    return _pack_in_order(joined, limit).drop(AT)
+    entries = _block_entries(_with_starts(rows, placed, spec.partitions) if windowed else rows, limit, placed)
+    joined = join_blocks(rows, entries, placed, spec.partitions)
+    return _pack_in_order(joined.drop(AT), limit)
 
 
 # ---- the walk ----------------------------------------------------------------
@@ -184,7 +185,7 @@ _STATED = "rows long, bytes long, before array<long>, opened array<long>, left a
 _ENTERED = ", ".join(f"{c} long" for c in ENTRY)
 
 
-def _with_starts(rows: DataFrame, tasks: int, partitions: int) -> DataFrame:
+def _with_starts(rows: DataFrame, placed: Placed, partitions: int) -> DataFrame:
     """Frozen rows with what their block begins with; one row per block is summed and joined back."""
     totals = rows.groupBy(PARTITION_ID, BLOCK).agg(F.sum(ROW_BYTES).alias("_bytes"), F.max(ROW_BYTES).alias(WIDEST))
     through = Window.partitionBy(PARTITION_ID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -192,25 +193,27 @@ def _with_starts(rows: DataFrame, tasks: int, partitions: int) -> DataFrame:
         PARTITION_ID, BLOCK,
         (F.sum("_bytes").over(through) - F.col("_bytes")).alias(START), F.max(WIDEST).over(through).alias(WIDEST),
     )
-    return join_blocks(rows.select(PARTITION_ID, BLOCK, ROW_BYTES, AT), starts, tasks, partitions)
+    return join_blocks(rows.select(PARTITION_ID, BLOCK, ROW_BYTES, AT), starts, placed, partitions)
 
 
-def _block_entries(rows: DataFrame, limit: int, blocks: int) -> DataFrame:
+def _block_entries(rows: DataFrame, limit: int, placed: Placed) -> DataFrame:
     """State in which packing enters every (partition, block).
 
     Statements of one partition are chained in the order of its blocks. With many
-    blocks that is done in spans: each span is joined to one statement, those are
-    chained, and then every span is chained inside from its own entry.
+    blocks that is done in spans of whole tasks: each span is joined to one statement,
+    those are chained, and then every span is chained inside from its own entry.
     """
     windowed = START in rows.columns
     columns = [PARTITION_ID, BLOCK, ROW_BYTES, *([START, WIDEST] if windowed else [])]
     stated = rows.select(*columns).mapInArrow(
         _summarise(limit, windowed), f"{PARTITION_ID} long, {BLOCK} long, {_STATED}"
     )
-    if blocks <= CHAINED_BLOCKS:
+    if placed.blocks <= CHAINED_BLOCKS:
         return _chained(stated, [PARTITION_ID], BLOCK, limit)
-    length = math.isqrt(blocks)
-    stated = stated.withColumn(SPAN, F.call_function("div", F.col(BLOCK), F.lit(length).cast("long")))
+    length = max(1, math.isqrt(placed.blocks) * placed.tasks // placed.blocks)
+    task = F.shiftright(F.col(BLOCK), ROW_BITS)
+    # Frozen, since it is read twice: the rows are not walked again.
+    stated = checkpointed(stated.withColumn(SPAN, F.call_function("div", task, F.lit(length).cast("long"))))
     spans = _ordered(stated, [PARTITION_ID, SPAN], BLOCK).mapInArrow(
         _join_spans(limit), f"{PARTITION_ID} long, {SPAN} long, {_STATED}"
     )

@@ -29,6 +29,8 @@ ROW_NO = "_row_no"
 RESERVED = (PARTITION_ID, ROW_POS, CHUNK_ID, ROW_BYTES, "_at", "_block", "_row_no", "_span", "_chunk", "_used", "_pos")
 # Large partitions that may be told from the others by a list.
 LISTED_PARTITIONS = 1_000
+# Chunk bytes below which starting a task costs more than its rows; where blocks may be grouped, smaller ones share a task.
+GROUPED_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -39,7 +41,8 @@ class PartitionSpec:
     by           columns whose equal values stay in one partition; empty = any split
     order        order of the rows inside a partition
     key          column that makes the order total; without one all columns do
-    task_bytes   chunk bytes of rows one task may take
+    task_bytes   chunk bytes of rows one task may take; packing lets a task take several such shares, one after the
+                 other, where they are small (GROUPED_BYTES)
     input_bytes  chunk bytes of all rows where they are known, so that the input need not be read for them
     """
 
@@ -60,11 +63,14 @@ class PartitionSpec:
 @dataclass(frozen=True)
 class Placed:
     """Rows of some partitions, placed and sorted; ``split`` when a partition may
-    span tasks."""
+    span tasks. A task holds one block, or several of ``block_rows`` rows each;
+    ``blocks`` is the most there are."""
 
     df: DataFrame
     tasks: int
     split: bool
+    blocks: int
+    block_rows: int | None = None
 
 
 def sort_key(order, key: str | None = None, columns=()) -> list[str]:
@@ -131,23 +137,25 @@ def partitions_fit(df: DataFrame, limit: int) -> bool:
     return _fits(df, limit) or largest_partition(df) <= limit
 
 
-def _sizes(df: DataFrame, spec: PartitionSpec) -> tuple[list[int] | None, int]:
-    """Partitions larger than a task and their bytes; None when that is all of them
-    or more than a filter should list."""
+def _sizes(df: DataFrame, spec: PartitionSpec) -> tuple[list[int] | None, int, int]:
+    """Partitions larger than a task, their bytes and their rows; None when that is all
+    of them or more than a filter should list."""
     large = F.col("bytes") > spec.task_bytes
-    totals = df.groupBy(PARTITION_ID).agg(F.sum(accounted_bytes(df)).alias("bytes"))
+    totals = df.groupBy(PARTITION_ID).agg(F.sum(accounted_bytes(df)).alias("bytes"), F.count(F.lit(1)).alias("rows"))
     row = totals.agg(
         F.count(F.lit(1)).alias("used"),
         F.count_if(large).alias("large"),
         F.sum("bytes").alias("bytes"),
+        F.sum("rows").alias("rows"),
         F.sum(F.when(large, F.col("bytes"))).alias("large_bytes"),
+        F.sum(F.when(large, F.col("rows"))).alias("large_rows"),
         F.slice(F.sort_array(F.collect_list(F.when(large, F.col(PARTITION_ID)))), 1, LISTED_PARTITIONS).alias("ids"),
     ).first()
     if row.large == 0:
-        return [], 0
+        return [], 0, 0
     if row.large == row.used or row.large > LISTED_PARTITIONS:
-        return None, row.bytes
-    return row.ids, row.large_bytes
+        return None, row.bytes, row.rows
+    return row.ids, row.large_bytes, row.large_rows
 
 
 def check_names(df: DataFrame) -> DataFrame:
@@ -182,9 +190,10 @@ def _parquet_holds(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.NullType, T.CalendarIntervalType))
 
 
-def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
+def place(df: DataFrame, spec: PartitionSpec, grouped: bool = False) -> list[Placed]:
     """Send rows that carry a partition number to tasks and sort them there:
-    partitions that fit a task, and apart from them those that do not.
+    partitions that fit a task, and apart from them those that do not. ``grouped``
+    lets small blocks of the latter share a task.
 
     Only an input that fits one task as a whole is moved as it is. Any other is frozen first, for its
     totals, its ranges and its rows are separate reads, and a query need not repeat itself.
@@ -194,30 +203,44 @@ def place(df: DataFrame, spec: PartitionSpec) -> list[Placed]:
         return [_place_whole(df, spec)]
     columns = [quoted(c) for c in df.columns]
     rows = frozen_rows(df)
-    large, large_bytes = _sizes(rows, spec)
+    large, large_bytes, large_rows = _sizes(rows, spec)
     if large is None:
-        return [_place_split(rows, spec, large_bytes)]
+        return [_place_split(rows, spec, large_bytes, large_rows, grouped)]
     if not large:
         return [_place_whole(rows.select(*columns), spec)]
     is_large = quoted(PARTITION_ID).isin(large)
-    return [_place_whole(rows.filter(~is_large).select(*columns), spec), _place_split(rows.filter(is_large), spec, large_bytes)]
+    return [
+        _place_whole(rows.filter(~is_large).select(*columns), spec),
+        _place_split(rows.filter(is_large), spec, large_bytes, large_rows, grouped),
+    ]
 
 
 def _place_whole(df: DataFrame, spec: PartitionSpec) -> Placed:
     # Task n holds partition n and nothing else, so the number is no sort column.
     moved = df.repartitionById(spec.partitions, quoted(PARTITION_ID).cast("int"))
     order = sort_columns(df, spec_sort_key(df, spec))
-    return Placed(moved.sortWithinPartitions(*order), spec.partitions, False)
+    return Placed(moved.sortWithinPartitions(*order), spec.partitions, False, spec.partitions)
+
 
+def _place_split(rows: DataFrame, spec: PartitionSpec, size: int, count: int, grouped: bool) -> Placed:
+    """Ranges over frozen rows. Their numbers order equal rows, so a range may end among these.
 
-def _place_split(rows: DataFrame, spec: PartitionSpec, size: int) -> Placed:
-    """Ranges over frozen rows. Their numbers order equal rows, so a range may end among these."""
+    Two blocks are made of every ``task_bytes``. Grouped, a task takes several of them where it would hold little
+    otherwise, as long as there are as many tasks as a shuffle has.
+    """
     columns = [c for c in rows.columns if c != ROW_NO]
-    tasks = -(-2 * size // spec.task_bytes)
+    blocks = tasks = -(-2 * size // spec.task_bytes)
+    if grouped:
+        least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tasks = min(blocks, max(least, -(-2 * size // GROUPED_BYTES)))
     order = spec_sort_key(rows.select(*[quoted(c) for c in columns]), spec)
     keys = [quoted(PARTITION_ID), *sort_columns(rows, order), quoted(ROW_NO)]
     moved = rows.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
-    return Placed(moved.select(*[quoted(c) for c in columns]), tasks, True)
+    placed = moved.select(*[quoted(c) for c in columns])
+    if tasks == blocks:
+        return Placed(placed, tasks, True, blocks)
+    # The last block of a task may be a short one.
+    return Placed(placed, tasks, True, blocks + tasks, -(-count // blocks))
 
 
 def union_of(parts: list[DataFrame]) -> DataFrame:

@@ -19,22 +19,25 @@ BROADCAST_ROWS = 1_000_000
 
 
 def freeze_blocks(placed: Placed) -> DataFrame:
-    """Placed rows frozen with their block (the task that sorted them) and their
-    place in it. Frozen, because ranges drawn a second time could differ."""
+    """Placed rows frozen with their place and their block, which is named by the place
+    of its first row. Frozen, because ranges drawn a second time could differ."""
     at = placed.df.withColumn(AT, F.monotonically_increasing_id())
-    return checkpointed(at.withColumn(BLOCK, F.shiftright(F.col(AT), ROW_BITS)))
+    in_block = F.col(AT).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    if placed.block_rows is not None:
+        in_block = in_block % F.lit(placed.block_rows).cast("long")
+    return checkpointed(at.withColumn(BLOCK, F.col(AT) - in_block))
 
 
-def join_blocks(rows: DataFrame, blocks: DataFrame, tasks: int, partitions: int) -> DataFrame:
+def join_blocks(rows: DataFrame, blocks: DataFrame, placed: Placed, partitions: int) -> DataFrame:
     """Attach one row per (partition, block) to the frozen rows, keeping their order.
 
     A block holds a contiguous stretch of partitions, so there are at most
-    ``tasks + partitions`` pairs; only within BROADCAST_ROWS are they broadcast.
+    ``blocks + partitions`` pairs; only within BROADCAST_ROWS are they broadcast.
     """
     on = [PARTITION_ID, BLOCK]
-    if tasks + partitions <= BROADCAST_ROWS:
+    if placed.blocks + partitions <= BROADCAST_ROWS:
         return rows.join(F.broadcast(blocks), on)
-    return rows.join(blocks, on).repartition(tasks, BLOCK).sortWithinPartitions(AT)
+    return rows.join(blocks, on).repartition(placed.tasks, BLOCK).sortWithinPartitions(AT)
 
 
 def with_row_pos(df: DataFrame, spec: PartitionSpec) -> DataFrame:
@@ -56,6 +59,6 @@ def _with_positions(placed: Placed, spec: PartitionSpec) -> DataFrame:
     blocks = rows.groupBy(PARTITION_ID, BLOCK).agg(F.count(F.lit(1)).alias("_rows"), F.min(AT).alias("_first"))
     before = Window.partitionBy(PARTITION_ID).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    joined = join_blocks(rows, blocks, placed.tasks, spec.partitions)
+    joined = join_blocks(rows, blocks, placed, spec.partitions)
     pos = F.col("_before") + F.col(AT) - F.col("_first")
     return joined.select(*[quoted(c) for c in placed.df.columns], pos.alias(ROW_POS))

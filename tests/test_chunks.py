@@ -11,8 +11,10 @@ from pyspark.sql import Window, functions as F
 from chunkspark import (
     ChunkTooSmallError, PartitionSpec, chunk_index, compare_passes, order_violations, pack_chunks,
 )
-from chunkspark.operators import chunks
+from chunkspark.operators import chunks, partition
 from chunkspark.operators.chunks import _after, _openers, _pass, _statement, _walk
+from chunkspark.operators.partition import add_partition_id, place
+from chunkspark.operators.positions import freeze_blocks
 
 SPEC = PartitionSpec(3, ("i1",), ("i1", "d1"), "row_id")
 
@@ -207,6 +209,36 @@ def test_spans_stay_whole_where_a_join_is_adapted(spark, monkeypatch):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_small_blocks_share_tasks(spark):
+    """Ten rows or so are a block and ten blocks a chunk, yet there is not a task for each."""
+    rows = spark.range(30_000).selectExpr("id", "if(id % 3 < 2, 0, id % 40) AS k", "repeat('q', cast(id * 7 % 23 as int)) AS t")
+    spec = PartitionSpec(5, ("k",), ("k", "t"), "id", 800)
+    packed = pack_chunks(rows, spec, 4_000)
+    assert packed.rdd.getNumPartitions() <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(assert_greedy(packed, 4_000)) == 30_000
+    whole = pack_chunks(rows, replace(spec, task_bytes=1 << 30), 4_000)
+    assert compare_passes(whole, packed).first() == (0, 0)
+
+
+def test_grouping_leaves_blocks_as_they_are(spark):
+    rows = add_partition_id(spark.range(20_000).selectExpr("id", "id % 2 AS k", "'same' AS t"), spec := PartitionSpec(2, ("k",), (), "id", 5_000))
+    (single,), (grouped,) = place(rows, spec), place(rows, spec, grouped=True)
+    blocks = [freeze_blocks(p).groupBy("_block").count().collect() for p in (single, grouped)]
+    assert single.tasks == single.blocks == single.df.rdd.getNumPartitions() and grouped.tasks == 8
+    assert abs(len(blocks[1]) - len(blocks[0])) <= grouped.tasks and len(blocks[1]) <= grouped.blocks
+    assert max(r["count"] for r in blocks[1]) == grouped.block_rows and sum(r["count"] for r in blocks[1]) == 20_000
+
+
+@pytest.mark.parametrize("grouped_bytes", [1, 3_000, 9_000, 1 << 30])
+@pytest.mark.parametrize("limit", [60, 1_900, 30_000])
+def test_spans_of_tasks_with_several_blocks(spark, monkeypatch, grouped_bytes, limit):
+    """From a block for each task to all blocks in the tasks of a shuffle; with the first three, spans hold several tasks."""
+    monkeypatch.setattr(chunks, "CHAINED_BLOCKS", 3)
+    monkeypatch.setattr(partition, "GROUPED_BYTES", grouped_bytes)
+    rows = spark.range(4_000).selectExpr("id", "if(id < 900, 1, 2 + id % 2) AS k", "repeat('q', cast(id % 13 as int)) AS t")
+    assert_greedy(pack_chunks(rows, PartitionSpec(3, ("k",), ("id",), "id", 1_500), limit), limit)
+
+
 def test_joined_blocks_keep_their_order_without_broadcast(spark, monkeypatch):
     from chunkspark.operators import positions
     monkeypatch.setattr(positions, "BROADCAST_ROWS", 0)
